@@ -24,7 +24,7 @@ def shares(df: DataFrame, *keys: str) -> DataFrame:
 
 def cross_counts(df: DataFrame, rows: str, columns: str, levels: Sequence, prefix: str = "") -> DataFrame:
     """Counts of ``rows`` against the stated ``levels`` of ``columns``, zero where absent."""
-    table = df.groupBy(rows).pivot(columns, list(levels)).agg(F.count("*")).na.fill(0)
+    table = df.groupBy(rows).pivot(columns, list(levels)).agg(F.count(F.lit(1))).na.fill(0)
     return table.toDF(rows, *[f"{prefix}{v}" for v in levels])
 
 
