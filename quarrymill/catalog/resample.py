@@ -1 +1,56 @@
+"""Splits and grids on the shared tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarrymill.catalog import query
+from quarrymill.operators import joins, resample
+
+_DRAW = "substr(md5('{seed}:' || {key}), 1, 8)"
+
+
+@query("split_kfold", f"""
+SELECT o_orderkey, (row_number() OVER (ORDER BY {_DRAW.format(seed=3, key='o_orderkey')}, o_orderkey) - 1) % 5 AS fold
+FROM orders
+""")
+def split_kfold(t):
+    return resample.kfold(t.orders.select("o_orderkey"), "o_orderkey", 5, seed=3)
+
+
+@query("split_stratified_kfold", f"""
+SELECT doc_id, quality, (row_number() OVER (PARTITION BY quality
+  ORDER BY {_DRAW.format(seed=3, key='doc_id')}, doc_id) - 1) % 5 AS fold FROM labels
+""")
+def split_stratified_kfold(t):
+    return resample.kfold(t.labels.select("doc_id", "quality"), "doc_id", 5, seed=3, strata=["quality"])
+
+
+@query("split_holdout", f"""
+SELECT o_orderkey, ('0x' || {_DRAW.format(seed=3, key='o_orderkey')})::BIGINT / 4294967296.0::DOUBLE < 0.75::DOUBLE AS is_train
+FROM orders
+""")
+def split_holdout(t):
+    return resample.holdout(t.orders.select("o_orderkey"), "o_orderkey", 0.75, seed=3)
+
+
+@query("param_grid", """
+SELECT q AS min_quantity, d AS max_discount, f AS flag,
+       count(*) FILTER (l_quantity >= q AND l_discount <= d AND l_returnflag = f) AS n
+FROM lineitem, (VALUES (10), (30)) a(q), (VALUES (0.02::DOUBLE), (0.05::DOUBLE), (0.08::DOUBLE)) b(d),
+  (VALUES ('A'), ('R')) c(f) GROUP BY 1, 2, 3
+""")
+def param_grid(t):
+    grid = {
+        "min_quantity": resample.even_values(10, 30, 2, whole=True),
+        "max_discount": [0.02, 0.05, 0.08], "flag": ["A", "R"],
+    }
+    # lines with the same measures are counted once before they meet the grid
+    measures = t.lineitem.groupBy("l_quantity", "l_discount", "l_returnflag").agg(F.count("*").alias("lines"))
+    hit = (
+        (F.col("l_quantity") >= F.col("min_quantity")) & (F.col("l_discount") <= F.col("max_discount"))
+        & (F.col("l_returnflag") == F.col("flag"))
+    )
+    return joins.explode_grid(measures, grid).groupBy(*grid).agg(
+        F.sum(F.when(hit, F.col("lines")).otherwise(0)).alias("n")
+    )

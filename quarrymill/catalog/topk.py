@@ -76,7 +76,7 @@ def sample_n(t):
 
 
 @query("shuffle_replicates", """
-WITH r AS (SELECT rep, p_partkey, p_brand, md5('7-' || rep || ':' || p_partkey) AS draw
+WITH r AS (SELECT rep, p_partkey, p_brand, substr(md5('7-' || rep || ':' || p_partkey), 1, 8) AS draw
   FROM part, range(1, 6) g(rep))
 SELECT rep::INT AS rep, p_partkey, p_brand, row_number() OVER (PARTITION BY rep ORDER BY draw, p_partkey) AS place FROM r
 """)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.functions.hashing import hash_text
+from quarrymill.functions.hashing import hash_int, hash_text
 from quarrymill.plans import chunked
 
 
@@ -67,6 +67,5 @@ def shuffled_replicates(df: DataFrame, key: str, replicates: int, seed: int = 0)
     """
     copies = df.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     tag = F.concat(F.lit(f"{seed}-"), F.col("rep"))
-    keyed = copies.withColumn("_draw", hash_text(key, tag))
-    unit = F.conv(F.substring("_draw", 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-    return chunked.with_uniform_chunks(keyed, unit)
+    keyed = copies.withColumn("_draw", hash_int(key, tag))
+    return chunked.with_uniform_chunks(keyed, F.col("_draw") / F.lit(4294967296.0))
