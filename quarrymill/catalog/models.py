@@ -1 +1,200 @@
+"""Model fitting on the shared tables.  Most have no SQL form."""
 
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from quarrymill.catalog import query
+from quarrymill.operators import models, neighbours, resample, topk
+
+
+def _vectors(t):
+    rows = resample.holdout(models.embedding_rows(t.embeddings), "vec_id", 0.75, seed=1)
+    return rows.where("is_train"), rows
+
+
+def _quality(t):
+    """Label and features of the labelled documents."""
+    rows = t.labels.join(t.documents.select("doc_id", "n_chars", "lang"), "doc_id").select(
+        "doc_id", F.col("quality").cast("double").alias("label"), F.log1p("n_chars").alias("size"),
+        F.col("toxic").cast("double").alias("toxic"), (F.col("lang") == "en").cast("double").alias("english"),
+    )
+    return VectorAssembler(inputCols=["size", "toxic", "english"], outputCol="features").transform(rows)
+
+
+def _prices(t):
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("label")
+    )
+    return VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(rows)
+
+
+def _predictions(scored):
+    return scored.select("vec_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
+def _fit_and_score(t, estimator):
+    train, rows = _vectors(t)
+    return _predictions(estimator.fit(train).transform(rows))
+
+
+@query("fit_decision_tree")
+def fit_decision_tree(t):
+    return _fit_and_score(t, models.decision_tree())
+
+
+@query("fit_decision_tree_regressor")
+def fit_decision_tree_regressor(t):
+    rows = _prices(t)
+    scored = models.decision_tree(regression=True, depth=3).fit(rows).transform(rows)
+    return scored.groupBy(F.round("prediction", 4).alias("leaf_price")).agg(F.count("*").alias("n"))
+
+
+@query("fit_random_forest")
+def fit_random_forest(t):
+    return _fit_and_score(t, models.random_forest(trees=10))
+
+
+@query("fit_bagging")
+def fit_bagging(t):
+    return _fit_and_score(t, models.bagging(trees=5))
+
+
+@query("fit_boosted_trees")
+def fit_boosted_trees(t):
+    rows = _quality(t)
+    scored = models.boosted_trees(classes=2, rounds=5).fit(rows).transform(rows)
+    return scored.select(
+        "doc_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+        F.round(vector_to_array("probability")[1], 6).alias("p_good"),
+    )
+
+
+@query("fit_adaboost")
+def fit_adaboost(t):
+    rows = _quality(t)
+    learners = models.fit_adaboost(rows, classes=2, rounds=3)
+    return models.summary(models.predict_adaboost(learners, rows, classes=2))
+
+
+@query("fit_knn", """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings),
+n AS (SELECT a.vec_id AS query, b.label, row_number() OVER (PARTITION BY a.vec_id
+  ORDER BY round(pow(list_distance(a.e, b.e), 2), 9), b.vec_id) AS place FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+c AS (SELECT query, label, count(*) AS n FROM n WHERE place <= 5 GROUP BY 1, 2),
+w AS (SELECT query, label, row_number() OVER (PARTITION BY query ORDER BY n DESC, label) AS i FROM c)
+SELECT query AS vec_id, label AS predicted FROM w WHERE i = 1
+""")
+def fit_knn(t):
+    near = neighbours.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", "label", 5)
+    return neighbours.vote(near).withColumnRenamed("query", "vec_id")
+
+
+@query("fit_logistic")
+def fit_logistic(t):
+    return _fit_and_score(t, models.logistic())
+
+
+@query("fit_linear_penalised")
+def fit_linear_penalised(t):
+    rows = _prices(t)
+    model = models.penalised_linear(1.0, 0.5).fit(rows)
+    return model.transform(rows).select("l_orderkey", "l_linenumber", F.round("prediction", 4).alias("prediction"))
+
+
+@query("fit_discriminant", """
+WITH x AS (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+SELECT label, dim::INT AS dim, count(*) AS n, round(avg(x), 8) AS mean FROM x GROUP BY 1, 2
+""")
+def fit_discriminant(t):
+    moments = models.class_moments(t.embeddings, "label", "embedding")
+    return moments.select("label", "dim", "n", F.round("mean", 8).alias("mean"))
+
+
+@query("predict_discriminant")
+def predict_discriminant(t):
+    parts = []
+    for kind in ("linear", "quadratic"):
+        model = models.fit_discriminant(t.embeddings, "label", "embedding", kind == "quadratic", ridge=0.01)
+        scored = models.predict_discriminant(model, t.embeddings, "embedding")
+        parts.append(models.summary(scored).withColumn("kind", F.lit(kind)))
+    return parts[0].union(parts[1])
+
+
+@query("fit_naive_bayes", """
+WITH x AS (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+SELECT label, dim::INT AS dim, round(avg(x), 8) AS mean, round(var_pop(x), 8) AS variance FROM x GROUP BY 1, 2
+""")
+def fit_naive_bayes(t):
+    moments = models.class_moments(t.embeddings, "label", "embedding")
+    return moments.select("label", "dim", F.round("mean", 8).alias("mean"), F.round("variance", 8).alias("variance"))
+
+
+@query("fit_linear_svm")
+def fit_linear_svm(t):
+    return _fit_and_score(t, models.linear_svm(classes=10))
+
+
+@query("fit_mlp")
+def fit_mlp(t):
+    return _fit_and_score(t, models.perceptron([64, 16, 10]))
+
+
+@query("fit_deep_linear", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept FROM lineitem
+""")
+def fit_deep_linear(t):
+    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(
+        t.lineitem.select("l_quantity", F.col("l_extendedprice").alias("label"))
+    )
+    model = models.stacked_linear().fit(rows)
+    return rows.limit(1).select(
+        F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
+        F.round(F.lit(float(model.intercept)), 3).alias("intercept"),
+    )
+
+
+@query("cv_evaluate")
+def cv_evaluate(t):
+    rows = models.embedding_rows(t.embeddings)
+    tried = {"tree": models.decision_tree(), "bayes": models.naive_bayes(), "logistic": models.logistic()}
+    scores = models.cross_validate(tried, rows, "vec_id", 3)
+    return scores.groupBy("model").agg(
+        F.round(F.avg("score"), 4).alias("mean_score"), F.round(F.stddev_pop("score"), 4).alias("sd")
+    ).orderBy(F.desc("mean_score"))
+
+
+@query("tune_grid")
+def tune_grid(t):
+    """Two stages: the shape of the trees first, then their number with that shape."""
+    rows = models.embedding_rows(t.embeddings)
+    shape, _ = models.tune(models.random_forest(trees=5), {"maxDepth": [2, 4]}, rows, "vec_id", 2)
+    depth = int(topk.last_of_best(shape, "score", "point").first()["maxDepth"])
+    size, _ = models.tune(models.random_forest(depth=depth), {"numTrees": [3, 6]}, rows, "vec_id", 2)
+    return shape.select(F.lit("shape").alias("stage"), F.col("maxDepth").alias("setting"), F.round("score", 6).alias("score")).union(
+        size.select(F.lit("size"), "numTrees", F.round("score", 6))
+    )
+
+
+@query("predict_class")
+def predict_class(t):
+    return _fit_and_score(t, models.logistic())
+
+
+@query("predict_prob")
+def predict_prob(t):
+    train, rows = _vectors(t)
+    scored = models.logistic().fit(train).transform(rows)
+    return models.probability_columns(scored, "vec_id", range(10), prefix="p_")
+
+
+@query("predict_prob_one_vs_rest")
+def predict_prob_one_vs_rest(t):
+    """A boosted machine per class has scores but no probabilities; they are squeezed to sum to one."""
+    train, rows = _vectors(t)
+    scored = models.boosted_trees(classes=10, rounds=2, depth=2).fit(train).transform(rows)
+    p = models.normalised_scores(vector_to_array("rawPrediction"))
+    return scored.select("vec_id", *[F.round(p[i], 6).alias(f"p_{i}") for i in range(10)])

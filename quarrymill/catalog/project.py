@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarrymill.catalog import query
-from quarrymill.operators import joins, project, topk
+from quarrymill.operators import joins, models, project, topk
 
 
 @query("select_columns", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -74,7 +75,14 @@ def select_by_dtype(t):
     return t.orders.select(*project.numeric_columns(t.orders))
 
 
-@query("schema_report")
+@query("schema_report", """
+WITH n AS (SELECT count(*) AS n_rows FROM lineitem)
+SELECT v.*, n_rows FROM (VALUES (0, 'l_orderkey', 'bigint', true), (1, 'l_partkey', 'bigint', true),
+  (2, 'l_suppkey', 'bigint', true), (3, 'l_linenumber', 'int', true), (4, 'l_quantity', 'double', true),
+  (5, 'l_extendedprice', 'double', true), (6, 'l_discount', 'double', true), (7, 'l_tax', 'double', true),
+  (8, 'l_returnflag', 'string', true), (9, 'l_linestatus', 'string', true),
+  (10, 'l_shipdate', 'timestamp_ntz', true)) v(position, "column", type, nullable), n
+""")
 def schema_report(t):
     return project.schema_report(t.lineitem)
 
@@ -155,12 +163,16 @@ def assert_non_null(t):
     return project.null_counts(sound)
 
 
-@query("split_features_label")
+@query("split_features_label", """
+SELECT vec_id, label::BIGINT AS label, 64 AS width, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings
+""")
 def split_features_label(t):
-    from quarrymill.operators import models
-
     rows = models.embedding_rows(t.embeddings)
-    return rows.select("vec_id", F.col("label").cast("bigint").alias("label"))
+    values = vector_to_array("features")
+    return rows.select(
+        "vec_id", F.col("label").cast("bigint").alias("label"), F.size(values).alias("width"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), 6).alias("total"),
+    )
 
 
 @query("cast_columns", """

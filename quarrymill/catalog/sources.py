@@ -202,7 +202,9 @@ def cache_intermediate(t):
     )
 
 
-@query("save_model")
+@query("save_model", """
+SELECT o_orderkey, round((o_totalprice - avg(o_totalprice) OVER ()) / stddev_samp(o_totalprice) OVER (), 6) AS z FROM orders
+""")
 def save_model(t):
     orders = t.orders.select("o_orderkey", "o_totalprice")
     fitted = Pipeline(stages=features.standard_scaler_stages(["o_totalprice"])).fit(orders)
