@@ -151,10 +151,8 @@ def fit_deep_linear(t):
         t.lineitem.select("l_quantity", F.col("l_extendedprice").alias("label"))
     )
     model = models.stacked_linear().fit(rows)
-    return rows.limit(1).select(
-        F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
-        F.round(F.lit(float(model.intercept)), 3).alias("intercept"),
-    )
+    fitted = [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 3))]
+    return t.spark.createDataFrame(fitted, "slope DOUBLE, intercept DOUBLE")
 
 
 @query("cv_evaluate")

@@ -1 +1,44 @@
+"""Incremental twins of two batch queries: rows arrive in slices, results must agree."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarrymill.catalog import _ORACLES, query
+from quarrymill.catalog import ordered as _ordered  # noqa: F401  registers the batch twin
+from quarrymill.catalog.scalars import _TRAVEL, _travel_records
+from quarrymill.functions import text, validate
+from quarrymill.session import scratch_path
+from quarrymill.streaming import incremental
+
+
+@query("stream_running_ratio", _ORACLES["win_running_ratio"])
+def stream_running_ratio(t):
+    folder = scratch_path(t.spark, "stream-ratio")
+    games = t.events.select("event_id", "user_id", "event_type")
+    cuts = games.agg(F.percentile_approx("event_id", [0.33, 0.66])).first()[0]
+    slices = [F.col("event_id") < cuts[0],
+              (F.col("event_id") >= cuts[0]) & (F.col("event_id") < cuts[1]), F.col("event_id") >= cuts[1]]
+    handle = incremental.running_ratio_handler(
+        folder, ["user_id"], ["event_id"], F.col("event_type") == "purchase", "event_id"
+    )
+    for part in slices:  # a slice arrives, the stream catches up and stops
+        games.where(part).write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(games.schema).parquet(f"{folder}/in")
+        incremental.drain(stream, handle, f"{folder}/checkpoint")
+    return incremental.read_batches(t.spark, folder).select(
+        "event_id", "user_id", "wins", "losses", F.round("ratio", 9).alias("ratio")
+    )
+
+
+@query("stream_quality_gate", _TRAVEL + """
+SELECT c_custkey, complete AND byr AND iyr AND eyr AND hgt AND hcl AND ecl AND pid AS valid FROM r
+""")
+def stream_quality_gate(t):
+    folder = scratch_path(t.spark, "stream-gate")
+    records = _travel_records(t)
+    records.write.parquet(f"{folder}/in")
+    stream = t.spark.readStream.schema(records.schema).parquet(f"{folder}/in")
+    valid = validate.record_valid(text.key_values(F.col("record")))
+    incremental.drain(stream, incremental.quality_gate_handler(folder, valid), f"{folder}/checkpoint")
+    return incremental.read_batches(t.spark, folder).select("c_custkey", F.col("valid").cast("boolean").alias("valid"))

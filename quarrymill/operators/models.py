@@ -61,7 +61,7 @@ def boosted_trees(classes: int | None = 2, rounds: int = 20, depth: int = 3, rat
     if classes is None:
         return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED)
     binary = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED)
-    return binary if classes == 2 else OneVsRest(classifier=binary, parallelism=4)
+    return binary if classes == 2 else OneVsRest(classifier=binary, parallelism=8)
 
 
 def logistic(reg: float = 0.01):
@@ -70,7 +70,7 @@ def logistic(reg: float = 0.01):
 
 def linear_svm(classes: int = 2, reg: float = 0.01):
     machine = LinearSVC(regParam=reg, maxIter=20)
-    return machine if classes == 2 else OneVsRest(classifier=machine, parallelism=4)
+    return machine if classes == 2 else OneVsRest(classifier=machine, parallelism=8)
 
 
 def naive_bayes():
