@@ -61,11 +61,9 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders
 """)
 def win_row_number(t):
-    days = F.unix_date(F.to_date("o_orderdate"))
-    out = ordered.numbered(
-        t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"],
-        ["o_orderdate", "o_orderkey"], "seq", days,
-    )
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    place = chunked.tie_broken(rows, F.unix_date(F.to_date("o_orderdate")), "o_orderkey")
+    out = ordered.numbered(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], "seq", place)
     return out.drop("o_orderdate")
 
 
@@ -74,11 +72,10 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders
 """)
 def win_reverse_number(t):
-    days = F.unix_date(F.to_date("o_orderdate"))
-    out = ordered.numbered(
-        t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"],
-        [F.desc("o_orderdate"), F.desc("o_orderkey")], "seq", -days,
-    )
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    place = chunked.tie_broken(rows, F.unix_date(F.to_date("o_orderdate")), "o_orderkey")
+    newest_first = [F.desc("o_orderdate"), F.desc("o_orderkey")]
+    out = ordered.numbered(rows, ["o_custkey"], newest_first, "seq", -place)
     return out.drop("o_orderdate")
 
 
@@ -99,19 +96,16 @@ runs AS (SELECT user_id, run_id, min(event_type) AS event_type, count(*) AS len
 """
 
 
-def _event_runs(t):
-    rows = t.events.select("event_id", "user_id", "event_type")
-    return ordered.run_lengths(rows, ["user_id"], ["event_id"], "event_type", "event_id")
-
-
 @query("win_run_length", _RUNS + "SELECT user_id, run_id, event_type, len FROM runs")
 def win_run_length(t):
-    return _event_runs(t)
+    rows = t.events.select("event_id", "user_id", "event_type")
+    return ordered.run_lengths(rows, ["user_id"], ["event_id"], "event_type", "event_id")
 
 
 @query("win_long_runs", _RUNS + "SELECT user_id, count(*) FILTER (len >= 3) AS long_runs FROM runs GROUP BY 1")
 def win_long_runs(t):
-    return ordered.long_runs(_event_runs(t), ["user_id"], 3)
+    rows = t.events.select("event_id", "user_id", "event_type")
+    return ordered.long_runs(rows, ["user_id"], ["event_id"], "event_type", 3, "event_id")
 
 
 @query("win_contiguous_sum", """

@@ -15,9 +15,8 @@ SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal DESC, s_suppk
 """)
 def sort_desc(t):
     rows = t.supplier.select("s_suppkey", "s_acctbal")
-    return chunked.row_numbers(
-        rows, [], [F.desc("s_acctbal"), "s_suppkey"], "place", -F.col("s_acctbal")
-    ).orderBy("place")
+    place = chunked.tie_broken(rows, F.round(-100 * F.col("s_acctbal")), "s_suppkey")
+    return chunked.row_numbers(rows, [], [F.desc("s_acctbal"), "s_suppkey"], "place", place).orderBy("place")
 
 
 @query("sort_by_custom_order", """

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.plans import chunked
@@ -42,34 +42,101 @@ def numbered(
     return chunked.row_numbers(df, keys, order, name, position)
 
 
-def prefix(df: DataFrame, keys, order, n: int, position, name: str = "seq") -> DataFrame:
-    """The first ``n`` rows of each key with their number."""
-    return numbered(df, keys, order, name, position).where(F.col(name) <= n)
+GROUP_LIMIT = 1000  # Spark's own bound for limiting groups before the shuffle
 
 
-def run_ids(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-    position: str | Column | None = None,
-) -> DataFrame:
-    """Add ``run_id``: 1, 2, ... per key, one more each time the value changes."""
-    # a key's first row has no row before it; a null value is a value of its own
-    marked = df.withColumn("_one", F.lit(1))
-    looked = chunked.previous(
-        marked, keys, order, {"_prior": value, "_has": "_one"}, position, keep_chunk=True
-    )
-    change = (F.col("_has").isNull() | ~F.col(value).eqNullSafe(F.col("_prior"))).cast("bigint")
-    return chunked.running(looked, keys, order, {"run_id": change}).drop("_prior", "_has", "_one")
+def prefix(df: DataFrame, keys, order, n: int, position, name: str = "seq") -> DataFrame:
+    """The first ``n`` rows of each key with their number.
 
+    For a short prefix Spark keeps only ``n`` rows per key in each task before
+    it shuffles, so a dominant key does no harm; longer ones are numbered in chunks.
+    """
+    if n > GROUP_LIMIT or not keys:
+        return numbered(df, keys, order, name, position).where(F.col(name) <= n)
+    first = Window.partitionBy(*keys).orderBy(*order)
+    short = df.withColumn(name, F.row_number().over(first)).where(F.col(name) <= n)
+    return short.withColumn(name, F.col(name).cast("bigint"))
+
+
+def _local_runs(df, keys, order, value, position):
+    """Rows with ``_run``: the run number inside their ``(keys, chunk)``."""
+    rows = df if chunked.CHUNK in df.columns else chunked.with_chunks(df, position)
+    part = [*keys, chunked.CHUNK]
+    inner = Window.partitionBy(*part).orderBy(*order)
+    # a chunk's first row starts a run; a null value is a value of its own
+    starts = (F.row_number().over(inner) == 1) | ~F.col(value).eqNullSafe(F.lag(value).over(inner))
+    upto = inner.rowsBetween(Window.unboundedPreceding, 0)
+    flagged = rows.withColumn("_starts", starts.cast("bigint"))
+    return flagged.withColumn("_run", F.sum("_starts").over(upto)).drop("_starts"), part
+
+
+def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                position: str | Column | None = None) -> DataFrame:
+    """Run-length encoding: ``(keys, run_id, value, len)`` with ``run_id`` 1, 2, ... per key.
+
+    Runs are built inside the chunks, where grouping needs no further shuffle.
+    A chunk's summary (its number of runs, first and last value) tells the next
+    one where its numbers begin and whether its first run goes on from before;
+    pieces of one run then carry the same number and are added up.
+    """
+    local, part = _local_runs(df, keys, order, value, position)
+    pieces = local.groupBy(*part, "_run").agg(F.any_value(value).alias(value), F.count("*").alias("_len"))
+    cell = F.struct(F.col(value).alias("v"))
+    ends = pieces.groupBy(*part).agg(
+        F.max("_run").alias("_runs"), F.min_by(cell, "_run").alias("_first"), F.max_by(cell, "_run").alias("_last")
+    )
+    along = Window.partitionBy(*keys).orderBy(chunked.CHUNK)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    offsets = (
+        ends.withColumn("_joined", F.coalesce(F.col("_first") == F.lag("_last").over(along), F.lit(False))
+                        .cast("bigint"))
+        .withColumn("_offset", F.coalesce(F.sum("_runs").over(before), F.lit(0)) - F.sum("_joined").over(upto))
+        .select(*part, "_offset")
+    )
+    return (
+        chunked.attach(pieces, offsets, keys)
+        .groupBy(*keys, (F.col("_run") + F.col("_offset")).alias("run_id"))
+        .agg(F.any_value(value).alias(value), F.sum("_len").alias("len"))
+    )
 
-def run_lengths(df: DataFrame, keys, order, value, position=None) -> DataFrame:
-    """Run-length encoding: ``(keys, run_id, value, len)``."""
-    runs = run_ids(df, keys, order, value, position)
-    return runs.groupBy(*keys, "run_id").agg(F.any_value(value).alias(value), F.count("*").alias("len"))
 
+def long_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, at_least: int,
+              position: str | Column | None = None, name: str = "long_runs") -> DataFrame:
+    """Runs of at least the given length, per key (zero where there is none).
 
-def long_runs(runs: DataFrame, keys: Sequence[str], at_least: int, name: str = "long_runs") -> DataFrame:
-    """Runs of at least the given length, per key (zero where there is none)."""
-    return runs.groupBy(*keys).agg(F.count_if(F.col("len") >= at_least).alias(name))
+    Rows are shuffled once: a chunk counts the long runs that end and begin
+    inside it and hands on only its first and last run, at most two rows per
+    chunk, which are then joined up across the chunk borders.
+    """
+    local, part = _local_runs(df, keys, order, value, position)
+    pieces = local.groupBy(*part, "_run").agg(F.any_value(value).alias("v"), F.count("*").alias("len"))
+    piece = F.struct("_run", "v", "len")
+    chunks = pieces.groupBy(*part).agg(
+        F.count_if(F.col("len") >= at_least).alias("_long"),
+        F.min_by(piece, "_run").alias("_first"), F.max_by(piece, "_run").alias("_last"),
+    )
+    first, last = F.col("_first"), F.col("_last")
+    borders = F.when(first["_run"] == last["_run"], F.array(first)).otherwise(F.array(first, last))
+    is_long = lambda p: (p["len"] >= at_least).cast("bigint")
+    inside = F.col("_long") - F.aggregate(borders, F.lit(0).cast("bigint"), lambda a, p: a + is_long(p))
+    along = Window.partitionBy(*keys).orderBy(chunked.CHUNK, "_place")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    pieces_left = chunks.select(*part, inside.alias("_inside"), F.posexplode(borders).alias("_place", "_piece"))
+    # the second border run of a chunk never continues the first
+    continues = (F.col("_place") == 0) & F.struct("_piece.v").eqNullSafe(F.struct(F.lag("_piece.v").over(along)))
+    continues = continues & F.lag(F.lit(True)).over(along).isNotNull()
+    joined = (
+        pieces_left.withColumn("_new", (~continues).cast("bigint"))
+        .withColumn("_id", F.sum("_new").over(upto))
+        .groupBy(*keys, "_id").agg(
+            F.sum("_piece.len").alias("_len"),
+            F.sum(F.when(F.col("_place") == 0, F.col("_inside")).otherwise(0)).alias("_inside"),
+        )
+    )
+    return joined.groupBy(*keys).agg(
+        (F.sum("_inside") + F.count_if(F.col("_len") >= at_least)).alias(name)
+    )
 
 
 def contiguous_sum(df: DataFrame, order: str, value: str, target: int) -> DataFrame:

@@ -10,7 +10,7 @@ from quarrymill.operators import ordered, topk
 
 def observed_runs(df: DataFrame, order: str, value: str, at_least: int) -> DataFrame:
     """One row ``long_runs``: the statistic of the sequence as it is."""
-    return ordered.long_runs(ordered.run_lengths(df, [], [order], value, order), [], at_least)
+    return ordered.long_runs(df, [], [order], value, at_least, order)
 
 
 def simulated_runs(df: DataFrame, key: str, value: str, at_least: int, replicates: int, seed: int = 0) -> DataFrame:
@@ -20,8 +20,7 @@ def simulated_runs(df: DataFrame, key: str, value: str, at_least: int, replicate
     still split in hash ranges.
     """
     shuffled = topk.shuffled_replicates(df.select(key, value), key, replicates, seed)
-    runs = ordered.run_lengths(shuffled, ["rep"], ["_draw", key], value)
-    return ordered.long_runs(runs, ["rep"], at_least)
+    return ordered.long_runs(shuffled, ["rep"], ["_draw", key], value, at_least)
 
 
 def p_value(simulated: DataFrame, observed: DataFrame, replicates: int) -> DataFrame:

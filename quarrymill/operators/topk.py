@@ -65,7 +65,9 @@ def shuffled_replicates(df: DataFrame, key: str, replicates: int, seed: int = 0)
     The order inside a replicate is that of a digest, so it is uniform on
     [0, 1) and cuts into equal chunks without looking at the data.
     """
-    copies = df.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    # rows are spread before they multiply: one small file would otherwise be one task
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = df.repartition(tasks, key).withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     tag = F.concat(F.lit(f"{seed}-"), F.col("rep"))
     keyed = copies.withColumn("_draw", hash_int(key, tag))
     return chunked.with_uniform_chunks(keyed, F.col("_draw") / F.lit(4294967296.0))

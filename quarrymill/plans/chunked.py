@@ -25,6 +25,16 @@ MAX_CHUNKS = 4096
 MIN_CHUNKS = 8
 
 
+def tie_broken(df: DataFrame, primary: Column, secondary: str) -> Column:
+    """A position for ordering by a whole-number ``primary``, then by ``secondary``.
+
+    The secondary number becomes a fraction below one, so a primary value shared
+    by very many rows can still be cut.
+    """
+    span = df.agg(F.struct(F.min(secondary).alias("low"), F.max(secondary).alias("high"))).scalar()
+    return primary + (F.col(secondary) - span["low"]) / (span["high"] - span["low"] + 1)
+
+
 def _cuts(values: DataFrame, chunks: int) -> tuple[int, list[float]]:
     """Row count and the inner quantiles that part ``p`` in ``chunks`` ranges."""
     at = ", ".join(f"{i}D/{chunks}" for i in range(1, chunks)) or "0.5D"
@@ -80,7 +90,7 @@ def _chunked(df: DataFrame, position) -> DataFrame:
     return with_chunks(df, position)
 
 
-def _attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join the carried row of each ``(keys, chunk)`` back to its rows.
 
     Without keys the carry has one row per chunk, at most ``MAX_CHUNKS + 1``, so
@@ -129,7 +139,7 @@ def running(
     local = rows.withColumns(
         {n: F.sum(F.coalesce(e, zero)).over(inner) for n, e in totals.items()}
     )
-    out = _attach(local, carry, keys).withColumns(
+    out = attach(local, carry, keys).withColumns(
         {n: F.col(n) + F.col(f"_before_{n}") for n in totals}
     ).drop(*[f"_before_{n}" for n in totals])
     return out if keep_chunk else out.drop(CHUNK)
@@ -166,7 +176,7 @@ def previous(
         {"_first": F.row_number().over(inner) == 1,
          **{f"_lag_{n}": F.lag(v).over(inner) for n, v in values.items()}}
     )
-    out = _attach(local, carry, keys).withColumns(
+    out = attach(local, carry, keys).withColumns(
         {n: F.when(F.col("_first"), F.col(f"_tail.{n}")).otherwise(F.col(f"_lag_{n}"))
          for n in values}
     ).drop("_first", "_tail", *[f"_lag_{n}" for n in values])
