@@ -183,12 +183,22 @@ def sink_csv(t):
     return delimited.csv_round_trip(t.supplier, "supplier-csv")
 
 
-@query("sink_submission")
+@query("sink_submission", """
+WITH x AS (SELECT vec_id, label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
+m AS (SELECT label, d, avg(x) AS mu, var_pop(x) AS v FROM x GROUP BY 1, 2),
+c AS (SELECT label, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) AS prior FROM embeddings GROUP BY 1),
+l AS (SELECT x.vec_id, m.label, any_value(c.prior) + sum(-0.5::DOUBLE * ln(2 * pi() * v) - (x - mu) * (x - mu) / (2 * v)) AS l
+  FROM x JOIN m USING (d) JOIN c ON c.label = m.label GROUP BY 1, 2),
+e AS (SELECT vec_id, label, exp(l - max(l) OVER (PARTITION BY vec_id)) AS w FROM l)
+SELECT vec_id, """ + ", ".join(
+    f"round(sum(w) FILTER (label = {i}) / sum(w), 6) AS label_{i}" for i in range(10)
+) + " FROM e GROUP BY 1")
 def sink_submission(t):
     rows = models.embedding_rows(t.embeddings)
     model = models.naive_bayes().fit(rows)
     scored = models.probability_columns(model.transform(rows), "vec_id", range(10), prefix="label_")
-    return delimited.csv_round_trip(scored, "submission")
+    rounded = scored.select("vec_id", *[F.round(c, 6).alias(c) for c in scored.columns[1:]])
+    return delimited.csv_round_trip(rounded, "submission")
 
 
 @query("cache_intermediate", """

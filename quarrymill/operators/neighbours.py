@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 8192
+SLICE_ROWS = 512
 
 
 def _spread(df: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
@@ -36,21 +37,26 @@ def nearest(
                 "id", "qb", q_blocks, "tb", t_blocks)
 
     def block_best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "neighbour": [], "label": [], "distance2": []})
         if left.empty or right.empty:
-            return empty
-        a, b = np.stack(right["vec"].to_numpy()).astype("f8"), np.stack(left["vec"].to_numpy()).astype("f8")
-        d = np.round((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 9)
-        d[d <= 0] = 0.0
-        ids, qids = left["id"].to_numpy(), right["id"].to_numpy()
-        d[qids[:, None] == ids[None, :]] = np.inf  # a row is no neighbour of itself
-        by_id = np.argsort(ids, kind="stable")
-        best = by_id[np.argsort(d[:, by_id], axis=1, kind="stable")[:, :k]]
-        rows = np.repeat(np.arange(len(qids)), best.shape[1])
-        out = pd.DataFrame({
-            "query": qids[rows], "neighbour": ids[best.ravel()],
-            "label": left["label"].to_numpy()[best.ravel()], "distance2": d[rows, best.ravel()],
-        })
+            return pd.DataFrame({"query": [], "neighbour": [], "label": [], "distance2": []})
+        left = left.sort_values("id", ignore_index=True)  # equal distances then fall by id
+        ids, labels = left["id"].to_numpy(), left["label"].to_numpy()
+        b = np.stack(left["vec"].to_numpy()).astype("f8")
+        norms = (b * b).sum(1)
+        parts = []
+        for start in range(0, len(right), SLICE_ROWS):  # bounds the distance matrix
+            piece = right.iloc[start: start + SLICE_ROWS]
+            qids = piece["id"].to_numpy()
+            a = np.stack(piece["vec"].to_numpy()).astype("f8")
+            d = np.maximum(np.round((a * a).sum(1)[:, None] + norms[None, :] - 2.0 * (a @ b.T), 9), 0.0)
+            d[qids[:, None] == ids[None, :]] = np.inf  # a row is no neighbour of itself
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]
+            rows = np.repeat(np.arange(len(qids)), best.shape[1])
+            parts.append(pd.DataFrame({
+                "query": qids[rows], "neighbour": ids[best.ravel()],
+                "label": labels[best.ravel()], "distance2": d[rows, best.ravel()],
+            }))
+        out = pd.concat(parts)
         return out[np.isfinite(out["distance2"])]
 
     kinds = dict(train.dtypes)
