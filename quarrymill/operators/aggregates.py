@@ -139,8 +139,8 @@ def score_summary(df: DataFrame, score: str) -> DataFrame:
 
 def difference_histogram(df: DataFrame, value: str, start: int = 0, last_step: int = 3) -> DataFrame:
     """Counts of steps between successive distinct values, from ``start`` and with a final step."""
-    distinct = df.select(value).distinct()
-    steps = chunked.previous(distinct, [], [value], {"_before": value}, position=value).select(
+    distinct = chunked.with_chunks(df.select(value).distinct(), value, measure=df)
+    steps = chunked.previous(distinct, [], [value], {"_before": value}).select(
         (F.col(value) - F.coalesce("_before", F.lit(start))).cast("bigint").alias("step")
     )
     ending = df.sparkSession.range(1).select(F.lit(last_step).cast("bigint").alias("step"))

@@ -62,10 +62,12 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     Rows shrink to counts per score; a running count of the negatives below each
     score then gives the pairs ranked the right way round.
     """
-    per_score = df.where(F.col(score).isNotNull()).groupBy(score).agg(
+    scored = df.where(F.col(score).isNotNull())
+    per_score = scored.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    placed = chunked.running(per_score, [], [score], {"upto": F.col("neg")}, position=score)
+    cut = chunked.with_chunks(per_score, score, measure=scored)
+    placed = chunked.running(cut, [], [score], {"upto": F.col("neg")})
     below = F.col("upto") - F.col("neg")
     right = F.col("pos") * (below.cast("double") + F.col("neg") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")

@@ -177,6 +177,5 @@ def first_failure(df: DataFrame, order: str, passed: Column, columns: Sequence[s
 
 def successive_differences(df: DataFrame, value: str) -> DataFrame:
     """Distinct values with the difference to the one before (null on the first)."""
-    return chunked.previous(
-        df.select(value).distinct(), [], [value], {"_before": value}, position=value
-    ).select(value, (F.col(value) - F.col("_before")).alias("difference"))
+    distinct = chunked.with_chunks(df.select(value).distinct(), value, measure=df)
+    return chunked.previous(distinct, [], [value], {"_before": value}).select(value, (F.col(value) - F.col("_before")).alias("difference"))

@@ -40,11 +40,11 @@ def ranked_by_value(df: DataFrame, value: str, name: str, descending: bool = Tru
     Ranks are found on the distinct values: the rank of a value is one more
     than the rows before it, a running count split by value ranges.
     """
-    counts = df.groupBy(value).agg(F.count("*").alias("_n"))
     key = -F.col(value).cast("double") if descending else F.col(value).cast("double")
-    ranks = chunked.running(
-        counts.withColumn("_key", key), [], ["_key", value], {"_upto": F.col("_n")}, position="_key"
-    ).select(F.col(value), (F.col("_upto") - F.col("_n") + 1).cast("bigint").alias(name))
+    keyed = df.withColumn("_key", key)
+    counts = keyed.groupBy(value, "_key").agg(F.count("*").alias("_n"))
+    cut = chunked.with_chunks(counts, "_key", measure=keyed)
+    ranks = chunked.running(cut, [], ["_key", value], {"_upto": F.col("_n")}).select(F.col(value), (F.col("_upto") - F.col("_n") + 1).cast("bigint").alias(name))
     return df.join(ranks, value)
 
 

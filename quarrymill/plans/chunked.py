@@ -49,16 +49,19 @@ def with_chunks(
     position: str | Column,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     min_chunks: int = MIN_CHUNKS,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_chunk``: quantile ranges of ``position``.
 
     ``position`` must be numeric and must not decrease along the scan order;
     rows with equal positions share a chunk.  An aggregate over this one column
     (a second one where the table is large) brings back the row count and the
-    cut points, ``MAX_CHUNKS`` of them at most.
+    cut points, ``MAX_CHUNKS`` of them at most.  For aggregated rows, ``measure``
+    gives the raw table to take the quantiles from: a range holds no more
+    distinct values than raw rows, and the aggregation is not run twice.
     """
     pos = (F.col(position) if isinstance(position, str) else position).cast("double")
-    values = df.select(pos.alias("p"))
+    values = (df if measure is None else measure).select(pos.alias("p"))
     count, limits = _cuts(values, min_chunks)
     wanted = min(MAX_CHUNKS, -(-count // rows_per_chunk))
     if wanted > min_chunks:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.session import cut_lineage
+from quarrymill.session import cut_lineage, cut_lineage_counted
 
 BROADCAST_ROWS = 100_000
 
@@ -23,9 +23,9 @@ def reach(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataF
     written to the checkpoint folder, which keeps the plan short and survives
     lost executors.
     """
-    start = cut_lineage(start.select("node").distinct())
+    start, frontier_rows = cut_lineage_counted(start.select("node").distinct())
     hops = edges.select(F.col(source).alias("node"), F.col(target).alias("_next"))
-    frontier, frontier_rows = start, start.count()
+    frontier = start
     found = start.limit(0)
     rounds = 0
     while frontier_rows:
@@ -34,8 +34,7 @@ def reach(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataF
             .select(F.col("_next").alias("node")).distinct()
             .join(found, "node", "left_anti")
         )
-        frontier = cut_lineage(fresh)
-        frontier_rows = frontier.count()
+        frontier, frontier_rows = cut_lineage_counted(fresh)
         if frontier_rows:
             found = found.union(frontier)
             rounds += 1
@@ -57,8 +56,7 @@ def weighted_reach(
     hops = edges.select(
         F.col(source).alias("node"), F.col(target).alias("_next"), F.col(qty).alias("_qty")
     )
-    frontier = cut_lineage(start.select("root", "node", "mult"))
-    frontier_rows = frontier.count()
+    frontier, frontier_rows = cut_lineage_counted(start.select("root", "node", "mult"))
     levels = []
     while frontier_rows:
         if len(levels) >= max_rounds:
@@ -68,8 +66,7 @@ def weighted_reach(
             .groupBy("root", F.col("_next").alias("node"))
             .agg(F.sum(F.col("mult") * F.col("_qty")).alias("mult"))
         )
-        frontier = cut_lineage(step)
-        frontier_rows = frontier.count()
+        frontier, frontier_rows = cut_lineage_counted(step)
         if frontier_rows:
             levels.append(frontier)
     if not levels:
@@ -85,8 +82,9 @@ def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
     hops = edges.select(
         F.col(source).alias("_from"), F.col(target).alias("_to")
     ).distinct()
-    frontier = cut_lineage(hops.select(F.col("_from").alias("ancestor"), F.col("_to").alias("descendant")))
-    frontier_rows = frontier.count()
+    frontier, frontier_rows = cut_lineage_counted(
+        hops.select(F.col("_from").alias("ancestor"), F.col("_to").alias("descendant"))
+    )
     found = frontier
     rounds = 0
     while frontier_rows:
@@ -95,8 +93,7 @@ def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
             .select("ancestor", F.col("_to").alias("descendant")).distinct()
             .join(found, ["ancestor", "descendant"], "left_anti")
         )
-        frontier = cut_lineage(fresh)
-        frontier_rows = frontier.count()
+        frontier, frontier_rows = cut_lineage_counted(fresh)
         if frontier_rows:
             found = found.union(frontier)
             rounds += 1

@@ -17,7 +17,8 @@ def exact_median(df: DataFrame, value: str) -> DataFrame:
     or two values that cover the middle are kept.
     """
     counts = value_counts(df, value)
-    placed = chunked.running(counts, [], ["v"], {"upto": F.col("n")}, position="v")
+    cut = chunked.with_chunks(counts, "v", measure=df.select(F.col(value).alias("v")))
+    placed = chunked.running(cut, [], ["v"], {"upto": F.col("n")})
     total = counts.agg(F.sum("n")).scalar()
     low, high = F.floor((total + 1) / 2), F.ceil((total + 1) / 2)
     before = F.col("upto") - F.col("n")

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,6 +67,13 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def cut_lineage_counted(df):
+    """Checkpoint and row count from the same job."""
+    seen = Observation()
+    kept = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return kept, seen.get["rows"]
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for a table written and read back."""
     return f"{shared_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
