@@ -58,31 +58,35 @@ def prefix(df: DataFrame, keys, order, n: int, position, name: str = "seq") -> D
     return short.withColumn(name, F.col(name).cast("bigint"))
 
 
-def _local_runs(df, keys, order, value, position):
-    """Rows with ``_run``: the run number inside their ``(keys, chunk)``."""
-    rows = df if chunked.CHUNK in df.columns else chunked.with_chunks(df, position)
+def _local_runs(df, keys, order, value, position, rows_per_chunk):
+    """Rows with ``_run``, the run number inside their ``(keys, chunk)``; and whether keys are cut."""
+    rows, split = chunked.cut(df, keys, position, rows_per_chunk)
     part = [*keys, chunked.CHUNK]
     inner = Window.partitionBy(*part).orderBy(*order)
     # a chunk's first row starts a run; a null value is a value of its own
     starts = (F.row_number().over(inner) == 1) | ~F.col(value).eqNullSafe(F.lag(value).over(inner))
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
     flagged = rows.withColumn("_starts", starts.cast("bigint"))
-    return flagged.withColumn("_run", F.sum("_starts").over(upto)).drop("_starts"), part
+    return flagged.withColumn("_run", F.sum("_starts").over(upto)).drop("_starts"), part, split
 
 
 def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                position: str | Column | None = None) -> DataFrame:
+                position: str | Column | None = None, rows_per_chunk: int = chunked.ROWS_PER_CHUNK) -> DataFrame:
     """Run-length encoding: ``(keys, run_id, value, len)`` with ``run_id`` 1, 2, ... per key.
 
     Runs are built inside the chunks, where grouping needs no further shuffle.
-    A chunk's summary (its number of runs, first and last value) tells the next
-    one where its numbers begin and whether its first run goes on from before;
-    pieces of one run then carry the same number and are added up.
+    Of a key that is cut, a chunk's summary (its number of runs, first and last
+    value) tells the next chunk where its numbers begin and whether its first
+    run goes on from before; pieces of one run then carry the same number and
+    are added up.
     """
-    local, part = _local_runs(df, keys, order, value, position)
-    pieces = local.groupBy(*part, "_run").agg(F.any_value(value).alias(value), F.count("*").alias("_len"))
+    local, part, split = _local_runs(df, keys, order, value, position, rows_per_chunk)
+    # the value is fixed within a run; as a key it spares an aggregate over text
+    pieces = local.groupBy(*part, "_run", value).agg(F.count("*").alias("len"))
+    if not split:
+        return pieces.select(*keys, F.col("_run").alias("run_id"), value, "len")
     cell = F.struct(F.col(value).alias("v"))
-    ends = pieces.groupBy(*part).agg(
+    ends = pieces.where(F.col(chunked.CHUNK) != chunked.WHOLE).groupBy(*part).agg(
         F.max("_run").alias("_runs"), F.min_by(cell, "_run").alias("_first"), F.max_by(cell, "_run").alias("_last")
     )
     along = Window.partitionBy(*keys).orderBy(chunked.CHUNK)
@@ -94,23 +98,26 @@ def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         .withColumn("_offset", F.coalesce(F.sum("_runs").over(before), F.lit(0)) - F.sum("_joined").over(upto))
         .select(*part, "_offset")
     )
+    run_id = F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0))
     return (
         chunked.attach(pieces, offsets, keys)
-        .groupBy(*keys, (F.col("_run") + F.col("_offset")).alias("run_id"))
-        .agg(F.any_value(value).alias(value), F.sum("_len").alias("len"))
+        .groupBy(*keys, run_id.alias("run_id"), value).agg(F.sum("len").alias("len"))
     )
 
 
 def long_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, at_least: int,
-              position: str | Column | None = None, name: str = "long_runs") -> DataFrame:
+              position: str | Column | None = None, name: str = "long_runs",
+              rows_per_chunk: int = chunked.ROWS_PER_CHUNK) -> DataFrame:
     """Runs of at least the given length, per key (zero where there is none).
 
     Rows are shuffled once: a chunk counts the long runs that end and begin
     inside it and hands on only its first and last run, at most two rows per
     chunk, which are then joined up across the chunk borders.
     """
-    local, part = _local_runs(df, keys, order, value, position)
-    pieces = local.groupBy(*part, "_run").agg(F.any_value(value).alias("v"), F.count("*").alias("len"))
+    local, part, split = _local_runs(df, keys, order, value, position, rows_per_chunk)
+    pieces = local.groupBy(*part, "_run", F.col(value).alias("v")).agg(F.count("*").alias("len"))
+    if not split:
+        return pieces.groupBy(*keys).agg(F.count_if(F.col("len") >= at_least).alias(name))
     piece = F.struct("_run", "v", "len")
     chunks = pieces.groupBy(*part).agg(
         F.count_if(F.col("len") >= at_least).alias("_long"),

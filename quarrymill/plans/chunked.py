@@ -1,13 +1,15 @@
-"""Ordered scans that never pull a whole group into one task.
+"""Ordered scans that never pull a large group into one task.
 
 A window over ``partitionBy(key)`` sorts every row of one key in one task, and
-one without keys sorts the whole table there.  Here each key's rows are cut
-into *chunks*: ranges of a position column whose limits are quantiles of the
-data, so a chunk holds about ``rows_per_chunk`` rows whatever the key skew.
-Windows then run inside ``(keys, chunk)``; what a chunk needs to know about
-the rows before it (a running total, the last row) is one small aggregated row
-per ``(keys, chunk)``, joined back on the same columns the window is already
-partitioned by.
+one without keys sorts the whole table there.  Here large groups are cut into
+*chunks*: ranges of a position column whose limits are quantiles of the data,
+so a chunk holds about ``rows_per_chunk`` rows.  Windows run inside
+``(keys, chunk)``; what a chunk needs to know about the rows before it (a running
+total, the last row) is one small aggregated row per chunk, joined back on the
+columns the window is already partitioned by.
+
+With keys, only those with more than ``rows_per_chunk`` rows are cut.  A count
+per key finds them first; where there are none, the plain window is all that runs.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 ROWS_PER_CHUNK = 1_000_000
 MAX_CHUNKS = 4096
-MIN_CHUNKS = 8
+MAX_HOT_KEYS = 10_000
+WHOLE = -2  # chunk number of a key that is not cut
+NO_POSITION = -1  # chunk number of rows without a position; they come first
 
 
 def tie_broken(df: DataFrame, primary: Column, secondary: str) -> Column:
@@ -44,14 +48,32 @@ def _cuts(values: DataFrame, chunks: int) -> tuple[int, list[float]]:
     return count, sorted(set(cuts or [])) if chunks > 1 else []
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bucketed(df: DataFrame, pos: Column, limits: list[float]) -> DataFrame:
+    if not limits:
+        return df.withColumn(CHUNK, F.lit(0))
+    cutter = Bucketizer(
+        splits=[-float("inf"), *limits, float("inf")],
+        inputCol="_position", outputCol="_bucket", handleInvalid="keep",
+    )
+    return (
+        cutter.transform(df.withColumn("_position", pos))
+        .withColumn(CHUNK, F.coalesce(F.col("_bucket").cast("int"), F.lit(NO_POSITION)))
+        .drop("_position", "_bucket")
+    )
+
+
 def with_chunks(
     df: DataFrame,
     position: str | Column,
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    min_chunks: int = MIN_CHUNKS,
+    min_chunks: int | None = None,
     measure: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_chunk``: quantile ranges of ``position``.
+    """Add ``_chunk``: quantile ranges of ``position`` over the whole table.
 
     ``position`` must be numeric and must not decrease along the scan order;
     rows with equal positions share a chunk.  An aggregate over this one column
@@ -62,56 +84,77 @@ def with_chunks(
     """
     pos = (F.col(position) if isinstance(position, str) else position).cast("double")
     values = (df if measure is None else measure).select(pos.alias("p"))
-    count, limits = _cuts(values, min_chunks)
+    fewest = min_chunks or min(MAX_CHUNKS, 2 * _partitions(df))
+    count, limits = _cuts(values, fewest)
     wanted = min(MAX_CHUNKS, -(-count // rows_per_chunk))
-    if wanted > min_chunks:
+    if wanted > fewest:
         _, limits = _cuts(values, wanted)
-    if not limits:
-        return df.withColumn(CHUNK, F.lit(0))
-    cutter = Bucketizer(
-        splits=[-float("inf"), *limits, float("inf")],
-        inputCol="_position", outputCol="_bucket", handleInvalid="keep",
-    )
-    return (
-        cutter.transform(df.withColumn("_position", pos))
-        .withColumn(CHUNK, F.coalesce(F.col("_bucket").cast("int"), F.lit(-1)))
-        .drop("_position", "_bucket")
-    )
+    return _bucketed(df, pos, limits)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs.items()])
+
+
+def with_hot_chunks(
+    df: DataFrame, keys: Sequence[str], position: str | Column, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> tuple[DataFrame, bool]:
+    """Add ``_chunk`` for the keys too large for one task; say whether there are any.
+
+    The largest ``MAX_HOT_KEYS`` keys above the limit come to the driver and are
+    broadcast back.  A key left out by that bound holds less than a ten-thousandth
+    of the table and is scanned whole.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_chunk)
+    hot = counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
+    if not hot:
+        return df.withColumn(CHUNK, F.lit(WHOLE)), False
+    named = {k: f"_hot_{k}" for k in keys}
+    table = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in hot], df.select(*keys).schema)
+    table = F.broadcast(table.toDF(*named.values()).withColumn("_hot", F.lit(True)))
+    pos = (F.col(position) if isinstance(position, str) else position).cast("double")
+    marked = df.withColumn("_pos", pos).join(table, _null_safe(df, table, named), "left").drop(*named.values())
+    chunks = min(MAX_CHUNKS, max(2, -(-max(r["_n"] for r in hot) // rows_per_chunk), 2 * _partitions(df)))
+    _, limits = _cuts(marked.where("_hot").select(F.col("_pos").alias("p")), chunks)
+    cut = _bucketed(marked, F.col("_pos"), limits)
+    return cut.withColumn(
+        CHUNK, F.when(F.col("_hot"), F.col(CHUNK)).otherwise(F.lit(WHOLE))
+    ).drop("_hot", "_pos"), True
 
 
 def with_uniform_chunks(df: DataFrame, unit: Column, chunks: int | None = None) -> DataFrame:
-    """Add ``_chunk`` for a position known to be uniform on [0, 1), such as a hash."""
-    n = chunks or max(MIN_CHUNKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.withColumn(CHUNK, F.floor(unit * F.lit(n)).cast("int"))
+    """Add ``_chunk`` for a position known to be uniform on [0, 1), such as a hash.
+
+    Several chunks per shuffle partition even out how they fall on the tasks.
+    """
+    return df.withColumn(CHUNK, F.floor(unit * F.lit(chunks or 4 * _partitions(df))).cast("int"))
 
 
-def _chunked(df: DataFrame, position) -> DataFrame:
+def cut(
+    df: DataFrame, keys: Sequence[str], position: str | Column | None, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> tuple[DataFrame, bool]:
+    """Rows with ``_chunk``, and whether any group spans several chunks."""
     if CHUNK in df.columns:
-        return df
+        return df, True
     if position is None:
         raise ValueError("give a position column or a frame with chunks")
-    return with_chunks(df, position)
+    if keys:
+        return with_hot_chunks(df, keys, position, rows_per_chunk)
+    return with_chunks(df, position, rows_per_chunk), True
 
 
 def attach(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join the carried row of each ``(keys, chunk)`` back to its rows.
+    """Join the carried row of each ``(keys, chunk)`` to its rows; uncut keys have none.
 
     Without keys the carry has one row per chunk, at most ``MAX_CHUNKS + 1``, so
-    it may be broadcast; with keys its size grows with the data and the join
-    strategy is left to the planner.
+    it may be broadcast; with keys the strategy is left to the planner, and the
+    rows are already partitioned and sorted by the join columns.
     """
-    on = [*keys, CHUNK]
-    renamed = carry.select(
-        *[F.col(c).alias(f"_carry_{c}") for c in on],
-        *[c for c in carry.columns if c not in on],
-    )
+    named = {c: f"_carry_{c}" for c in [*keys, CHUNK]}
+    renamed = carry.withColumnsRenamed(named)
     if not keys:
         renamed = F.broadcast(renamed)
-    match = reduce(
-        lambda a, b: a & b,
-        [rows[c].eqNullSafe(renamed[f"_carry_{c}"]) for c in on],
-    )
-    return rows.join(renamed, match, "inner").drop(*[f"_carry_{c}" for c in on])
+    return rows.join(renamed, _null_safe(rows, renamed, named), "left").drop(*named.values())
 
 
 def running(
@@ -120,40 +163,36 @@ def running(
     order: Sequence[str | Column],
     totals: dict[str, Column],
     position: str | Column | None = None,
-    keep_chunk: bool = False,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Running sums per key in ``order``; nulls add nothing.
 
     ``totals`` maps an output name to the summed expression.  A running count
     is the sum of one, a row number the same.
     """
-    rows = _chunked(df, position)
+    rows, split = cut(df, keys, position, rows_per_chunk)
     part = [*keys, CHUNK]
     inner = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
-    sums = rows.groupBy(*part).agg(
+    local = rows.withColumns({n: F.sum(F.coalesce(e, zero)).over(inner) for n, e in totals.items()})
+    if not split:
+        return local.drop(CHUNK)
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.where(F.col(CHUNK) != WHOLE).groupBy(*part).agg(
         *[F.sum(F.coalesce(e, zero)).alias(f"_sum_{n}") for n, e in totals.items()]
     )
-    carry = sums.select(
-        *part,
-        *[F.coalesce(F.sum(f"_sum_{n}").over(before), zero).alias(f"_before_{n}") for n in totals],
-    )
-    local = rows.withColumns(
-        {n: F.sum(F.coalesce(e, zero)).over(inner) for n, e in totals.items()}
-    )
-    out = attach(local, carry, keys).withColumns(
-        {n: F.col(n) + F.col(f"_before_{n}") for n in totals}
-    ).drop(*[f"_before_{n}" for n in totals])
-    return out if keep_chunk else out.drop(CHUNK)
+    carry = sums.select(*part, *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in totals])
+    return attach(local, carry, keys).withColumns(
+        {n: F.col(n) + F.coalesce(F.col(f"_before_{n}"), zero) for n in totals}
+    ).drop(CHUNK, *[f"_before_{n}" for n in totals])
 
 
 def row_numbers(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str,
-    position: str | Column | None = None, keep_chunk: bool = False,
+    position: str | Column | None = None, rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Number rows 1, 2, ... per key in ``order`` (which must be total)."""
-    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, position, keep_chunk)
+    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, position, rows_per_chunk)
 
 
 def previous(
@@ -162,28 +201,31 @@ def previous(
     order: Sequence[str],
     values: dict[str, str],
     position: str | Column | None = None,
-    keep_chunk: bool = False,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """The previous row's values per key in ascending ``order``; null on the first row.
 
     ``values`` maps an output name to the column it looks back at.
     """
-    rows = _chunked(df, position)
+    rows, split = cut(df, keys, position, rows_per_chunk)
     part = [*keys, CHUNK]
     inner = Window.partitionBy(*part).orderBy(*order)
+    if not split:
+        return rows.withColumns({n: F.lag(v).over(inner) for n, v in values.items()}).drop(CHUNK)
     before = Window.partitionBy(*keys).orderBy(CHUNK)
     fields = F.struct(*[F.col(v).alias(n) for n, v in values.items()])
-    lasts = rows.groupBy(*part).agg(F.max_by(fields, F.struct(*order)).alias("_last"))
+    lasts = rows.where(F.col(CHUNK) != WHOLE).groupBy(*part).agg(
+        F.max_by(fields, F.struct(*order)).alias("_last")
+    )
     carry = lasts.select(*part, F.lag("_last").over(before).alias("_tail"))
     local = rows.withColumns(
         {"_first": F.row_number().over(inner) == 1,
          **{f"_lag_{n}": F.lag(v).over(inner) for n, v in values.items()}}
     )
-    out = attach(local, carry, keys).withColumns(
+    return attach(local, carry, keys).withColumns(
         {n: F.when(F.col("_first"), F.col(f"_tail.{n}")).otherwise(F.col(f"_lag_{n}"))
          for n in values}
-    ).drop("_first", "_tail", *[f"_lag_{n}" for n in values])
-    return out if keep_chunk else out.drop(CHUNK)
+    ).drop(CHUNK, "_first", "_tail", *[f"_lag_{n}" for n in values])
 
 
 def lookback(

@@ -37,15 +37,27 @@ def by_key(rows):
     return out
 
 
-def test_no_chunk_holds_the_hot_key(df):
-    cut = chunked.with_chunks(df, "seq", rows_per_chunk=30)
-    biggest = cut.groupBy("key", "_chunk").count().agg(F.max("count")).first()[0]
-    assert cut.select("_chunk").distinct().count() >= 15
-    assert biggest <= 60
+# limit -> no key cut, only the hot key cut, nearly every key cut
+LIMITS = [1_000_000, 100, 3]
 
 
-def test_running_sum_and_number(df, rows):
-    got = chunked.running(df, ["key"], ["seq"], {"total": F.col("value"), "no": F.lit(1)}, "seq")
+def test_only_large_keys_are_cut(df):
+    cut, split = chunked.cut(df, ["key"], "seq", rows_per_chunk=40)
+    assert split
+    sizes = {(r.key, r._chunk): r["count"] for r in cut.groupBy("key", "_chunk").count().collect()}
+    assert max(n for (k, _), n in sizes.items() if k == "hot") <= 40
+    assert all((c == chunked.WHOLE) == (k != "hot") for k, c in sizes)
+    assert chunked.cut(df, ["key"], "seq")[1] is False
+
+
+def test_a_table_without_keys_is_cut(df):
+    cut, split = chunked.cut(df, [], "seq", rows_per_chunk=20)
+    assert split and cut.groupBy("_chunk").count().agg(F.max("count")).first()[0] <= 45
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_running_sum_and_number(df, rows, limit):
+    got = chunked.running(df, ["key"], ["seq"], {"total": F.col("value"), "no": F.lit(1)}, "seq", limit)
     want = set()
     for key, items in by_key(rows).items():
         total = 0
@@ -55,8 +67,9 @@ def test_running_sum_and_number(df, rows):
     assert {(r.seq, r.key, r.total, r.no) for r in got.collect()} == want
 
 
-def test_previous_row(df, rows):
-    got = chunked.previous(df, ["key"], ["seq"], {"before": "value"}, "seq")
+@pytest.mark.parametrize("limit", LIMITS)
+def test_previous_row(df, rows, limit):
+    got = chunked.previous(df, ["key"], ["seq"], {"before": "value"}, "seq", limit)
     want = set()
     for key, items in by_key(rows).items():
         before = None
@@ -115,9 +128,10 @@ def runs_of(values):
     return runs
 
 
+@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("keys", [["key"], []])
-def test_run_lengths(df, rows, keys):
-    got = ordered.run_lengths(df, keys, ["seq"], "value", "seq").collect()
+def test_run_lengths(df, rows, keys, limit):
+    got = ordered.run_lengths(df, keys, ["seq"], "value", "seq", limit).collect()
     groups = by_key(rows) if keys else {None: [(s, v) for s, _, v in sorted(rows)]}
     want = {
         (key, i, v, n) for key, items in groups.items()
@@ -138,8 +152,10 @@ def test_long_runs_across_chunks(spark, values, rows_per_chunk):
     assert got == sum(n >= 3 for _, n in runs_of(values))
 
 
-def test_long_runs_per_key(df, rows):
-    got = {r.key: r.long_runs for r in ordered.long_runs(df, ["key"], ["seq"], "value", 3, "seq").collect()}
+@pytest.mark.parametrize("limit", LIMITS)
+def test_long_runs_per_key(df, rows, limit):
+    out = ordered.long_runs(df, ["key"], ["seq"], "value", 3, "seq", rows_per_chunk=limit)
+    got = {r.key: r.long_runs for r in out.collect()}
     assert got == {
         k: sum(n >= 3 for _, n in runs_of([v for _, v in items])) for k, items in by_key(rows).items()
     }
