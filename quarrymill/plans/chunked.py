@@ -76,7 +76,8 @@ def with_chunks(
     """Add ``_chunk``: quantile ranges of ``position`` over the whole table.
 
     ``position`` must be numeric and must not decrease along the scan order;
-    rows with equal positions share a chunk.  An aggregate over this one column
+    rows with equal positions share a chunk, and rows without one come first, as
+    nulls do in an ascending sort.  An aggregate over this one column
     (a second one where the table is large) brings back the row count and the
     cut points, ``MAX_CHUNKS`` of them at most.  For aggregated rows, ``measure``
     gives the raw table to take the quantiles from: a range holds no more

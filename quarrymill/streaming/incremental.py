@@ -70,3 +70,8 @@ def quality_gate_handler(folder: str, valid: Column):
 def read_batches(spark: SparkSession, folder: str) -> DataFrame:
     """All batches written so far."""
     return spark.read.parquet(f"{folder}/out/*")
+
+
+def read_judged(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of the quality gate; a partition column comes back as text."""
+    return read_batches(spark, folder).withColumn("valid", F.col("valid").cast("boolean"))

@@ -175,3 +175,18 @@ def test_prefix_short_and_long(df, rows):
 def test_exact_median(spark, values, middle):
     df = spark.createDataFrame([(v,) for v in values], "x INT")
     assert quantiles.exact_median(df, "x").first().median == middle
+
+
+@pytest.mark.parametrize("keys", [["key"], []])
+def test_carried_rows_are_hash_or_merge_joined(df, keys):
+    out = chunked.running(df, keys, ["seq"], {"no": F.lit(1)}, "seq", rows_per_chunk=50)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # the rows themselves are shuffled once: the join reuses the window's partitioning
+    assert plan.count("Exchange hashpartitioning(key") <= 3
+
+
+def test_no_large_key_means_a_plain_window(df):
+    out = chunked.running(df, ["key"], ["seq"], {"no": F.lit(1)}, "seq")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1

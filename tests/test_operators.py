@@ -62,13 +62,17 @@ def test_contiguous_sum_without_a_slice(spark):
 
 
 def test_window_pairs_and_first_failure(spark):
-    values = [35, 20, 15, 25, 47, 40, 62, 55, 65, 95, 102, 117, 150, 182, 127, 219, 299]
+    rng = random.Random(8)
+    values = [rng.randrange(1, 12) for _ in range(60)]
     df = column(spark, values, "BIGINT").withColumn("idx", F.col("i") + 1)
     checked = joins.pair_sum_in_lookback(df, "idx", "x", 5)
-    for r in checked.collect():
-        frame = values[r.idx - 6: r.idx - 1]
-        assert r.valid == any(a != b and a + b == r.x for a, b in itertools.combinations(frame, 2))
-    assert ordered.first_failure(checked, "idx", F.col("valid"), ["x"]).first().x == 127
+    want = {
+        i + 1: any(a != b and a + b == v for a, b in itertools.combinations(values[i - 5: i], 2))
+        for i, v in enumerate(values) if i >= 5
+    }
+    assert {r.idx: r.valid for r in checked.collect()} == want
+    first = ordered.first_failure(checked, "idx", F.col("valid"), ["idx", "x"]).first()
+    assert first.idx == min(i for i, ok in want.items() if not ok) and first.x == values[first.idx - 1]
 
 
 def test_equal_values_make_no_pair(spark):
@@ -77,9 +81,9 @@ def test_equal_values_make_no_pair(spark):
 
 
 def test_difference_histogram(spark):
-    values = [16, 10, 15, 5, 1, 11, 7, 19, 6, 12, 4]
+    values = [8, 2, 11, 3, 7, 6, 3]
     out = aggregates.difference_histogram(column(spark, values, "INT"), "x")
-    assert {r.step: r.n for r in out.collect()} == {1: 7, 3: 5}
+    assert {r.step: r.n for r in out.collect()} == {1: 3, 2: 1, 3: 3}
 
 
 # ---- joins -----------------------------------------------------------------
@@ -246,21 +250,21 @@ def test_holidays(spark):
 
 
 def test_letter_rules(spark):
-    rows = [(1, 3, "a", "abcde"), (1, 3, "b", "cdefg"), (2, 9, "c", "ccccccccc"), (1, 99, "x", "xyz")]
+    rows = [(1, 2, "m", "maple"), (1, 3, "q", "river"), (2, 4, "o", "ooooo"), (1, 99, "x", "xyz")]
     df = spark.createDataFrame(rows, "low INT, high INT, letter STRING, word STRING")
     w, l = F.col("word"), F.col("letter")
     got = df.select(text.letter_count_between(w, l, F.col("low"), F.col("high")).alias("a"),
                     text.letter_at_one_of(w, l, F.col("low"), F.col("high")).alias("b")).collect()
-    assert [r.a for r in got] == [True, False, True, True]
+    assert [r.a for r in got] == [True, False, False, True]
     assert [r.b for r in got] == [True, False, False, True]
 
 
 def test_seats(spark):
-    seats = ["FBFBBFFRLR", "BFFFBBFRRR", "FFFBBBFRRR", "BBFFBBFRLL"]
+    seats = ["FBFBBFFRLR", "FFFFFFFLLL", "BBBBBBBRRR", "BFBFBFBLRL"]
     got = [(r.n, r.r, r.c, r.back) for r in column(spark, seats).select("i", codes.seat_number(F.col("x")).alias("n"),
            codes.seat_row(F.col("x")).alias("r"), codes.seat_column(F.col("x")).alias("c"),
            codes.seat_code(codes.seat_number(F.col("x"))).alias("back")).orderBy("i").collect()]
-    assert got == [(357, 44, 5, seats[0]), (567, 70, 7, seats[1]), (119, 14, 7, seats[2]), (820, 102, 4, seats[3])]
+    assert got == [(357, 44, 5, seats[0]), (0, 0, 0, seats[1]), (1023, 127, 7, seats[2]), (682, 85, 2, seats[3])]
 
 
 def test_grid_walk(spark):
@@ -273,12 +277,12 @@ def test_grid_walk(spark):
 
 
 def test_record_rules(spark):
-    good = "byr:1980 iyr:2012 eyr:2030 hgt:74in hcl:#623a2f ecl:grn pid:087499704"
+    good = "byr:1955 iyr:2013 eyr:2024 hgt:66in hcl:#0a1b2c ecl:hzl pid:012345678"
     texts = [
-        good, good + " cid:1", good.replace("hgt:74in ", ""), good.replace("1980", "2003"),
-        good.replace("74in", "74"), good.replace("74in", "190in"), good.replace("#623a2f", "#623a2z"),
-        good.replace("#623a2f", "623a2f"), good.replace("grn", "wat"), good.replace("087499704", "0123456789"),
-        good.replace("1980", "soon"), good + " byr:1900", " ".join(f"x{i}:1" for i in range(7)),
+        good, good + " cid:1", good.replace("hgt:66in ", ""), good.replace("1955", "2003"),
+        good.replace("66in", "66"), good.replace("66in", "190in"), good.replace("#0a1b2c", "#0a1b2z"),
+        good.replace("#0a1b2c", "0a1b2c"), good.replace("hzl", "red"), good.replace("012345678", "0123456789"),
+        good.replace("1955", "soon"), good + " byr:1900", " ".join(f"x{i}:1" for i in range(7)),
     ]
     got = apply(spark, lambda c: validate.record_valid(text.key_values(c)), texts)
     assert got == [True, True] + [False] * 11
