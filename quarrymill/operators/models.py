@@ -228,9 +228,10 @@ def tune(
     estimator: Estimator, grid: dict[str, Iterable], df: DataFrame, key: str, k: int,
     metric: str = "accuracy", parallelism: int = 4,
 ) -> tuple[DataFrame, object]:
-    """Grid search by k-fold score: ``(points table, best model)``.
+    """Grid search by k-fold score: the table of points with their scores, and the best model.
 
-    Equal scores go to the later point, the last of the best.
+    Where points tie, the model is that of the first; ``topk.last_of_best`` on the
+    table picks the last.
     """
     builder = ParamGridBuilder()
     for name, values in grid.items():

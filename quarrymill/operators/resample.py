@@ -14,12 +14,13 @@ from quarrymill.plans import chunked
 def kfold(df: DataFrame, key: str, k: int, seed: int = 0, strata: Sequence[str] = ()) -> DataFrame:
     """Add ``fold`` 0..k-1: shuffled, sizes within one of each other (per stratum if given).
 
-    The shuffle key is a hash, hence uniform: rows are numbered in equal hash
-    ranges whatever the size of a stratum.
+    Without strata the hash that shuffles is uniform, so rows are numbered in
+    equal hash ranges; with strata only those too large for one task are cut.
     """
     drawn = df.withColumn("_draw", hash_int(key, seed))
-    cut = chunked.with_uniform_chunks(drawn, F.col("_draw") / F.lit(4294967296.0))
-    numbered = chunked.row_numbers(cut, strata, ["_draw", key], "_no")
+    if not strata:
+        drawn = chunked.with_uniform_chunks(drawn, F.col("_draw") / F.lit(4294967296.0))
+    numbered = chunked.row_numbers(drawn, strata, ["_draw", key], "_no", position="_draw")
     return numbered.withColumn("fold", (F.col("_no") - 1) % k).drop("_draw", "_no")
 
 
