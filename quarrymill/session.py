@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -41,11 +41,17 @@ def local_session(cpus: int | str = 8, app: str = "quarrymill") -> SparkSession:
     return apply_settings(spark)
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (a laptop, a test) does a temporary folder of this machine stand in.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a
+    temporary folder stands in, but only while driver and executors are one
+    process; on any other master each machine would write to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -53,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not _one_machine(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="quarrymill-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -76,6 +84,28 @@ def cut_lineage_counted(df):
     return kept, kept.count()
 
 
+_SCRATCH: dict[str, str] = {}
+
+
+def _clear_scratch() -> None:
+    """Delete the scratch tables of this session, while it still runs."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    jvm = spark.sparkContext._jvm
+    for made in _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(made)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _SCRATCH.clear()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder for a table written and read back."""
-    return f"{shared_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder for a table written and read back.
+
+    It lasts as long as the session: all of them are deleted at its end.
+    """
+    if not _SCRATCH:
+        atexit.register(_clear_scratch)
+    made = f"{shared_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    _SCRATCH[made] = label
+    return made
