@@ -21,6 +21,8 @@ next one; an empty table gives an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from quarrymill.llm.common import BLANK_CHARS, BLANKS, let, quoted, written
 
 SHINGLE, BIN_BITS, BITS = 5, 7, 8
 BINS = 1 << BIN_BITS
-ROWS_PER_CHUNK = 8_192
+ROWS_PER_CHUNK = 4_096
 
 
 def _words(text: Column) -> Column:
@@ -101,62 +103,52 @@ def likeness(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1.0 - chance))
 
 
-def _cuts(df: DataFrame, rows_per_chunk: int) -> list[int]:
-    """Ids that part the table in ranges of about ``rows_per_chunk`` rows: one number
-    per range comes to the driver."""
-    count = df.agg(F.count("doc_id")).first()[0]
-    ranges = -(-count // rows_per_chunk)
-    if ranges < 2:
-        return []
-    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: i / F.lit(float(ranges)))
-    return sorted(set(df.agg(F.percentile_approx("doc_id", at, max(10_000, 8 * ranges))).first()[0]))
-
-
-def _chunk(cuts: list[int]) -> Column:
-    """Number of cuts at or below the id, by binary search; -1 for null."""
-    if not cuts:
-        return F.when(F.col("doc_id").isNull(), -1).otherwise(0)
-    steps = [1 << k for k in range(len(cuts).bit_length() - 1, -1, -1)]
-    table = F.array(*[F.lit(c) for c in cuts]) if len(cuts) < 64 else F.lit(cuts)
-
-    def search(points: Column) -> Column:
-        return F.aggregate(
-            F.array(*[F.lit(s) for s in steps]), F.lit(0),
-            lambda low, s: F.when(F.get(points, low + s - 1) <= F.col("doc_id"), low + s).otherwise(low),
-        )
+def _with_chunk(df: DataFrame, rows_per_chunk: int) -> DataFrame:
+    """Add ``chunk``: the number of cut points at or below ``doc_id``; -1 for null.
+
+    The cut points are the ids whose hash falls on one of ``rows_per_chunk``
+    values: one number per range of about so many rows, sorted in a scalar
+    subquery and found by binary search.
+    """
+    drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(rows_per_chunk)) == 0
+    points = df.select("doc_id").where(drawn & F.col("doc_id").isNotNull()).agg(
+        F.sort_array(F.collect_set("doc_id")).alias("points")).scalar()
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+
+    def search(found: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda low, s: F.when(
+            F.get(found, low + s - 1) <= F.col("doc_id"), low + s).otherwise(low))
 
-    return F.when(F.col("doc_id").isNull(), -1).otherwise(let(table, search))
+    return df.withColumn("points", points).withColumn(
+        "chunk", F.when(F.col("doc_id").isNull(), -1).otherwise(let(F.col("points"), search))
+    ).drop("points")
 
 
-def with_next(df: DataFrame, fields: list[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def with_next(df: DataFrame, add: Callable[[DataFrame], DataFrame], fields: list[str],
+              rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Add ``next``, a struct of ``fields`` of the row after, by ``doc_id``; the last
     row is followed by the first.
 
-    The table is cut in ranges of ids; a row moves once, to the task of its
-    range.  The last row of a range takes the first row of the next one, which
-    is fetched by its id.
+    ``add`` computes what ``fields`` name from ``doc_id`` and ``text``.  The table
+    is cut in ranges of ids; a row moves once, to the task of its range.  The last
+    row of a range takes the first row of the next one, which is fetched by its id.
     """
-    chunked = df.withColumn("chunk", _chunk(_cuts(df, rows_per_chunk)))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    inside = Window.partitionBy("chunk").orderBy(*order)
+    inside = Window.partitionBy("chunk").orderBy(F.col("doc_id").asc_nulls_first(), F.col("text"))
     following = F.struct(*fields)
-    rows = chunked.withColumns({
+    rows = add(_with_chunk(df, rows_per_chunk)).withColumns({
         "next": F.lead(following).over(inside),
         "last": F.lead(F.lit(1)).over(inside).isNull(),
     })
-    ids = df.select("doc_id").withColumn("chunk", _chunk(_cuts(df, rows_per_chunk)))
-    firsts = ids.groupBy("chunk").agg(F.min("doc_id").alias("first_id"))
     across = Window.orderBy("chunk")  # one row per range
-    turn = firsts.select(
-        F.lead("first_id").over(across).alias("lead_id"),
-        F.first("first_id").over(across).alias("wrap_id"),
-        F.row_number().over(across).alias("place"), "chunk",
-        F.lead("chunk").over(across).isNull().alias("end"),
-    ).select("chunk", F.when(F.col("end"), F.col("wrap_id")).otherwise(F.col("lead_id")).alias("want"))
-    turn = written(turn, "range-firsts")
-    heads = df.join(turn, df["doc_id"].eqNullSafe(turn["want"])).groupBy("chunk").agg(
-        F.min_by(following, F.coalesce("text", F.lit(""))).alias("head"))
-    heads = heads.withColumnRenamed("chunk", "turn")
+    turn = _with_chunk(df.select("doc_id"), rows_per_chunk).groupBy("chunk").agg(
+        F.min("doc_id").alias("first_id")
+    ).select("chunk", F.when(
+        F.lead("chunk").over(across).isNotNull(), F.lead("first_id").over(across)
+    ).otherwise(F.first("first_id").over(across.rowsBetween(Window.unboundedPreceding, 0))).alias("want"))
+    turn = written(turn.withColumnRenamed("chunk", "turn"), "range-firsts")
+    heads = df.join(turn, F.col("doc_id").eqNullSafe(F.col("want"))).groupBy("turn", "doc_id").agg(
+        F.min("text").alias("text"))
+    heads = add(heads).select("turn", following.alias("head"))
     return rows.join(heads, F.col("chunk") == F.col("turn"), "left").withColumn(
         "next", F.when(F.col("last"), F.col("head")).otherwise(F.col("next"))
     ).drop("chunk", "last", "turn", "head")
@@ -169,19 +161,18 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), size - part), F.substring(following, F.lit(1), part))
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """``doc_id, text, bins`` per row: the general operator."""
-    return df.select(
-        quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col), F.lit("")).alias("text")
-    ).withColumn("bins", bins(F.col("text"), width))
+def fingerprints(df: DataFrame, text_col: str = "text", name: str = "bins", width: int = SHINGLE) -> DataFrame:
+    """``df`` with the bins of a text column: the general operator."""
+    return df.withColumn(name, bins(quoted(text_col), width))
 
 
 def compare_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
-    rows = with_next(fingerprints(df, id_col, text_col), ["text", "bins"], rows_per_chunk)
+    texts = df.select(quoted(id_col).alias("doc_id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    rows = with_next(texts, fingerprints, ["text", "bins"], rows_per_chunk)
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next.text")))
-    return rows.withColumn("edited_bins", bins(F.col("edited"))).select(
+    return fingerprints(rows, "edited", "edited_bins").select(
         "doc_id",
         F.char_length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrymill.llm import language_id, line_dedup, minhash, mixing, packing, simhash
+import public_tokenizers
+
+from quarrymill.llm import (
+    embedding_pq, language_id, license_scan, line_dedup, minhash, mixing, packing, simhash, token_counts,
+    token_records,
+)
 from quarrymill.tables import Tables
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +57,17 @@ def op3(t: Tables) -> DataFrame:
         "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op4_embedding_pq")
+def op4(t: Tables) -> DataFrame:
+    return embedding_pq.links(t.embeddings)
+
+
+@query("op5_token_counts")
+def op5(t: Tables) -> DataFrame:
+    counted = token_counts.token_counts(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return t.documents.select("doc_id", counted.alias("r")).select("doc_id", "r.*")
+
+
 @query("op6_line_dedup", """
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -74,6 +90,13 @@ def op6(t: Tables) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op7_token_records")
+def op7(t: Tables) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    index = token_records.write_records(t.documents, path, end_id=1)
+    return token_records.digests(index, token_records.id_bytes(t.spark, path))
+
+
 @query("op9_minhash")
 def op9(t: Tables) -> DataFrame:
     return minhash.compare_edited(t.documents)
@@ -82,3 +105,20 @@ def op9(t: Tables) -> DataFrame:
 @query("op8_packing")
 def op8(t: Tables) -> DataFrame:
     return packing.pack(t.documents, keep=["doc_id"])
+
+
+@query("op10_license_scan")
+def op10(t: Tables) -> DataFrame:
+    rows = t.documents.select("doc_id", license_scan.scan(F.col("text")).alias("r")).select("doc_id", "r.*")
+    base = F.filter("spans", lambda s: s.exact)
+    starts = F.transform(base, lambda s: s.first_word.cast("bigint"))
+
+    def names(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.label))), ",")
+
+    return rows.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        names(base).alias("base_labels"), names(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s.likeness)), F.lit(0.0)).alias("score"), "spans",
+    )
