@@ -129,7 +129,7 @@ def multipliers(cells: DataFrame, goals: DataFrame, plan: Plan = Plan()) -> Data
         low = F.when(gap < 0, F.col("lam")).otherwise(F.col("low"))
         high = F.when(gap >= 0, F.col("lam")).otherwise(F.col("high"))
         moved = state.join(sums, "rank", "left").withColumns({"gap": gap, "low2": low, "high2": high})
-        newton = F.col("lam") - F.col("gap") / F.col("slope")
+        newton = F.col("lam") - F.try_divide("gap", "slope")
         inside = (newton > F.coalesce("low2", F.lit(float("-inf")))) & (newton < F.coalesce("high2", F.lit(float("inf"))))
         middle = (F.when(F.col("low2").isNull(), F.least(2 * F.col("high2"), F.col("high2") - 1))
                   .when(F.col("high2").isNull(), F.greatest(2 * F.col("low2"), F.col("low2") + 1))
@@ -146,7 +146,7 @@ def multipliers(cells: DataFrame, goals: DataFrame, plan: Plan = Plan()) -> Data
         ), "mix-state")
     full = F.col("target") >= F.col("words") * plan.most * (1 - 1e-12)
     return state.select(
-        "rank", (F.col("lam") / F.col("scale")).alias("lam"), (full & (F.col("words") > 0)).alias("full"))
+        "rank", F.coalesce(F.try_divide("lam", "scale"), F.lit(0.0)).alias("lam"), (full & (F.col("words") > 0)).alias("full"))
 
 
 def _rate(plan: Plan) -> Column:
