@@ -57,7 +57,7 @@ class Counter:
         """(pieces, score) of the best segmentation of a part."""
         size = len(part)
         ending: list[list] = [[] for _ in range(size + 1)]
-        for end, found in self.automaton.iter(part):
+        for end, found in self.automaton.iter(part) if len(self.automaton) else ():
             ending[end + 1].append(found)  # the longest first
         score, count = [0.0] * (size + 1), [0] * (size + 1)
         for e in range(1, size + 1):
