@@ -64,12 +64,14 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col
     rows = df.select(
         quoted(label_col).alias("lang"), quoted(text_col).alias("text"), quoted(id_col).alias("id")
     ).where("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language, as the model has
+    if not counts:
+        return {}
+    # a literal map, not a join: the rows that are not drawn are dropped in the scan
+    most = {r["lang"]: min(1.0, (2.0 * bounds.documents + 100) / r["n"]) * (1 << 63) for r in counts}
+    limit = F.create_map(*[F.lit(x) for pair in sorted(most.items()) for x in pair])
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "id", "text"), 1)
-    share = F.least(F.lit(1.0), F.lit(2.0 * bounds.documents + 100) / F.col("n"))
-    drawn = rows.join(counts, "lang").withColumn("draw", draw).where(
-        F.col("draw") <= share * F.lit(float(1 << 63))
-    )
+    drawn = rows.withColumn("draw", draw).where(F.col("draw") <= F.element_at(limit, F.col("lang")))
     first = Window.partitionBy("lang").orderBy("draw", "id", "text")
     sample = (
         drawn.withColumn("text", F.substring("text", 1, bounds.chars))
