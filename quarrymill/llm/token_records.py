@@ -24,6 +24,7 @@ import struct
 import uuid
 import zlib
 from functools import lru_cache, partial
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,13 @@ HEADER = struct.Struct("<qI")
 BLOCK, MASK_DELTA = 256, 0xA282EAD8
 BATCH_BYTES = 8 << 20
 LARGEST = 1 << 34
-REMEMBERED = 250_000
-_SPACE = "\t-\r \x85\xa0  -     　"
+REMEMBERED, JOINED, WORD_END = 400_000, 1_000, "</w>"
+_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ÿ", "!-&(-/:-@\\[-`{-~"
-_PIECES = re.compile(f"[{_LETTER}]+|[0-9]|[{_SIGN}]+")
+_PARTS = re.compile(f"[{_LETTER}]+|[0-9]|[{_SIGN}]+")
 _PLAIN = re.compile(f"[{_LETTER}0-9{_SIGN}]+")
+_WORDS = re.compile(f"[^{_SPACE}]+")
 _UNPLAIN = re.compile(f"[^{_SPACE}{_LETTER}0-9{_SIGN}]|<\\|")
-_SPACES = re.compile(f"[^{_SPACE}]+")
 INDEX = pa.schema([
     ("shard", pa.int32()), ("record", pa.int64()), ("file", pa.string()), ("doc_id", pa.int64()),
     ("offset", pa.int64()), ("length", pa.int64()), ("n_tokens", pa.int64()),
@@ -134,56 +135,73 @@ def verify(lengths: list[bytes], length_sums: list[int], payloads: list[bytes],
 
 # --- tokens ------------------------------------------------------------------
 
-class Encoder(dict):
-    """Little-endian ids of text parts, from the tokenizers library, remembered.
+class Encoder:
+    """Little-endian ids of texts from the tokenizers library, each distinct part once.
 
     The tokenizer lower-cases, breaks at white space and then at changes
-    between letters, digits and other signs, and ignores what lies beside a part.
-    So a text of plain Latin letters, digits and signs can be encoded part by part; apostrophes
-    and all other characters are left to the library in whole words.
+    between letters, digits and other signs, and a part's ids do not depend on what lies
+    beside it.  So plain Latin letters, digits and signs are encoded part by
+    part; words with apostrophes or any other character go to the library whole.
+    New parts are encoded many at a time, with blanks between them: the last
+    piece of a part carries the vocabulary's word end, which tells them apart again.
+    At most ``REMEMBERED`` parts are kept, or as many as the batch at hand uses.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-        found = np.array(ids, self.kind).tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[part] = found
-        return found
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode the parts not yet known together."""
-        new = list(set().union(*texts).difference(self)) if texts else []
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(set().union(*texts))
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[part] = np.array(found.ids, self.kind).tobytes()
-
-    def parts(self, text: str) -> list[str]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _split(self, text: str) -> list[str]:
+        """Parts and whole words of a text, in order."""
         if not _UNPLAIN.search(text):
-            return _PIECES.findall(text.lower())
+            return _PARTS.findall(text.lower())
         out: list[str] = []
-        for word in _SPACES.findall(text):
-            if _PLAIN.fullmatch(word) and "<|" not in word:
-                out += _PIECES.findall(word.lower())
+        for word in _WORDS.findall(text):
+            if _PLAIN.fullmatch(word) and "<|" not in word:  # a special token is not cut
+                out += _PARTS.findall(word.lower())
             else:
                 out.append(word)
         return out
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, self.kind) for f in found]
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [p for p in new if _PARTS.fullmatch(p)]
+        whole = [p for p in new if not _PARTS.fullmatch(p)]
+        groups = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(group):
+                whole += group
+                continue
+            data, size, start = ids.tobytes(), ids.itemsize, 0
+            for part, stop in zip(group, (stops * size).tolist()):
+                self.known[part] = data[start:stop]
+                start = stop
+        for part, ids in zip(whole, self._ids(whole)):
+            self.known[part] = ids.tobytes()
+
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         end = np.array([end_id], self.kind).tobytes()
-        cut = [self.parts(t) if t else [] for t in texts]
-        self.learn(cut)
-        return [b"".join(map(self.__getitem__, c)) + end for c in cut]
+        split = [self._split(t) if t else [] for t in texts]
+        known = self.known
+        new = set(filterfalse(known.__contains__, chain.from_iterable(split)))
+        if len(known) + len(new) > REMEMBERED:
+            kept = {p: known[p] for p in set(chain.from_iterable(split)).difference(new)}
+            known.clear()
+            known.update(kept)
+        self._learn(list(new))
+        ids = known.__getitem__
+        return [b"".join(map(ids, s)) + end for s in split]
 
 
 @lru_cache(maxsize=2)
