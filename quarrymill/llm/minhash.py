@@ -30,7 +30,7 @@ from quarrymill.llm.common import BLANK_CHARS, BLANKS, let, quoted, written
 
 SHINGLE, BIN_BITS, BITS = 5, 7, 8
 BINS = 1 << BIN_BITS
-ROWS_PER_CHUNK = 4_096
+ROWS_PER_CHUNK, OVERSAMPLE = 4_096, 8
 
 
 def _words(text: Column) -> Column:
@@ -106,13 +106,15 @@ def likeness(a: Column, b: Column) -> Column:
 def _with_chunk(df: DataFrame, rows_per_chunk: int) -> DataFrame:
     """Add ``chunk``: the number of cut points at or below ``doc_id``; -1 for null.
 
-    The cut points are the ids whose hash falls on one of ``rows_per_chunk``
-    values: one number per range of about so many rows, sorted in a scalar
-    subquery and found by binary search.
+    The cut points are every eighth of the ids that a hash draws, one row in
+    ``rows_per_chunk / 8``: one number per range of about so many rows, sorted in a
+    scalar subquery and found by binary search.
     """
-    drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(rows_per_chunk)) == 0
+    one_in = max(1, rows_per_chunk // OVERSAMPLE)
+    step = max(1, rows_per_chunk // one_in)
+    drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(one_in)) == 0
     points = df.select("doc_id").where(drawn & F.col("doc_id").isNotNull()).agg(
-        F.sort_array(F.collect_set("doc_id")).alias("points")).scalar()
+        F.filter(F.sort_array(F.collect_set("doc_id")), lambda _, i: (i + 1) % step == 0).alias("points")).scalar()
     steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
 
     def search(found: Column) -> Column:
