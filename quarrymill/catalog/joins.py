@@ -51,7 +51,7 @@ def join_last_state(t):
 
 @query("join_pair_sum", """
 SELECT DISTINCT least(a.p_size, b.p_size) AS low, greatest(a.p_size, b.p_size) AS high,
-       a.p_size * b.p_size AS product
+       a.p_size::BIGINT * b.p_size AS product
 FROM part a JOIN part b ON a.p_size + b.p_size = 60 AND a.p_partkey <> b.p_partkey
 """)
 def join_pair_sum(t):

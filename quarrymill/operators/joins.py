@@ -7,6 +7,7 @@ construction: dimension tables are left to Spark's own size check.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +21,15 @@ def rows_at_group_max(
     """Rows that reach their group's maximum, ties kept.
 
     The maximum is a partial aggregate and the join key holds the value as well,
-    so neither step gathers a large group in one place.  ``maxima_from`` takes
+    so neither step gathers a large group in one place.  A null key is a group.  ``maxima_from`` takes
     the maxima from other rows (a filtered table) while all of ``df`` may match:
     a row that the filter left out comes back when its value equals the maximum.
     """
+    named = {c: f"_top_{c}" for c in [*keys, value]}
     tops = (df if maxima_from is None else maxima_from).groupBy(*keys).agg(F.max(value).alias(value))
-    return df.join(tops, [*keys, value])
+    tops = tops.select(*[F.col(c).alias(n) for c, n in named.items()])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(named[c])) for c in keys], F.col(value) == F.col(named[value]))
+    return df.join(tops, same).drop(*named.values())
 
 
 def last_state(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -49,31 +53,39 @@ def pair_sums(df: DataFrame, value: str | Column, target: int) -> DataFrame:
     return (
         low.join(high, "high")
         .where((F.col("low") < F.col("high")) | ((F.col("low") == F.col("high")) & (F.col("_n") >= 2)))
-        .select("low", "high", (F.col("low") * F.col("high")).alias("product"))
+        .select("low", "high", (F.col("low").cast("bigint") * F.col("high")).alias("product"))
     )
 
 
 def triple_sums(df: DataFrame, value: str | Column, target: int) -> DataFrame:
     """Value triples ``a <= b <= c`` of three different rows that add up to ``target``.
 
-    Whole numbers only.  For each distinct ``a`` the possible ``b`` are the
-    numbers from ``a`` to ``(target - a) / 2``; they meet the table's values by an
-    equi-join, then ``c`` does.  The candidates are bounded by the target, not
-    by the number of rows.  (The original search let one row count twice.)
+    Whole numbers of any sign.  For each distinct ``a`` the possible ``b`` lie
+    between ``a`` and ``(target - a) / 2``.  The range of the values is cut in
+    about as many cells as the root of the number of distinct values; ``a`` goes to
+    the cells its band meets and finds there, by an equi-join, only values that are in
+    the table; ``c`` is a second equi-join.  The candidates depend on the values
+    present, not on how large the target is.  (The original search let one row count twice.)
     """
     counts = bands.value_counts(df, value)
-    a = counts.where(F.col("v") * 3 <= target).select(F.col("v").alias("a"), F.col("n").alias("_na"))
-    half = F.floor((target - F.col("a")) / 2)
-    b = counts.select(F.col("v").alias("b"), F.col("n").alias("_nb"))
-    c = counts.select(F.col("v").alias("c"))
-    kind = dict(counts.dtypes)["v"]
-    ab = a.withColumn("_b", F.explode(F.sequence(F.col("a").cast("bigint"), half))).withColumn(
-        "b", F.col("_b").cast(kind)
-    ).drop("_b").join(b, "b")
+    a = counts.where(F.col("v") * 3 <= target).select(F.col("v").cast("bigint").alias("a"), F.col("n").alias("_na"))
+    b = counts.select(F.col("v").cast("bigint").alias("b"), F.col("n").alias("_nb"))
+    c = counts.select(F.col("v").cast("bigint").alias("c"))
+    # a <= b <= (target - a) / 2: the band is cut in cells, and b is looked up in those that a's band meets
+    spread = counts.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n"))).first()[0]
+    if not spread["n"]:
+        return a.select("a", F.col("a").alias("b"), F.col("a").alias("c"), F.col("a").alias("product")).limit(0)
+    width = max(1, int((int(spread["high"]) - int(spread["low"])) / spread["n"] ** 0.5) + 1)
+    low, high = int(spread["low"]), int(spread["high"])
+    cell = lambda x: F.floor((x - low) / width)
+    upper = F.least(F.floor((F.lit(target) - F.col("a")) / 2), F.lit(high))
+    spans = a.where(upper >= F.col("a")).withColumn("_cell", F.explode(F.sequence(cell(F.col("a")), cell(upper))))
+    ab = spans.join(b.withColumn("_cell", cell(F.col("b"))), "_cell").where(
+        (F.col("b") >= F.col("a")) & (F.col("b") <= upper))
     need = F.lit(1) + (F.col("a") == F.col("b")).cast("int")
     need_c = F.col("b") == F.col("c")
     return (
-        ab.withColumn("c", (F.lit(target) - F.col("a") - F.col("b")).cast(kind)).join(c, "c")
+        ab.withColumn("c", F.lit(target) - F.col("a") - F.col("b")).join(c, "c")
         .where((F.col("_na") >= need)
                & (~need_c | (F.col("_nb") >= F.when(F.col("a") == F.col("b"), 3).otherwise(2))))
         .select("a", "b", "c", (F.col("a") * F.col("b") * F.col("c")).alias("product"))

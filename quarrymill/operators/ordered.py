@@ -60,7 +60,7 @@ def prefix(df: DataFrame, keys, order, n: int, position, name: str = "seq") -> D
 
 def _local_runs(df, keys, order, value, position, rows_per_chunk):
     """Rows with ``_run``, the run number inside their ``(keys, chunk)``; and whether keys are cut."""
-    rows, split = chunked.cut(df, keys, position, rows_per_chunk)
+    rows, split = chunked.cut(df, keys, position, rows_per_chunk, chunked.nulls_last(order))
     part = [*keys, chunked.CHUNK]
     inner = Window.partitionBy(*part).orderBy(*order)
     # a chunk's first row starts a run; a null value is a value of its own
@@ -89,15 +89,11 @@ def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     ends = pieces.where(F.col(chunked.CHUNK) != chunked.WHOLE).groupBy(*part).agg(
         F.max("_run").alias("_runs"), F.min_by(cell, "_run").alias("_first"), F.max_by(cell, "_run").alias("_last")
     )
-    along = Window.partitionBy(*keys).orderBy(chunked.CHUNK)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    upto = along.rowsBetween(Window.unboundedPreceding, 0)
-    offsets = (
-        ends.withColumn("_joined", F.coalesce(F.col("_first") == F.lag("_last").over(along), F.lit(False))
-                        .cast("bigint"))
-        .withColumn("_offset", F.coalesce(F.sum("_runs").over(before), F.lit(0)) - F.sum("_joined").over(upto))
-        .select(*part, "_offset")
-    )
+    # a run that goes on from the chunk before is counted once
+    linked = chunked.last_before(ends, keys, "_before", "_last").withColumn(
+        "_joined", F.coalesce(F.col("_first") == F.col("_before"), F.lit(False)).cast("bigint"))
+    sums = chunked.sums_before(linked, keys, {"_runs_before": "_runs", "_joined_before": "_joined"})
+    offsets = sums.select(*part, (F.col("_runs_before") - F.col("_joined_before") - F.col("_joined")).alias("_offset"))
     run_id = F.col("_run") + F.coalesce(F.col("_offset"), F.lit(0))
     return (
         chunked.attach(pieces, offsets, keys)

@@ -19,7 +19,7 @@ def kfold(df: DataFrame, key: str, k: int, seed: int = 0, strata: Sequence[str]
     """
     drawn = df.withColumn("_draw", hash_int(key, seed))
     if not strata:
-        drawn = chunked.with_uniform_chunks(drawn, F.col("_draw") / F.lit(4294967296.0))
+        drawn = chunked.with_uniform_chunks(drawn, F.col("_draw") / F.lit(4294967296.0), df.count())
     numbered = chunked.row_numbers(drawn, strata, ["_draw", key], "_no", position="_draw")
     return numbered.withColumn("fold", (F.col("_no") - 1) % k).drop("_draw", "_no")
 

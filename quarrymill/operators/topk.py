@@ -34,20 +34,6 @@ def last_of_best(df: DataFrame, score: str, sequence: str) -> DataFrame:
     return df.orderBy(F.desc(score), F.desc(sequence)).limit(1)
 
 
-def ranked_by_value(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
-    """Competition rank of every row over the whole table (equal values share a rank).
-
-    Ranks are found on the distinct values: the rank of a value is one more
-    than the rows before it, a running count split by value ranges.
-    """
-    key = -F.col(value).cast("double") if descending else F.col(value).cast("double")
-    keyed = df.withColumn("_key", key)
-    counts = keyed.groupBy(value, "_key").agg(F.count("*").alias("_n"))
-    cut = chunked.with_chunks(counts, "_key", measure=keyed)
-    ranks = chunked.running(cut, [], ["_key", value], {"_upto": F.col("_n")}).select(F.col(value), (F.col("_upto") - F.col("_n") + 1).cast("bigint").alias(name))
-    return df.join(ranks, value)
-
-
 def by_custom_order(df: DataFrame, column: str, ordering: Sequence[str], name: str = "ordinal") -> DataFrame:
     """Add the 1-based place of ``column`` in a stated order (null when not listed)."""
     places = F.array(*[F.lit(v) for v in ordering])
@@ -70,4 +56,4 @@ def shuffled_replicates(df: DataFrame, key: str, replicates: int, seed: int = 0)
     copies = df.repartition(tasks, key).withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     tag = F.concat(F.lit(f"{seed}-"), F.col("rep"))
     keyed = copies.withColumn("_draw", hash_int(key, tag))
-    return chunked.with_uniform_chunks(keyed, F.col("_draw") / F.lit(4294967296.0))
+    return chunked.with_uniform_chunks(keyed, F.col("_draw") / F.lit(4294967296.0), df.count())

@@ -109,3 +109,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     made = f"{shared_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
     _SCRATCH[made] = label
     return made
+
+
+def written(df, label: str):
+    """``df`` as a Parquet table in the shared folder, read back.
+
+    It cuts the lineage like a checkpoint and brings file sizes, by which the
+    planner decides on broadcasts.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarrymill.operators import ordered
@@ -183,10 +184,85 @@ def test_carried_rows_are_hash_or_merge_joined(df, keys):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     # the rows themselves are shuffled once: the join reuses the window's partitioning
-    assert plan.count("Exchange hashpartitioning(key") <= 3
+    assert plan.count("Exchange hashpartitioning(_part") == 1 and "hashpartitioning(coalesce(_chunk" not in plan
 
 
 def test_no_large_key_means_a_plain_window(df):
     out = chunked.running(df, ["key"], ["seq"], {"no": F.lit(1)}, "seq")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+ORDERS = {
+    "asc nulls first": (lambda: [F.col("d").asc(), F.col("id").asc()], lambda: F.col("d")),
+    "asc nulls last": (lambda: [F.col("d").asc_nulls_last(), F.col("id").asc()], lambda: F.col("d")),
+    "desc nulls last": (lambda: [F.desc("d"), F.desc("id")], lambda: -F.col("d")),
+    "desc nulls first": (lambda: [F.desc_nulls_first("d"), F.col("id").asc()], lambda: -F.col("d")),
+    "by name": (lambda: ["d", "id"], lambda: F.col("d")),
+}
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("order", ORDERS)
+def test_rows_without_a_position_come_where_the_order_puts_nulls(spark, order, keys):
+    rng = random.Random(7)
+    rows = [("a" if i < 40 else "b", None if rng.random() < 0.2 else rng.randrange(30), i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k STRING, d INT, id INT")
+    by, place = ORDERS[order]
+    plain = df.withColumn("no", F.row_number().over(Window.partitionBy(*keys).orderBy(*by())))
+    want = {(r.id, r.no) for r in plain.collect()}
+    for limit in (3, 1_000):
+        got = chunked.row_numbers(df, keys, by(), "no", place(), limit)
+        assert {(r.id, r.no) for r in got.collect()} == want
+
+
+def test_a_missing_tie_breaker_counts_as_the_least(spark):
+    rows = [(i // 10, None if i % 10 == 0 else i) for i in range(100)]
+    df = spark.createDataFrame(rows, "day INT, id INT")
+    place = chunked.tie_broken(df, F.col("day"), "id")
+    got = chunked.row_numbers(chunked.with_chunks(df, place, 4), [], ["day", "id"], "no")
+    order = sorted(rows, key=lambda r: (r[0], -1 if r[1] is None else r[1]))
+    assert {(r.day, r.id, r.no) for r in got.collect()} == {(*r, i) for i, r in enumerate(order, 1)}
+
+
+def test_large_keys_whose_positions_do_not_overlap_are_cut_at_points_of_their_own(spark):
+    df = spark.range(100 * 200).select((F.col("id") / 200).cast("int").alias("k"), F.col("id").alias("p"))
+    cut, split = chunked.cut(df, ["k"], "p", rows_per_chunk=20)
+    assert split and cut.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0] <= 40
+
+
+def test_chunks_stay_near_the_limit_when_points_are_a_sample(spark):
+    cut = chunked.with_chunks(spark.range(60_000), "id", rows_per_chunk=1_000, min_chunks=1)
+    sizes = [r["count"] for r in cut.groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 40 and max(sizes) <= 2_000
+
+
+def test_very_many_large_keys(spark):
+    n = 100_000
+    df = spark.range(3 * n).select((F.col("id") % n).alias("k"), F.col("id").alias("p"))
+    got = chunked.row_numbers(df, ["k"], ["p"], "no", "p", rows_per_chunk=2)
+    assert got.groupBy("no").count().orderBy("no").collect() == [(i, n) for i in (1, 2, 3)]
+
+
+def test_carried_totals_pass_through_groups_of_chunks(spark, monkeypatch):
+    monkeypatch.setattr(chunked, "GROUP", 3)
+    values = [None if i % 7 == 0 else i % 5 for i in range(90)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "p INT, v INT")
+    sums = chunked.running(df, [], ["p"], {"s": F.col("v")}, "p", rows_per_chunk=2)
+    before = chunked.previous(df, [], ["p"], {"b": "v"}, "p", rows_per_chunk=2)
+    total = 0
+    want = {}
+    for i, v in enumerate(values):
+        total += v or 0
+        want[i] = (total, values[i - 1] if i else None)
+    got = {r.p: (r.s, r.b) for r in sums.join(before, "p").collect()}
+    assert got == want
+    runs = ordered.run_lengths(df, [], ["p"], "v", "p", 2).orderBy("run_id").collect()
+    assert [(r.value if "value" in r else r.v, r.len) for r in runs] == [tuple(r) for r in runs_of(values)]
+
+
+def test_number_of_chunks_follows_from_the_rows(spark):
+    df = spark.range(100)
+    few = chunked.with_uniform_chunks(df, (F.col("id") + 0.5) / 100, 100)
+    many = chunked.with_uniform_chunks(df, (F.col("id") + 0.5) / 100, 100, rows_per_chunk=1)
+    assert many.select("_chunk").distinct().count() == 100 > few.select("_chunk").distinct().count()

@@ -167,11 +167,6 @@ def test_three_tie_rules(spark):
     assert topk.last_of_best(df.where("x < 9"), "x", "i").first().i == 2
 
 
-def test_ranked_by_value(spark):
-    out = topk.ranked_by_value(column(spark, [9, 8, 8, 7], "INT"), "x", "place")
-    assert sorted((r.x, r.place) for r in out.collect()) == [(7, 4), (8, 2), (8, 2), (9, 1)]
-
-
 def test_shuffles_are_permutations(spark):
     df = column(spark, list("abcdefgh"))
     out = topk.shuffled_replicates(df, "i", 4).collect()
