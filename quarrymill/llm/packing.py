@@ -80,6 +80,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets:
          outputs: tuple[str, ...] = OUTPUTS) -> DataFrame:
     """Columns ``keep`` (all by default) and ``outputs`` per row of ``df``.
 
+    The kept columns are written once with their lengths; leave the texts out of ``keep``
+    where the batches are to name documents only.
+
     Only the histogram, one row per different length, reaches the driver; there
     are at most ``sqrt(2 * tokens)`` different lengths in a corpus, and no more
     than its longest text has tokens.  Places in a bucket are numbered in ranges
@@ -88,8 +91,11 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets:
     """
     keep = df.columns if keep is None else keep
     length, rnd, part = fresh(df, "length", "draw", "part")
-    sized = df.select(*[quoted(c) for c in dict.fromkeys([*keep, id_col])], word_count(quoted(text_col)).alias(length))
-    histogram = df.select(word_count(quoted(text_col)).alias(length)).groupBy(length).agg(F.count("*").alias("n"))
+    # written, so that texts are read and counted once: the optimizer would copy the count
+    # into the search of the bucket and run it there for every limit
+    sized = written(df.select(
+        *[quoted(c) for c in dict.fromkeys([*keep, id_col])], word_count(quoted(text_col)).alias(length)), "pack-lengths")
+    histogram = sized.groupBy(length).agg(F.count("*").alias("n"))
     found = sorted(histogram.collect())
     limits = boundaries(np.array([r[0] for r in found], np.int64), np.array([r[1] for r in found], np.int64), buckets)
     if not limits:
