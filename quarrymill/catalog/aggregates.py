@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarrymill.catalog import query
 from quarrymill.functions.hashing import hash_int
 from quarrymill.operators import aggregates, sets
-from quarrymill.plans import chunked
+from quarrymill.operators import ordered
 from quarrymill.tables import TABLE_NAMES
 
 
@@ -55,9 +55,8 @@ SELECT event_id, user_id, seq FROM s WHERE seq <= (SELECT min(top) FROM m)
 def agg_min_of_group_max(t):
     rows = t.events.select("event_id", "user_id")
     # the last number of a user is that user's row count
-    cutoff = rows.groupBy("user_id").agg(F.count("*").alias("top")).agg(F.min("top"))
-    seq = chunked.row_numbers(rows, ["user_id"], ["event_id"], "seq", "event_id")
-    return seq.where(F.col("seq") <= cutoff.scalar())
+    cutoff = rows.groupBy("user_id").agg(F.count("*").alias("top")).agg(F.min("top")).first()[0]
+    return ordered.prefix(rows, ["user_id"], ["event_id"], cutoff or 0, "event_id")
 
 
 @query("agg_global_mean", """

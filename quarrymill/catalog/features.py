@@ -54,7 +54,7 @@ def prep_impute_constant(t):
 WITH g AS (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer),
 o AS (SELECT segment AS drawn, row_number() OVER (ORDER BY c_custkey) AS i FROM g WHERE segment IS NOT NULL),
 n AS (SELECT count(*) AS n FROM o),
-d AS (SELECT c_custkey, segment, ('0x' || substr(md5('5:' || c_custkey), 1, 8))::BIGINT % n.n + 1 AS i FROM g, n)
+d AS (SELECT c_custkey, segment, ('0x' || substr(md5('5:' || c_custkey), 1, 15))::BIGINT % n.n + 1 AS i FROM g, n)
 SELECT c_custkey, coalesce(segment, drawn) AS segment FROM d LEFT JOIN o USING (i)
 """)
 def prep_impute_random_draw(t):
@@ -75,6 +75,8 @@ def prep_standardize(t):
                       F.round("population_z", 8).alias("population_z"))
 
 
+_STATUSES = ["F", "O", "P"]
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -84,12 +86,23 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 ) + " FROM customer")
 def prep_one_hot(t):
     rows = t.customer.select("c_custkey", "c_mktsegment")
-    fitted = features.levels(rows, "c_mktsegment")
     for how, drop in (("last", "last"), ("first", "first"), ("none", None)):
-        rows = features.one_hot(rows, "c_mktsegment", fitted, drop, prefix=f"{how}_")
+        rows = features.one_hot(rows, "c_mktsegment", _SEGMENTS, drop, prefix=f"{how}_")
     return rows.drop("c_mktsegment")
 
 
+@query("prep_sparse_one_hot", """
+SELECT c_custkey, (dense_rank() OVER (ORDER BY c_name) - 1)::BIGINT AS code, (SELECT count(DISTINCT c_name) FROM customer) AS width
+FROM customer
+""")
+def prep_sparse_one_hot(t):
+    """An open category: as many levels as customers, one sparse vector each."""
+    rows = t.customer.select("c_custkey", "c_name")
+    coded = features.sparse_one_hot(rows, "c_name", features.levels(rows, "c_name"), "flags")
+    parts = F.from_json(F.to_json(F.struct("flags")), "flags STRUCT<size: BIGINT, indices: ARRAY<BIGINT>>").flags
+    return coded.select("c_custkey", parts.indices[0].alias("code"), parts.size.alias("width"))
+
+
 @query("prep_level_alignment", """
 SELECT p_partkey, CASE p_type WHEN 'SMALL' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'ECONOMY' THEN 3
   WHEN 'STANDARD' THEN 4 END::BIGINT AS type_code FROM part
@@ -146,7 +159,8 @@ SELECT o_orderkey, round((o_totalprice - m) / s, 6) AS price_z,
 """)
 def prep_column_transformer(t):
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    stages = features.column_transformer_stages(rows, ids=["o_orderkey"])
+    stages = features.column_transformer_stages(
+        rows, {"o_orderstatus": _STATUSES, "o_orderpriority": _PRIORITIES}, ids=["o_orderkey"])
     out = Pipeline(stages=stages).fit(_fit_part(t.orders)).transform(rows)
     values = vector_to_array("features")
     return out.select(
@@ -174,7 +188,11 @@ def prep_recipe(t):
         }).drop("o_orderdate", "o_orderpriority", "o_custkey")
 
     ready = t.orders.transform(steps)
-    stages = features.column_transformer_stages(ready, ids=["o_orderkey"])
+    levels = {
+        "o_orderstatus": _STATUSES, "month": sorted(str(m) for m in range(1, 13)),
+        "year": [str(y) for y in range(1995, 2000)], "wording": [*_PRIORITIES[2:], "rush"],
+    }
+    stages = features.column_transformer_stages(ready, levels, ids=["o_orderkey"])
     out = Pipeline(stages=stages).fit(_fit_part(t.orders).transform(steps)).transform(ready)
     values = vector_to_array("features")
     texts = F.slice(values, 6, F.size(values) - 5)

@@ -36,11 +36,9 @@ k AS (SELECT *, rank() OVER (ORDER BY ratio DESC NULLS LAST) AS pos FROM r WHERE
 SELECT user_id, event_id, wins, losses, round(ratio, 9) AS ratio FROM k WHERE pos <= 3
 """)
 def top_current_ratio(t):
+    # the last state of a running count is the count
     games = t.events.select("event_id", "user_id", "event_type")
-    history = ordered.running_ratio(
-        games, ["user_id"], ["event_id"], F.col("event_type") == "purchase", "event_id"
-    )
-    current = joins.last_state(history, ["user_id"], ["event_id"], ["event_id", "wins", "losses", "ratio"])
+    current = ordered.current_ratio(games, ["user_id"], F.col("event_type") == "purchase", "event_id")
     return topk.top_with_ties(current, "ratio", 3).withColumn("ratio", F.round("ratio", 9))
 
 

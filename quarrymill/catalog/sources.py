@@ -37,7 +37,7 @@ def scan_csv_folder(t):
 
 
 @query("scan_ragged_header", """
-SELECT c_custkey AS "G", c_name AS "Opp3", c_acctbal AS "Tm", c_mktsegment AS "Opp5" FROM customer
+SELECT c_custkey AS "Key", c_name AS "Note3", c_acctbal AS "Sum", c_mktsegment AS "Note5" FROM customer
 """)
 def scan_ragged_header(t):
     path = scratch_path(t.spark, "ragged")
@@ -47,8 +47,8 @@ def scan_ragged_header(t):
             "c_name", "c_acctbal", "c_mktsegment", F.lit(1).alias("c"),
         ), path,
     )
-    # the header of a game log: a blank name in third place and a repeated one
-    header = ["Rk", "G", "", "Opp", "Tm", "Opp", "PF"]
+    # a header with a blank name in third place and a repeated one
+    header = ["No", "Key", "", "Note", "Sum", "Note", "End"]
     return delimited.read_ragged_header(
         t.spark, path, header, keep=[1, 3, 4, 5],
         types={1: T.LongType(), 4: T.DoubleType()},

@@ -22,6 +22,11 @@ def hash_int(key: str | Column, seed=0) -> Column:
     return F.conv(F.substring(_text(key, seed), 1, 8), 16, 10).cast("bigint")
 
 
+def hash_wide(key: str | Column, seed=0) -> Column:
+    """Whole number in [0, 2^60) from fifteen hex digits: enough to draw one of any number of rows."""
+    return F.conv(F.substring(_text(key, seed), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_unit(key: str | Column, seed=0) -> Column:
     """Number in [0, 1); it grows with :func:`hash_text`."""
     return hash_int(key, seed) / F.lit(4294967296.0)

@@ -106,24 +106,32 @@ def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
 def density(df: DataFrame, value: str, points: int, bandwidth: float | None = None) -> DataFrame:
     """Gaussian kernel density of a column on an even grid, with the column's mean.
 
-    Four scalars fix the grid and the bandwidth (``sd * n^(-1/5)`` by default).
-    Every row meets every grid point inside its own task and only the partial
-    sums, ``points`` per task, are shuffled.
+    Five scalars fix the grid and the bandwidth (``sd * n^(-1/5)`` by default).
+    Equal values are counted first; every distinct one meets every grid point
+    inside its own task and only the partial sums, ``points`` per task, are
+    shuffled.  A column of one value has no spread: its grid is that value and the
+    density there, a point mass, is null; an empty column gives no row.
     """
     x = F.col(value)
     low, high, sd, n, mean = df.agg(
         F.min(x), F.max(x), F.stddev_samp(x), F.count(x), F.avg(x)
     ).first()
-    h = bandwidth or sd * n ** (-1 / 5)
-    step = (high - low) / (points - 1)
+    if not n:
+        low = high = mean = 0.0
+    h = bandwidth or (sd or 0.0) * max(n, 1) ** (-1 / 5)
+    if not n or not h:
+        rows = df.sparkSession.range(1 if n else 0).select(F.lit(0).alias("grid_no"), F.lit(float(low)).alias("grid_x"))
+        return rows.withColumns({"density": F.lit(None).cast("double"), "mean": F.lit(float(mean))})
+    low, high = float(low), float(high)
+    step = (high - low) / max(1, points - 1)
     u = (F.col("grid_x") - x) / F.lit(h)
     scale = 1 / (n * h * (2 * 3.141592653589793) ** 0.5)
     return (
-        df.where(x.isNotNull()).select(
-            x, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_no")
+        df.where(x.isNotNull()).groupBy(x.alias(value)).agg(F.count("*").alias("_n")).select(
+            x, "_n", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_no")
         )
         .withColumn("grid_x", F.lit(low) + F.col("grid_no") * F.lit(step))
-        .groupBy("grid_no").agg(F.max("grid_x").alias("grid_x"), F.sum(F.exp(-0.5 * u * u)).alias("_k"))
+        .groupBy("grid_no").agg(F.max("grid_x").alias("grid_x"), F.sum(F.col("_n") * F.exp(-0.5 * u * u)).alias("_k"))
         .select("grid_no", "grid_x", (F.col("_k") * F.lit(scale)).alias("density"), F.lit(mean).alias("mean"))
     )
 

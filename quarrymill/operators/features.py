@@ -8,28 +8,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions.hashing import hash_int
+from quarrymill.functions.hashing import hash_wide
 from quarrymill.functions.recode import has_value
 from quarrymill.operators import project
 from quarrymill.plans import chunked, quantiles
+from quarrymill.session import written
 
-MAX_LEVELS = 10_000
+def levels(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a category with their codes 0, 1, ... in sorted order: ``(value, code)``.
 
-
-def levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list:
-    """Sorted distinct values of a category: the fit of an encoding.
-
-    More than ``max_levels`` is an error, so the driver never receives an open list.
+    A table, not a list: a category may have any number of values.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    ranged = written(
+        values.repartitionByRange("value").sortWithinPartitions("value").withColumn("_range", F.spark_partition_id()),
+        "levels")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy("value")
+    return ranged.withColumn("_no", F.row_number().over(inside)).join(offsets, "_range").select(
+        "value", (F.col("_offset") + F.col("_no") - 1).alias("code"))
+
+
+def sparse_one_hot(df: DataFrame, column: str, fitted: DataFrame, output: str) -> DataFrame:
+    """A sparse 0/1 vector over all fitted levels, however many there are.
+
+    A value outside the fitted levels, or none, is a vector of zeros.
     """
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(found) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels")
-    return sorted(r[0] for r in found)
+    width = fitted.agg(F.coalesce(F.max("code") + 1, F.lit(0)).cast("int")).first()[0]
+    known = fitted.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    coded = df.join(known, F.col(column) == F.col("_value"), "left").drop("_value")
+    # a code past the last stands for "no level", which dropLast turns into zeros
+    coded = coded.withColumn("_code", F.coalesce("_code", F.lit(width)).cast("double"))
+    codes = fitted.sparkSession.range(width, width + 1).select(F.col("id").cast("double").alias("_code"))
+    encoder = OneHotEncoder(inputCol="_code", outputCol=output, dropLast=True)
+    return encoder.fit(codes).transform(coded).drop("_code")
 
 
 def impute_median(fit: DataFrame, apply: DataFrame, column: str) -> DataFrame:
@@ -56,13 +75,14 @@ def impute_random_draw(
 
     Observed rows are numbered, a missing row's hash picks a number, and the two
     meet by an equi-join.  Rows with a value skip the join, which would
-    otherwise send all of them to one task under a null key.
+    otherwise send all of them to one task under a null key.  With nothing observed
+    they stay null.
     """
     observed = chunked.row_numbers(
         fit.where(F.col(column).isNotNull()).select(key, column), [], [key], "_no", position
     ).select("_no", F.col(column).alias("_drawn"))
     n = fit.agg(F.count(column)).scalar()
-    missing = apply.where(F.col(column).isNull()).withColumn("_no", hash_int(key, seed) % n + 1)
+    missing = apply.where(F.col(column).isNull()).withColumn("_no", F.try_mod(hash_wide(key, seed), n) + 1)
     filled = missing.join(observed, "_no", "left").withColumn(column, F.col("_drawn"))
     return apply.where(F.col(column).isNotNull()).unionByName(filled.select(*apply.columns))
 
@@ -147,10 +167,14 @@ def standard_scaler_stages(columns: Sequence[str], output: str = "scaled") -> li
     ]
 
 
-def column_transformer_stages(df: DataFrame, ids: Sequence[str] = (), output: str = "features") -> list:
-    """ML stages chosen by type: numbers scaled, texts one-hot with unseen levels all zero.
+def column_transformer_stages(
+    df: DataFrame, levels: dict[str, Sequence[str]], ids: Sequence[str] = (), output: str = "features"
+) -> list:
+    """ML stages chosen by type: numbers scaled, texts one-hot with other levels all zero.
 
-    Columns in ``ids`` play no part and stay in the table untouched.
+    Every text column needs its stated levels: finding them here would bring an
+    open list to the driver (``sparse_one_hot`` serves those).  Columns in ``ids`` play no
+    part and stay in the table untouched.
     """
     used = df.drop(*ids)
     numbers, texts = project.numeric_columns(used), project.text_columns(used)
@@ -161,7 +185,8 @@ def column_transformer_stages(df: DataFrame, ids: Sequence[str] = (), output: st
     if texts:
         codes, flags = [f"{c}_code" for c in texts], [f"{c}_flags" for c in texts]
         stages += [
-            StringIndexer(inputCols=texts, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"),
+            StringIndexerModel.from_arrays_of_labels(
+                [list(levels[c]) for c in texts], inputCols=texts, outputCols=codes, handleInvalid="keep"),
             # "keep" gives unseen values the last code, which dropLast turns into zeros
             OneHotEncoder(inputCols=codes, outputCols=flags, dropLast=True),
         ]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.plans import chunked
+from quarrymill.session import written
 
 
 def running_ratio(
@@ -28,6 +29,14 @@ def running_ratio(
     return sums.withColumn(name, F.try_divide("wins", "losses"))
 
 
+def current_ratio(df: DataFrame, keys: Sequence[str], win: Column, position: str, name: str = "ratio") -> DataFrame:
+    """Each key's last row of :func:`running_ratio`, by one aggregate and without any ordering."""
+    won = F.coalesce(win, F.lit(False))
+    state = df.groupBy(*keys).agg(
+        F.max(position).alias(position), F.count_if(won).alias("wins"), F.count_if(~won).alias("losses"))
+    return state.withColumn(name, F.try_divide("wins", "losses"))
+
+
 def running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, position: str | Column,
     name: str = "total",
@@ -149,19 +158,21 @@ def contiguous_sum(df: DataFrame, order: str, value: str, target: int) -> DataFr
     pair ``P_j = P_i + target``: one equi-join.  The slice's bounds are two
     numbers, so its rows are then a plain range filter.
     """
-    sums = chunked.running(
+    if not df.where(F.col(value) <= 0).isEmpty():
+        raise ValueError(f"{value} must be positive")
+    sums = written(chunked.running(
         df.select(order, value), [], [order],
         {"idx": F.lit(1).cast("bigint"), "upto": F.col(value)}, position=order,
-    )
+    ), "prefix-sums")  # read three times
     ends = sums.select(F.col("idx").alias("j"), F.col("upto").alias("_p"))
     begins = sums.select(
         (F.col("idx") - 1).alias("i"), (F.col("upto") - F.col(value) + target).alias("_p")
     )
     first = (
         begins.join(ends, "_p").where("j - i >= 2")
-        .agg(F.min_by(F.struct("i", "j"), "i").alias("s")).select("s.i", "s.j")
-    ).first()
-    low, high = (first.i, first.j) if first.i is not None else (0, 0)
+        .agg(F.min(F.struct("i", "j")).alias("s"))
+    ).first().s
+    low, high = (first.i, first.j) if first is not None else (0, 0)
     inside = sums.where(F.col("idx").between(low + 1, high))
     return inside.agg(
         F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"),

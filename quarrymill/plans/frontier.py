@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.session import cut_lineage, cut_lineage_counted
+from quarrymill.session import written
 
-BROADCAST_ROWS = 100_000
+FIRST_CHECK = 16  # rounds after which the nodes are counted, to tell a deep tree from a cycle
 
 
-def small_enough(df: DataFrame, rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast when its counted size allows it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _kept(df: DataFrame) -> tuple[DataFrame, int]:
+    """A round's rows as a table in the shared folder, and their number from its footers.
+
+    The files' size lets the planner broadcast a small round and leave the
+    edges where they are; a large one is joined by a shuffle.
+    """
+    table = written(df, "round")
+    return table, table.count()
 
 
 def reach(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataFrame:
@@ -20,53 +25,54 @@ def reach(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataF
 
     Each round expands only the nodes found in the round before and drops those
     already seen, so a cycle ends the walk.  The new nodes of a round are
-    written to the checkpoint folder, which keeps the plan short and survives
+    written to the shared folder, which keeps the plan short and survives
     lost executors.
     """
-    start, frontier_rows = cut_lineage_counted(start.select("node").distinct())
-    hops = edges.select(F.col(source).alias("node"), F.col(target).alias("_next"))
+    start, frontier_rows = _kept(start.select("node").distinct())
+    hops = written(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")), "edges")
     frontier = start
     found = start.limit(0)
     rounds = 0
     while frontier_rows:
         fresh = (
-            hops.join(small_enough(frontier, frontier_rows), "node")
+            hops.join(frontier, "node")
             .select(F.col("_next").alias("node")).distinct()
             .join(found, "node", "left_anti")
         )
-        frontier, frontier_rows = cut_lineage_counted(fresh)
+        frontier, frontier_rows = _kept(fresh)
         if frontier_rows:
             found = found.union(frontier)
             rounds += 1
-            if rounds % 16 == 0:
-                found = cut_lineage(found)
+            if rounds % 16 == 0:  # else the anti join would read ever more tables
+                found = written(found, "found")
     return found
 
 
 def weighted_reach(
     edges: DataFrame, start: DataFrame, source: str, target: str, qty: str,
-    max_rounds: int = 1000,
 ) -> DataFrame:
     """Multiplicity of every node below the roots: ``(root, node, mult)``.
 
     ``start`` holds ``(root, node, mult)``.  Multipliers are summed per node in
-    every round, so the frontier never exceeds the nodes of one level.  A cycle
-    would grow for ever and is reported after ``max_rounds``.
+    every round, so the frontier never exceeds the nodes of one level.  No path
+    without a cycle is longer than there are nodes; more rounds than that are an error.
     """
-    hops = edges.select(
+    hops = written(edges.select(
         F.col(source).alias("node"), F.col(target).alias("_next"), F.col(qty).alias("_qty")
-    )
-    frontier, frontier_rows = cut_lineage_counted(start.select("root", "node", "mult"))
-    levels = []
+    ), "edges")
+    frontier, frontier_rows = _kept(start.select("root", "node", "mult"))
+    levels, most = [], None
     while frontier_rows:
-        if len(levels) >= max_rounds:
+        if len(levels) >= FIRST_CHECK and most is None:
+            most = hops.select("node").union(hops.select("_next")).distinct().count()
+        if most is not None and len(levels) > most:
             raise ValueError("the edges hold a cycle")
         step = (
-            hops.join(small_enough(frontier, frontier_rows), "node")
+            hops.join(frontier, "node")
             .groupBy("root", F.col("_next").alias("node"))
             .agg(F.sum(F.col("mult") * F.col("_qty")).alias("mult"))
         )
-        frontier, frontier_rows = cut_lineage_counted(step)
+        frontier, frontier_rows = _kept(step)
         if frontier_rows:
             levels.append(frontier)
     if not levels:
@@ -79,10 +85,10 @@ def weighted_reach(
 
 def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
     """All ``(ancestor, descendant)`` pairs, each once."""
-    hops = edges.select(
+    hops = written(edges.select(
         F.col(source).alias("_from"), F.col(target).alias("_to")
-    ).distinct()
-    frontier, frontier_rows = cut_lineage_counted(
+    ).distinct(), "edges")
+    frontier, frontier_rows = _kept(
         hops.select(F.col("_from").alias("ancestor"), F.col("_to").alias("descendant"))
     )
     found = frontier
@@ -93,10 +99,10 @@ def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
             .select("ancestor", F.col("_to").alias("descendant")).distinct()
             .join(found, ["ancestor", "descendant"], "left_anti")
         )
-        frontier, frontier_rows = cut_lineage_counted(fresh)
+        frontier, frontier_rows = _kept(fresh)
         if frontier_rows:
             found = found.union(frontier)
             rounds += 1
-            if rounds % 16 == 0:
-                found = cut_lineage(found)
+            if rounds % 16 == 0:  # else the anti join would read ever more tables
+                found = written(found, "found")
     return found

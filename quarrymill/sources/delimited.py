@@ -11,11 +11,22 @@ from pyspark.sql import types as T
 from quarrymill.session import scratch_path
 
 
+_BLANKS_KEPT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_QUOTES = {"escape": '"'}  # a quote inside a text is doubled, as spreadsheets do
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, null_text: str | None = "NA"
+    spark: SparkSession, path: str, schema: T.StructType | str, null_text: str | None = "NA",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Header CSV with a stated schema: no inference pass over the data."""
-    reader = spark.read.schema(schema).option("header", True)
+    """Header CSV with a stated schema: no inference pass over the data.
+
+    Blanks around a text belong to it.  Only with ``multi_line`` may a quoted
+    text hold line breaks; a file is then read by one task, so write many.
+    """
+    reader = spark.read.schema(schema).option("header", True).options(**_BLANKS_KEPT, **_QUOTES)
+    if multi_line:
+        reader = reader.option("multiLine", True).option("lineSep", "\n")
     if null_text is not None:
         reader = reader.option("nullValue", null_text)
     return reader.csv(path)
@@ -73,15 +84,20 @@ def read_ragged_header(
 
 
 def write_csv(df: DataFrame, path: str, null_text: str = "NA") -> str:
-    df.write.mode("overwrite").option("header", True).option("nullValue", null_text).csv(path)
+    df.write.mode("overwrite").option("header", True).option("nullValue", null_text).options(
+        **_BLANKS_KEPT, **_QUOTES).csv(path)
     return path
 
 
 def csv_round_trip(df: DataFrame, label: str, null_text: str = "NA") -> DataFrame:
-    """Write to the shared folder and read back with the same schema."""
+    """Write to the shared folder and read back with the same schema.
+
+    Tables with texts are read with line breaks allowed in them.
+    """
     spark = df.sparkSession
     path = write_csv(df, scratch_path(spark, label), null_text)
-    return read_csv(spark, path, df.schema, null_text)
+    texts = any(isinstance(f.dataType, T.StringType) for f in df.schema.fields)
+    return read_csv(spark, path, df.schema, null_text, multi_line=texts)
 
 
 def store_table(df: DataFrame, label: str) -> DataFrame:

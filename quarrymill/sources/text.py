@@ -20,8 +20,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     Splitting happens in the reader (``lineSep``), so a large file is still
     read by many tasks.  Empty records from doubled blank lines are dropped.
+    The first line tells whether the files have Windows line ends.
     """
-    raw = spark.read.option("lineSep", "\n\n").text(path)
+    first = spark.read.option("lineSep", "\n").text(path).head()
+    end = "\r\n" if first is not None and first[0].endswith("\r") else "\n"
+    raw = spark.read.option("lineSep", end * 2).text(path)
     joined = F.trim(F.regexp_replace(F.col("value"), r"\s*\n\s*", " "))
     return raw.select(joined.alias("record")).where("record <> ''")
 

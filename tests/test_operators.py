@@ -182,11 +182,11 @@ def test_stack_fills_absent_columns(spark):
 
 
 def test_melt_with_total(spark):
-    wide = spark.createDataFrame([("July", 99.35, 9.15, 36.77, 24.22, 45.0)],
+    wide = spark.createDataFrame([("May", 12.5, 3.25, 7.0, 20.75, 6.5)],
                                  "month STRING, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, e DOUBLE")
     wide = wide.withColumn("total", F.round(F.col("a") + F.col("b") + F.col("c") + F.col("d") + F.col("e"), 2))
     long = {r.what: r.amount for r in sets.melt(wide, ["month"], wide.columns[1:], "what", "amount").collect()}
-    assert len(long) == 6 and long["total"] == 214.49
+    assert len(long) == 6 and long["total"] == 50.0
 
 
 # ---- aggregates ------------------------------------------------------------
@@ -308,11 +308,6 @@ def test_one_hot_conventions(spark, drop, kept):
     assert [tuple(r)[2:] for r in out.collect()] == [tuple(int(v == k) for k in kept) for v in ["a", "b", "c", "z", None]]
 
 
-def test_levels_are_bounded(spark):
-    with pytest.raises(ValueError):
-        features.levels(spark.range(20).select(F.col("id").cast("string").alias("x")), "x", max_levels=10)
-
-
 def test_fits_come_from_the_fit_table(spark):
     fit, new = column(spark, [1, 2, 3, 10], "INT"), column(spark, [None, 7], "INT")
     assert [r.x for r in features.impute_median(fit, new, "x").orderBy("i").collect()] == [2.5, 7.0]
@@ -343,7 +338,7 @@ def test_unseen_level_sets_no_flag(spark):
     from pyspark.ml.functions import vector_to_array
 
     fit, new = column(spark, ["a", "b", "a"]), column(spark, ["a", "q"])
-    model = Pipeline(stages=features.column_transformer_stages(fit, ids=["i"])).fit(fit)
+    model = Pipeline(stages=features.column_transformer_stages(fit, {"x": ["a", "b"]}, ids=["i"])).fit(fit)
     got = model.transform(new).orderBy("i").select(vector_to_array("features").alias("v")).collect()
     assert [r.v for r in got] == [[1.0, 0.0], [0.0, 0.0]]
 
@@ -400,13 +395,23 @@ def test_items_below_counts_leaves_beside_inner_nodes(spark):
     assert {r.root: r.total for r in graph.items_below(e, roots).collect()} == {"a": 8, "b": 2}
 
 
-def test_items_below_reports_a_cycle(spark):
+def test_a_deep_chain_is_no_cycle(spark, monkeypatch):
+    from quarrymill.plans import frontier
+
+    monkeypatch.setattr(frontier, "FIRST_CHECK", 2)
+    e = edges(spark, *[(f"n{i}", f"n{i + 1}", 1) for i in range(30)])
+    roots = spark.createDataFrame([("n0",)], "node STRING")
+    assert graph.items_below(e, roots).first().total == 30
+
+
+def test_items_below_reports_a_cycle(spark, monkeypatch):
     from quarrymill.plans import frontier
 
+    monkeypatch.setattr(frontier, "FIRST_CHECK", 2)
     e = edges(spark, ("a", "b", 1), ("b", "a", 1))
     start = spark.createDataFrame([("a", "a", 1)], "root STRING, node STRING, mult BIGINT")
     with pytest.raises(ValueError):
-        frontier.weighted_reach(e, start, "parent", "child", "qty", max_rounds=3)
+        frontier.weighted_reach(e, start, "parent", "child", "qty")
 
 
 def test_closure(spark):
@@ -489,3 +494,103 @@ def test_required_columns_fail_loudly(spark):
     with pytest.raises(Exception, match="missing value in x"):
         project.require_no_nulls(df, ["x"]).collect()
     assert project.require_no_nulls(df.where("x = 'a'"), ["x"]).count() == 1
+
+
+# ---- nulls, empty input, large numbers --------------------------------------
+
+def test_a_null_key_is_a_group_with_a_maximum(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", None)], "k STRING, v INT")
+    assert sorted(map(tuple, joins.rows_at_group_max(df, ["k"], "v").collect()), key=str) == [("a", 3), (None, 2)]
+
+
+def test_products_and_sums_wider_than_an_int(spark):
+    df = column(spark, [100_000, 100_001, 5], "INT")
+    assert joins.pair_sums(df, "x", 200_001).collect() == [(100_000, 100_001, 100_000 * 100_001)]
+
+
+def test_triple_sums_with_negative_values_and_a_far_target(spark):
+    values = [-5, -2, 0, 0, 1, 4, 7, 7, 3_000_000_000, 2_999_999_997]
+    from itertools import combinations
+
+    for target in (0, 9, 14, 6_000_000_000, 1 << 40):
+        want = {tuple(sorted(c)) for c in combinations(values, 3) if sum(c) == target}
+        got = joins.triple_sums(column(spark, values, "BIGINT"), "x", target)
+        assert {(r.a, r.b, r.c) for r in got.collect()} == want
+    assert joins.triple_sums(column(spark, [], "BIGINT"), "x", 3).collect() == []
+
+
+def test_density_of_a_constant_a_single_and_no_value(spark):
+    assert aggregates.density(column(spark, [], "DOUBLE"), "x", 5).collect() == []
+    for values in ([2.0], [2.0, 2.0, None]):
+        row, = aggregates.density(column(spark, values, "DOUBLE"), "x", 5).collect()
+        assert (row.grid_x, row.density, row["mean"]) == (2.0, None, 2.0)
+    twice = aggregates.density(column(spark, [1.0, 1.0, 4.0], "DOUBLE"), "x", 5, bandwidth=1.0).collect()
+    assert len(twice) == 5 and max(twice, key=lambda r: r.density).grid_x == 1.0
+
+
+def test_random_draw_from_nothing_stays_null(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "i INT, x INT")
+    assert sorted(map(tuple, features.impute_random_draw(df, df, "x", "i", "i").collect())) == [(1, None), (2, None)]
+
+
+def test_wide_draws_reach_beyond_32_bits(spark):
+    from quarrymill.functions.hashing import hash_wide
+
+    top = spark.range(200).agg(F.max(hash_wide("id")), F.min(hash_wide("id"))).first()
+    assert (1 << 59) < top[0] < (1 << 60) and 0 <= top[1]
+
+
+def test_open_categories_become_sparse_vectors(spark):
+    fit = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "x STRING")
+    levels = features.levels(fit, "x")
+    assert sorted(map(tuple, levels.collect())) == [("a", 0), ("b", 1), ("c", 2)]
+    apply = spark.createDataFrame([("a",), ("c",), ("new",), (None,)], "x STRING")
+    got = {r.x: r.v.toArray().tolist() for r in features.sparse_one_hot(apply, "x", levels, "v").collect()}
+    assert got == {"a": [1, 0, 0], "c": [0, 0, 1], "new": [0, 0, 0], None: [0, 0, 0]}
+
+
+def test_contiguous_sum_takes_the_first_slice_and_wants_positive_values(spark):
+    df = spark.createDataFrame(list(enumerate([3, 4, 3, 4, 3])), "i INT, x INT")
+    assert ordered.contiguous_sum(df, "i", "x", 7).first().first_idx == 1
+    with pytest.raises(ValueError):
+        ordered.contiguous_sum(df.withColumn("x", F.lit(0)), "i", "x", 7)
+
+
+def test_current_ratio_is_the_last_running_one(spark):
+    df = spark.createDataFrame([(i, f"t{i % 3}", None if i == 5 else i % 4 == 0) for i in range(40)], "i INT, t STRING, w BOOLEAN")
+    history = ordered.running_ratio(df, ["t"], ["i"], F.col("w"), "i")
+    last = joins.last_state(history, ["t"], ["i"], ["i", "wins", "losses", "ratio"])
+    assert set(last.collect()) == set(ordered.current_ratio(df, ["t"], F.col("w"), "i").select(*last.columns).collect())
+
+
+def test_a_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from quarrymill.session import shared_dir
+
+    def session(master, named=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: named))
+
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
+        assert shared_dir(session(master, "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_dir(session("local[4]")) and shared_dir(session("local"))
+
+
+def test_scratch_tables_go_with_the_session(spark, tmp_path):
+    from quarrymill import session
+
+    table = session.written(spark.range(3), "t")
+    path = table.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    import os
+
+    kept = dict(session._SCRATCH)
+    mine = {k: v for k, v in kept.items() if path.endswith(k.rpartition("/")[2])}
+    assert len(mine) == 1 and os.path.isdir(path)
+    session._SCRATCH.clear()
+    session._SCRATCH.update(mine)
+    session._clear_scratch()
+    assert not os.path.exists(path) and not session._SCRATCH
+    session._SCRATCH.update({k: v for k, v in kept.items() if k not in mine})

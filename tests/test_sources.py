@@ -20,12 +20,12 @@ def test_folder_of_files_with_blanks_in_their_names(spark, tmp_path):
 
 
 def test_header_with_blank_and_repeated_names(spark, tmp_path):
-    (tmp_path / "log.txt").write_text("Rk,G,,Opp,Tm,Opp,\n1,1,@,DEN,98,105,x\n2,2,,UTA,101,99,x")
-    header = ["Rk", "G", "", "Opp", "Tm", "Opp", ""]
-    assert delimited.positional_schema(header).names == ["Rk", "G", "_c2", "Opp3", "Tm", "Opp5", "_c6"]
+    (tmp_path / "log.txt").write_text("No,Day,,Side,Own,Side,\n1,4,at,RED,31,27,x\n2,9,,TEAL,18,40,x")
+    header = ["No", "Day", "", "Side", "Own", "Side", ""]
+    assert delimited.positional_schema(header).names == ["No", "Day", "_c2", "Side3", "Own", "Side5", "_c6"]
     df = delimited.read_ragged_header(
         spark, str(tmp_path), header, [1, 3, 4, 5], {1: T.IntegerType(), 4: T.IntegerType(), 5: T.IntegerType()})
-    assert df.collect() == [(1, "DEN", 98, 105), (2, "UTA", 101, 99)]
+    assert df.collect() == [(4, "RED", 31, 27), (9, "TEAL", 18, 40)]
 
 
 def test_records_between_blank_lines(spark, tmp_path):
@@ -77,3 +77,15 @@ def test_names_keep_to_the_rules():
     names = list(renditions())
     assert len(names) == len(set(names)) and not any("pipeline" in n or n.startswith("op") for n in names)
     assert set(oracles()) <= set(names)
+
+
+def test_texts_with_breaks_blanks_and_quotes_survive_a_round_trip(spark):
+    texts = ["two\nlines", "  blanks  ", 'a "quoted" word', "comma, here", "back\\slash", "tail\r\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING")
+    assert {r.i: r.t for r in delimited.csv_round_trip(df, "t").collect()} == dict(enumerate(texts))
+
+
+def test_records_with_windows_line_ends(spark, tmp_path):
+    path = tmp_path / "records.txt"
+    path.write_bytes(b"a:1\r\nb:2\r\n\r\nc:3\r\n")
+    assert sorted(r.record for r in text.read_records(spark, str(path)).collect()) == ["a:1 b:2", "c:3"]

@@ -44,3 +44,34 @@ def test_quality_gate_splits_rows(spark, tmp_path):
     handle(df, 0)
     got = {(r.id, r.valid) for r in incremental.read_judged(spark, folder).collect()}
     assert got == {(1, True), (2, False), (3, False)}
+
+
+def test_a_null_key_keeps_its_totals(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, "L"), (2, None, "W")], "seq BIGINT, team STRING, result STRING")
+    handle = incremental.running_ratio_handler(str(tmp_path), ["team"], ["seq"], F.col("result") == "W", "seq")
+    handle(df.where("seq = 1"), 0)
+    handle(df.where("seq = 2"), 1)
+    got = {(r.seq, r.wins, r.losses) for r in incremental.read_batches(spark, str(tmp_path)).collect()}
+    assert got == {(1, 0, 1), (2, 1, 1)}
+
+
+def test_a_late_row_is_set_aside_and_changes_nothing(spark, tmp_path):
+    folder = str(tmp_path)
+    df = spark.createDataFrame([(i, "t", "W" if i % 2 else "L") for i in range(1, 6)], "seq BIGINT, team STRING, result STRING")
+    handle = incremental.running_ratio_handler(folder, ["team"], ["seq"], F.col("result") == "W", "seq")
+    for number, seqs in enumerate(["1, 3", "2, 4", "5"]):
+        handle(df.where(f"seq IN ({seqs})"), number)
+    got = {(r.seq, r.wins, r.losses) for r in incremental.read_batches(spark, folder).collect()}
+    assert got == {(1, 1, 0), (3, 2, 0), (4, 2, 1), (5, 3, 1)}
+    assert [r.seq for r in spark.read.parquet(f"{folder}/late/*").collect()] == [2]
+
+
+def test_state_goes_on_past_a_whole_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "WHOLE_STATE_EVERY", 2)
+    folder = str(tmp_path)
+    df = spark.createDataFrame([(i, f"t{i % 2}" if i < 2 else "t0", "W") for i in range(6)], "seq BIGINT, team STRING, result STRING")
+    handle = incremental.running_ratio_handler(folder, ["team"], ["seq"], F.col("result") == "W", "seq")
+    for i in range(6):
+        handle(df.where(F.col("seq") == i), i)
+    got = {(r.seq, r.wins) for r in incremental.read_batches(spark, folder).collect()}
+    assert got == {(0, 1), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5)}
