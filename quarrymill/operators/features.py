@@ -185,8 +185,8 @@ def column_transformer_stages(
     if texts:
         codes, flags = [f"{c}_code" for c in texts], [f"{c}_flags" for c in texts]
         stages += [
-            StringIndexerModel.from_arrays_of_labels(
-                [list(levels[c]) for c in texts], inputCols=texts, outputCols=codes, handleInvalid="keep"),
+            *[StringIndexerModel.from_labels(list(levels[c]), inputCol=c, outputCol=k, handleInvalid="keep")
+              for c, k in zip(texts, codes)],
             # "keep" gives unseen values the last code, which dropLast turns into zeros
             OneHotEncoder(inputCols=codes, outputCols=flags, dropLast=True),
         ]

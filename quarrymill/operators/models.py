@@ -16,7 +16,9 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
     MultilayerPerceptronClassifier, NaiveBayes, OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
@@ -30,6 +32,7 @@ from quarrymill.operators import resample
 from quarrymill.session import cut_lineage
 
 SEED = 17
+MOST_NUMBERS = 1 << 25  # of a discriminant model: 256 MB on the driver
 
 
 def embedding_rows(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -169,6 +172,9 @@ def _class_sums(df: DataFrame, label: str, vector: str) -> dict:
 
 def fit_discriminant(df: DataFrame, label: str, vector: str, quadratic: bool = False, ridge: float = 1e-6) -> dict:
     """Gaussian classes with a shared (linear) or an own (quadratic) covariance."""
+    width, kinds = df.agg(F.max(F.size(vector)), F.count_distinct(label)).first()
+    if width and kinds * width * width > MOST_NUMBERS:
+        raise ValueError(f"a model of {kinds} classes in {width} dimensions does not fit the driver")
     sums = _class_sums(df, label, vector)
     labels = sorted(sums)
     d = int((math.isqrt(4 * len(sums[labels[0]]) - 3) - 1) // 2)
@@ -201,6 +207,15 @@ def predict_discriminant(model: dict, df: DataFrame, vector: str) -> DataFrame:
 
 # ---- evaluation, tuning, scoring -------------------------------------------
 
+def evaluator(metric: str):
+    """The evaluator that knows a metric: of regression, of two-class scores, else of classes."""
+    if metric in ("rmse", "mse", "mae", "r2", "var"):
+        return RegressionEvaluator(metricName=metric)
+    if metric in ("areaUnderROC", "areaUnderPR"):
+        return BinaryClassificationEvaluator(metricName=metric)
+    return MulticlassClassificationEvaluator(metricName=metric)
+
+
 def cross_validate(
     models: dict[str, Estimator], df: DataFrame, key: str, k: int, metric: str = "accuracy",
     strata: Sequence[str] = (), parallelism: int = 4,
@@ -212,7 +227,7 @@ def cross_validate(
     ``parallelism`` at a time, as the built-in cross validator does.
     """
     folds = cut_lineage(resample.kfold(df, key, k, seed=SEED, strata=strata))
-    scorer = MulticlassClassificationEvaluator(metricName=metric)
+    scorer = evaluator(metric)
 
     def score(task):
         name, fold = task
@@ -242,7 +257,7 @@ def tune(
     )
     fitted = CrossValidator(
         estimator=estimator, estimatorParamMaps=points, numFolds=k, foldCol="fold", parallelism=parallelism,
-        evaluator=MulticlassClassificationEvaluator(metricName=metric),
+        evaluator=evaluator(metric),
     ).fit(folds)
     rows = [
         (i, *[float(p[estimator.getParam(n)]) for n in grid], float(score))
