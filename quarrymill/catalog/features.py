@@ -202,13 +202,31 @@ def prep_recipe(t):
     )
 
 
+_AGES = ["years", "months", "weeks", "days"]
+_COATS = ["Brown Tabby", "Blue Tick/Tan", "Black Smoke", "White/Red", "Torbie", "Cream"]
+_SEXES = ["Neutered Male", "Spayed Female", "Intact Male", "Unknown"]
+
+
 @query("clean_chain", """
-SELECT o_orderkey AS id, o_totalprice AS price, substr(o_orderpriority, 3) AS priority,
+SELECT o_orderkey AS id,
+  round((o_orderkey % 30 + 1) / [1.0, 12.0, 52.1429, 365.0][(o_orderkey % 4 + 1)::INT]::DOUBLE, 9) AS age_years,
+  ['Tabby', 'Blue', 'Black', 'Multiple Colors', 'Tortie/Torbie', 'Cream'][(o_orderkey % 6 + 1)::INT] AS colour,
+  ['Male', 'Female', 'Male', 'Unknown'][(o_orderkey // 4 % 4 + 1)::INT] AS sex,
+  ['Spayed/Neutered', 'Spayed/Neutered', 'Intact', 'Unknown'][(o_orderkey // 4 % 4 + 1)::INT] AS status, o_totalprice AS price, substr(o_orderpriority, 3) AS priority,
   month(o_orderdate) AS month, year(o_orderdate) AS year,
   (month(o_orderdate) = 12 AND day(o_orderdate) = 25)::BIGINT AS christmas
 FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice IS NOT NULL
 """)
 def clean_chain(t):
+    """Raw texts of age, coat and sex, as a shelter would note them, hang on the order's key."""
+    def noted(df):
+        pick = lambda texts, i: F.element_at(F.array(*[F.lit(x) for x in texts]), (i % len(texts) + 1).cast("int"))
+        key = F.col("o_orderkey")
+        return df.withColumns({
+            "o_age": F.concat((key % 30 + 1).cast("string"), F.lit(" "), pick(_AGES, key)),
+            "o_coat": pick(_COATS, key), "o_sex": pick(_SEXES, F.floor(key / 4)),
+        })
+
     def rename(df):
         return project.rename_by_pattern(df, "^o_").withColumnsRenamed(
             {"orderkey": "id", "totalprice": "price", "orderpriority": "priority", "orderdate": "day"}
@@ -219,15 +237,19 @@ def clean_chain(t):
             "month": F.month("day").cast("bigint"), "year": F.year("day").cast("bigint"),
             "christmas": dates.holiday_flags(F.col("day"))["christmas"],
             "priority": F.regexp_replace("priority", r"^\d-", ""),
-        })
+            "age_years": F.round(recode.duration_years(F.col("age")), 9),
+            "colour": recode.first_match(F.col("coat"), recode.COLOUR_FAMILIES),
+            "status": recode.first_match(F.col("sex"), recode.STATUS),
+        }).withColumn("sex", recode.first_match(F.col("sex"), recode.SEX))
 
     def complete(df):
         return df.drop("day", "custkey").na.drop("any")
 
     def finish(df):
-        return df.select("id", "price", "priority", "month", "year", "christmas")
+        return df.select(
+            "id", "price", "priority", "month", "year", "christmas", "age_years", "colour", "sex", "status")
 
-    return t.orders.transform(rename).transform(derive).transform(complete).transform(finish)
+    return t.orders.transform(noted).transform(rename).transform(derive).transform(complete).transform(finish)
 
 
 @query("prep_assemble_matrix", """

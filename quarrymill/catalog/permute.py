@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarrymill.catalog import query
 from quarrymill.operators import permute
 
-REPLICATES = 50
+REPLICATES = 200
 
 _SQL = f"""
 WITH r AS (SELECT rep, event_id, event_type, substr(md5('11-' || rep || ':' || event_id), 1, 8) AS draw

@@ -29,6 +29,7 @@ def fn_contains(t):
     return t.part.where(F.col("p_name").contains("gear")).select("p_partkey", "p_name")
 
 
+# fixed values in the SQL text: the units per year of recode.UNITS_PER_YEAR
 @query("fn_duration_to_years", """
 SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size / 12.0::DOUBLE, 9)
   WHEN 2 THEN round(p_size / 52.1429::DOUBLE, 9) WHEN 3 THEN round(p_size / 365.0::DOUBLE, 9) END AS years

@@ -156,6 +156,36 @@ def scan_html_table(t):
     return html.page_fields(t.pages).drop("url", "html")
 
 
+@query("scan_html_cells", """
+SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) - 1 AS row_no,
+  l_linenumber::BIGINT AS line, l_extendedprice AS price FROM lineitem
+""")
+def scan_html_cells(t):
+    """One page per order with a table of its lines, stored and read back cell by cell."""
+    row = F.concat(F.lit("<tr>\n<td>"), F.col("l_linenumber"), F.lit("</td><td>$"), F.col("l_extendedprice"), F.lit("</td></tr>"))
+    rows = F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_extendedprice", row.alias("tr")))), lambda r: r.tr)
+    pages = t.lineitem.groupBy("l_orderkey").agg(
+        F.concat(F.lit("<html><table>"), F.array_join(rows, ""), F.lit("</table></html>")).alias("html"))
+    stored = delimited.store_table(pages, "pages")
+    cells = html.table_cells(stored, keep=["l_orderkey"])
+    return cells.select(
+        "l_orderkey", "row_no", F.col("cells")[0].cast("bigint").alias("line"),
+        F.regexp_replace(F.col("cells")[1], r"[$,]", "").cast("double").alias("price"))
+
+
+@query("scan_csv_file_names", """
+SELECT c_mktsegment AS segment, count(*) AS n, true AS named FROM customer GROUP BY 1
+""")
+def scan_csv_file_names(t):
+    """A folder scan whose rows carry their file's name, the ending taken off."""
+    path = scratch_path(t.spark, "customer-files")
+    delimited.write_csv(t.customer.select("c_custkey", "c_acctbal", "c_mktsegment"), path)
+    files = delimited.read_csv_folder(
+        t.spark, path, "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING", suffix=".csv", name_column="file")
+    return files.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        F.count("*").alias("n"), F.every(F.col("file").rlike(r"^part-[^.]*$")).alias("named"))
+
+
 @query("literal_table", """
 WITH m(month_no, month, season) AS (VALUES
   (1, 'January', 'winter'), (2, 'February', 'winter'), (3, 'March', 'spring'),

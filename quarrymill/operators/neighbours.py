@@ -11,6 +11,11 @@ BLOCK_ROWS = 8192
 SLICE_ROWS = 512
 
 
+def _blocks(rows: int, block_rows: int) -> int:
+    """Enough blocks for the limit, and a few where one would leave all work to one task."""
+    return max(1, -(-rows // block_rows), min(4, rows // 256))
+
+
 def _spread(df: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
     return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks))).withColumn(
         other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>"))
@@ -29,8 +34,7 @@ def nearest(
     most k per train block.  Distances are squared and compared to nine places,
     equal ones by id.
     """
-    t_blocks = max(1, -(-train.count() // block_rows))
-    q_blocks = max(1, -(-queries.count() // block_rows))
+    t_blocks, q_blocks = (_blocks(df.count(), block_rows) for df in (train, queries))
     t = _spread(train.select(F.col(ident).alias("id"), F.col(vector).alias("vec"), F.col(label).alias("label")),
                 "id", "tb", t_blocks, "qb", q_blocks)
     q = _spread(queries.select(F.col(ident).alias("id"), F.col(vector).alias("vec")),

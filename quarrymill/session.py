@@ -74,16 +74,6 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def cut_lineage_counted(df):
-    """Checkpointed rows and their number, counted on the written files.
-
-    An observed metric would save the count, but a session that has once
-    observed can no longer ship models that hold a training summary.
-    """
-    kept = cut_lineage(df)
-    return kept, kept.count()
-
-
 _SCRATCH: dict[str, str] = {}
 
 
