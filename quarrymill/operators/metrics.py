@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.operators import aggregates
@@ -75,21 +75,27 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_auc_one_vs_rest(df: DataFrame, label: str, scores: dict) -> DataFrame:
-    """``(class, auc)`` of each class against the others; ``scores`` maps a class to its score column."""
-    out = None
-    for cls, column in scores.items():
-        one = df.select((F.col(label) == F.lit(cls)).cast("int").alias("label"), F.col(column).alias("score"))
-        auc = roc_auc(one, "label", "score").select(F.lit(cls).alias("class"), "auc")
-        out = auc if out is None else out.union(auc)
-    return out
+    """``(class, auc)`` of each class against the others; ``scores`` maps a class to its score column.
+
+    One pass: the class is a key of the counts per score and of the running count.
+    """
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("class"), (F.col(label) == F.lit(c)).alias("y"), F.col(s).cast("double").alias("score"))
+        for c, s in scores.items()
+    ])
+    rows = df.select(F.explode(cells).alias("cell")).select("cell.*").where("score IS NOT NULL")
+    per_score = rows.groupBy("class", "score").agg(
+        F.count_if(F.col("y")).alias("pos"), F.count_if(~F.col("y")).alias("neg"))
+    placed = chunked.running(per_score, ["class"], ["score"], {"upto": F.col("neg")}, "score")
+    below = F.col("upto") - F.col("neg")
+    right = F.col("pos") * (below.cast("double") + F.col("neg") / 2)
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return placed.groupBy("class").agg(F.try_divide(F.sum(right), pairs).alias("auc"))
 
 
 def top_class_rates(df: DataFrame, label: str, tops: Sequence[int] = (1, 2)) -> DataFrame:
     """Share of rows in the commonest class, the two commonest, and so on."""
-    shares = aggregates.shares(df, label)
-    rows = None
-    for k in tops:
-        best = shares.orderBy(F.desc("n"), label).limit(k).agg(F.sum("prop").alias("rate"))
-        one = best.select(F.lit(k).alias("classes"), "rate")
-        rows = one if rows is None else rows.union(one)
-    return rows
+    best = aggregates.shares(df, label).orderBy(F.desc("n"), label).limit(max(tops))
+    placed = best.withColumn("_place", F.row_number().over(Window.orderBy(F.desc("n"), label)))  # max(tops) rows
+    counted = F.filter(F.array(*[F.lit(k) for k in tops]), lambda k: k >= F.col("_place"))
+    return placed.select(F.explode(counted).alias("classes"), "prop").groupBy("classes").agg(F.sum("prop").alias("rate"))

@@ -1,58 +1,74 @@
-"""Exact k nearest neighbours by blocks."""
+"""Exact k nearest neighbours over cells, most of which need not be visited."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrymill.session import written
+
 BLOCK_ROWS = 8192
 SLICE_ROWS = 512
+MOST_CELLS = 4096
+SLACK = 1e-6  # distances are compared to nine places; a bound must not be closer than its rounding
 
 
-def _blocks(rows: int, block_rows: int) -> int:
-    """Enough blocks for the limit, and a few where one would leave all work to one task."""
-    return max(1, -(-rows // block_rows), min(4, rows // 256))
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype("f8")
 
 
-def _spread(df: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
-    return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks))).withColumn(
-        other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>"))
-    )
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances, as exact as doubles allow for the sizes met here."""
+    return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
 
 
-def nearest(
-    train: DataFrame, queries: DataFrame, ident: str, vector: str, label: str, k: int,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """``(query, neighbour, label, distance2, place)``: the k nearest other rows of each query.
+def _centres(train: DataFrame, ident: str, vector: str, cells: int) -> np.ndarray:
+    """Some rows, the same ones in every run, as the centres of the cells: ``MOST_CELLS`` at most."""
+    some = train.orderBy(F.xxhash64(F.lit(3), ident), ident).limit(cells).select(vector).toPandas()
+    return _matrix(some[vector])
 
-    Both tables are hashed in blocks of about ``block_rows`` rows and every pair
-    of blocks is one task-sized unit: a matrix product that returns only k rows
-    per query.  No pair of rows leaves its task, and a query's candidates are at
-    most k per train block.  Distances are squared and compared to nine places,
-    equal ones by id.
+
+def _cell(vector: Column, centres: np.ndarray) -> Column:
+    @F.pandas_udf("cell int, away double")
+    def nearest_centre(vec: pd.Series) -> pd.DataFrame:
+        d = _distances(_matrix(vec), centres)
+        cell = d.argmin(1)
+        return pd.DataFrame({"cell": cell.astype("i4"), "away": np.sqrt(d[np.arange(len(d)), cell])})
+
+    return nearest_centre(vector)
+
+
+def cells_in_reach(vector: Column, bound: Column, own: Column, centres: np.ndarray, radius: np.ndarray) -> Column:
+    """Cells besides the own one that may hold a row closer than ``bound``.
+
+    No row of a cell is closer than its centre's distance less the cell's radius.
+    A query without a bound must visit every cell.
     """
-    t_blocks, q_blocks = (_blocks(df.count(), block_rows) for df in (train, queries))
-    t = _spread(train.select(F.col(ident).alias("id"), F.col(vector).alias("vec"), F.col(label).alias("label")),
-                "id", "tb", t_blocks, "qb", q_blocks)
-    q = _spread(queries.select(F.col(ident).alias("id"), F.col(vector).alias("vec")),
-                "id", "qb", q_blocks, "tb", t_blocks)
+    @F.pandas_udf("array<int>")
+    def reach(vec: pd.Series, most: pd.Series, home: pd.Series) -> pd.Series:
+        least = np.sqrt(_distances(_matrix(vec), centres)) - radius[None, :]
+        limit = np.sqrt(most.fillna(np.inf).to_numpy(dtype="f8"))
+        near = least <= limit[:, None] + SLACK
+        near[np.arange(len(near)), home.to_numpy()] = False
+        return pd.Series([np.flatnonzero(row).astype("i4") for row in near])
+
+    return reach(vector, bound, own)
+
 
+def _search(train: DataFrame, visits: DataFrame, k: int, kinds: dict) -> DataFrame:
+    """The k best of each visited block: ``train`` by (cell, block), ``visits`` by (cell, block, part)."""
     def block_best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query": [], "neighbour": [], "label": [], "distance2": []})
         left = left.sort_values("id", ignore_index=True)  # equal distances then fall by id
-        ids, labels = left["id"].to_numpy(), left["label"].to_numpy()
-        b = np.stack(left["vec"].to_numpy()).astype("f8")
-        norms = (b * b).sum(1)
+        ids, labels, b = left["id"].to_numpy(), left["label"].to_numpy(), _matrix(left["vec"])
         parts = []
         for start in range(0, len(right), SLICE_ROWS):  # bounds the distance matrix
             piece = right.iloc[start: start + SLICE_ROWS]
             qids = piece["id"].to_numpy()
-            a = np.stack(piece["vec"].to_numpy()).astype("f8")
-            d = np.maximum(np.round((a * a).sum(1)[:, None] + norms[None, :] - 2.0 * (a @ b.T), 9), 0.0)
+            d = np.round(_distances(_matrix(piece["vec"]), b), 9)
             d[qids[:, None] == ids[None, :]] = np.inf  # a row is no neighbour of itself
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
             rows = np.repeat(np.arange(len(qids)), best.shape[1])
@@ -63,11 +79,61 @@ def nearest(
         out = pd.concat(parts)
         return out[np.isfinite(out["distance2"])]
 
-    kinds = dict(train.dtypes)
-    schema = f"query {kinds[ident]}, neighbour {kinds[ident]}, label {kinds[label]}, distance2 double"
-    found = t.groupBy("tb", "qb").cogroup(q.groupBy("tb", "qb")).applyInPandas(block_best, schema)
+    schema = f"query {kinds['id']}, neighbour {kinds['id']}, label {kinds['label']}, distance2 double"
+    keys = ["cell", "block", "part"]
+    return train.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(block_best, schema)
+
+
+def nearest(
+    train: DataFrame, queries: DataFrame, ident: str, vector: str, label: str, k: int,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``(query, neighbour, label, distance2, place)``: the k nearest other rows of each query.
+
+    Every row belongs to the cell of its nearest centre.  A query first searches its own
+    cell; its k-th distance there bounds what a better row can be, so it then visits
+    only the cells that reach within that distance.  A cell is cut in blocks of
+    ``block_rows`` rows, and its visitors in parts; a block and a part meet in one
+    matrix product that returns k rows per query.  The answer is exact whatever the
+    cells are; how many are passed over depends on how clustered the rows
+    are.  Distances are squared and compared to nine places, equal ones by id.
+    """
+    rows = train.count()
+    cells = max(1, min(MOST_CELLS, rows // 64, max(8, -(-rows // block_rows))))
+    centres = _centres(train, ident, vector, cells) if rows else np.zeros((1, 1))
+    cells = len(centres)
+    t = train.select(F.col(ident).alias("id"), F.col(vector).alias("vec"), F.col(label).alias("label"))
+    t = written(t.withColumn("c", _cell(F.col("vec"), centres)).select("id", "vec", "label", "c.cell", "c.away"), "knn-rows")
+    q = queries.select(F.col(ident).alias("id"), F.col(vector).alias("vec"))
+    q = written(q.withColumn("c", _cell(F.col("vec"), centres)).select("id", "vec", "c.cell"), "knn-queries")
+    radius = np.full(cells, -np.inf)
+    sizes = {}
+    for r in t.groupBy("cell").agg(F.max("away").alias("r"), F.count("*").alias("n")).collect():  # one row per cell
+        radius[r["cell"]], sizes[r["cell"]] = r["r"], r["n"]
+    kinds = dict(t.dtypes)
+    blocks = F.element_at(
+        F.array(*[F.lit(-(-sizes.get(c, 0) // block_rows) or 1) for c in range(cells)]), F.col("cell") + 1)
+
+    def search(visits: DataFrame) -> DataFrame:
+        visitors = written(visits, "knn-visits")
+        counts = {r["cell"]: r["count"] for r in visitors.groupBy("cell").count().collect()}
+        parts = F.element_at(
+            F.array(*[F.lit(-(-counts.get(c, 0) // block_rows) or 1) for c in range(cells)]), F.col("cell") + 1)
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        left = t.withColumn("block", F.pmod(F.hash("id"), blocks)).withColumn("part", every(parts))
+        right = visitors.withColumn("part", F.pmod(F.hash("id"), parts)).withColumn("block", every(blocks))
+        return _search(left.select("cell", "block", "part", "id", "vec", "label"), right, k, kinds)
+
     ranked = Window.partitionBy("query").orderBy("distance2", "neighbour")
-    return found.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= k)
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= k)
+
+    home = written(best(search(q)), "knn-home")
+    bounds = home.where(F.col("place") == k).select(F.col("query").alias("id"), F.col("distance2").alias("bound"))
+    reach = cells_in_reach(F.col("vec"), F.col("bound"), F.col("cell"), centres, radius)
+    away = q.join(bounds, "id", "left").withColumn("visit", F.explode(reach)).select("id", "vec", F.col("visit").alias("cell"))
+    return best(home.drop("place").union(search(away)))
 
 
 def vote(neighbours: DataFrame) -> DataFrame:

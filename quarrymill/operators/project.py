@@ -86,11 +86,6 @@ def require_no_nulls(df: DataFrame, names: Iterable[str]) -> DataFrame:
     })
 
 
-def choose_view(views: dict[str, DataFrame], label: str) -> DataFrame:
-    """One of several prepared results by its label."""
-    return views[label]
-
-
 def stack_views(views: dict[str, DataFrame]) -> DataFrame:
     """All prepared results in one table with a ``view`` column."""
     stacked = None

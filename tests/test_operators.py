@@ -563,6 +563,37 @@ def test_current_ratio_is_the_last_running_one(spark):
     assert set(last.collect()) == set(ordered.current_ratio(df, ["t"], F.col("w"), "i").select(*last.columns).collect())
 
 
+def test_far_cells_are_not_visited(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(12, 5)) * 100
+    rows = [(i, [float(x) for x in centres[i % 12] + rng.normal(size=5)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "id INT, v ARRAY<DOUBLE>")
+    reach = neighbours.cells_in_reach(F.col("v"), F.lit(25.0), F.lit(0), centres, np.full(12, 6.0))
+    visited = df.select(F.size(reach).alias("n")).agg(F.sum("n")).first()[0]
+    assert visited < 600 * 2  # of 600 * 11
+    unbounded = neighbours.cells_in_reach(F.col("v"), F.lit(None).cast("double"), F.lit(0), centres, np.full(12, 6.0))
+    assert {r.n for r in df.select(F.size(unbounded).alias("n")).collect()} == {11}
+
+
+@pytest.mark.parametrize("n,block_rows", [(700, 8192), (700, 40), (130, 7)])
+def test_nearest_rows_of_clusters_equal_brute_force(spark, n, block_rows):
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    points = rng.normal(size=(9, 4))[rng.integers(0, 9, n)] * 20 + rng.integers(0, 3, (n, 4))  # with ties
+    df = spark.createDataFrame([(i, [float(x) for x in p], i % 3) for i, p in enumerate(points)], "id INT, v ARRAY<DOUBLE>, l INT")
+    got = {}
+    for r in neighbours.nearest(df, df, "id", "v", "l", 5, block_rows).collect():
+        got.setdefault(r["query"], []).append((r.place, r.neighbour))
+    for i in range(n):
+        d = np.round(np.maximum(((points - points[i]) ** 2).sum(1), 0), 9)
+        want = sorted((d[j], j) for j in range(n) if j != i)[:5]
+        near = [j for _, j in sorted(got[i])]
+        assert np.allclose([d[j] for j in near], [x for x, _ in want], atol=1e-8)
+
+
 def test_a_shared_folder_must_be_named_on_a_cluster():
     from types import SimpleNamespace
 
