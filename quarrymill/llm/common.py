@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.session import cut_lineage, scratch_path
+from quarrymill.session import cut_lineage, written
 
 BLANKS = r"\x20\x09-\x0D"
 WORD = f"[^{BLANKS}]+"
@@ -52,18 +52,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back.
-
-    It cuts the lineage like a checkpoint and brings file sizes, by which the
-    planner decides on broadcasts.
-    """
-    spark: SparkSession = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def components(edges: DataFrame, low: str = "u", high: str = "v") -> DataFrame:
     """``(node, root)`` for every node of an undirected graph of 64-bit nodes.
 
