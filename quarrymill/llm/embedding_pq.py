@@ -3,17 +3,20 @@
 The index is fitted on a bounded sample: k-means of unit vectors gives the coarse
 centroids, k-means of the residuals in each subspace the code words.  Every
 distinct vector is then put in the inverted list of its nearest centroid, with a
-residual code of one byte per subspace, and visits the lists of its nearest
-``probes`` centroids.  In a list, the visitor's inner products with all code
-words make a table; adding the entries that a member's code names, and the visitor's
-product with the centroid, approximates the cosine.  A member's residual error
-bounds how far that can be off, so only members whose approximation plus error
-reaches the threshold are compared exactly, in double precision: the codes lose
-nothing, only lists that are not visited can.
-
-Equal vectors are one row with a count.  A list is cut in blocks of members and
-blocks of visitors, so a list that holds a third of all rows is spread over many
-tasks; pairs are counted where they are found and never listed.
+residual code of one byte per subspace.  It visits every list that can hold a vector
+within the threshold: one that reaches near enough (the list's radius), and whose side
+of the plane between the two centroids is near enough.  In a list, the visitor's inner
+products with all code words make a table; adding the entries that a member's code
+names, and the visitor's product with the centroid, approximates the cosine.  A
+member's residual error bounds how far that can be off, so only members whose
+approximation plus error reaches the threshold are compared exactly, in double
+precision.  Neither the lists nor the codes lose a pair.  How many lists are visited
+depends on how clustered the vectors are: where they lie at random it is most of them,
+and the work grows with the square of the distinct vectors.
+
+Equal vectors are one row with a count.  Neighbouring small lists share a tile of rows,
+a large list is cut into several, and every two tiles with lists that can meet do so in a
+task of their own; pairs are counted where they are found and never listed.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite numbers
 link with nothing; vectors of different lengths do not link; repeated rows are
@@ -36,8 +39,9 @@ from quarrymill.llm.common import components, quoted, written
 @dataclass(frozen=True)
 class Params:
     """``sample`` rows at most fit the index; lists number about the root of the rows, from
-    ``least_lists`` to ``most_lists``; ``subspaces`` codes of up to 256 words; ``block``
-    rows of a list meet at a time.  Bounds of the model only: every row is indexed."""
+    ``least_lists`` to ``most_lists``; ``subspaces`` codes of up to 256 words; a tile has about
+    ``block`` rows.  Bounds of the model only: every row is indexed, and all lists that can
+    hold a link are visited.  ``probes`` is still taken, and limits nothing."""
 
     threshold: float = 0.95
     sample: int = 32_768
@@ -135,54 +139,125 @@ def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _meet(table: pa.Table, index: Index, params: Params) -> pa.Table:
-    """Counts and ties of one block of visitors with one block of members of a list."""
-    group = table.column("list")[0].as_py()
-    role = np.asarray(table.column("visitor"))
-    key = np.asarray(table.column("key"))
-    copies = np.asarray(table.column("copies"))
-    width = np.asarray(table.column("width"))
-    error = np.asarray(table.column("error"))
-    visited = table.column("visited").combine_chunks()
-    p = len(visited[0])
-    visited = _matrix(visited, p, np.int32)
-    codes = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(key), -1)
-    raw = np.zeros((len(key), index.width))
-    values = table.column("vec").combine_chunks()
-    flat, at = np.asarray(values.flatten(), np.float64), np.concatenate([[0], np.cumsum(width)])
-    raw[np.repeat(np.arange(len(key)), width), np.arange(len(flat)) - np.repeat(at[:-1], width)] = flat
-    norm = np.linalg.norm(raw, axis=1)
-    unit = (raw / norm[:, None]).astype(np.float32)
-
-    q, x = np.flatnonzero(role), np.flatnonzero(~role)
-    links = np.zeros(len(key), np.int64)
+def _unpacked(table: pa.Table, row: int, index: Index) -> dict[str, np.ndarray]:
+    """The vectors of one packed tile."""
+    kinds = {"keys": np.int64, "counts": np.int64, "widths": np.int32, "lists": np.int32, "errors": np.float32}
+    tile = {n: np.frombuffer(table.column(n)[row].as_py(), kind) for n, kind in kinds.items()}
+    n, width = len(tile["keys"]), tile["widths"]
+    tile["codes"] = np.frombuffer(table.column("codes")[row].as_py(), np.uint8).reshape(n, -1)
+    flat = np.frombuffer(table.column("vecs")[row].as_py(), np.float64)
+    at = np.concatenate([[0], np.cumsum(width)])
+    raw = np.zeros((n, index.width))
+    raw[np.repeat(np.arange(n), width), np.arange(len(flat)) - np.repeat(at[:-1], width)] = flat
+    tile["raw"], tile["norm"] = raw, np.linalg.norm(raw, axis=1)
+    tile["whole"] = raw / tile["norm"][:, None]
+    tile["unit"] = tile["whole"].astype(np.float32)
+    return tile
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """One row of the vectors of a tile."""
+    column = lambda n, kind: np.asarray(table.column(n)).astype(kind).tobytes()
+    vecs = np.asarray(table.column("vec").combine_chunks().flatten(), np.float64).tobytes()
+    return pa.table({
+        "tile": table.column("tile").slice(0, 1), "keys": [column("key", np.int64)],
+        "counts": [column("copies", np.int64)], "widths": [column("width", np.int32)],
+        "lists": [column("list", np.int32)], "codes": [b"".join(table.column("code").to_pylist())],
+        "errors": [column("error", np.float32)], "vecs": [vecs]})
+
+
+def reach(threshold: float) -> float:
+    """Largest distance of two unit vectors that link, with room for single precision."""
+    return max(0.0, 2.0 - 2.0 * threshold) ** 0.5 + 1e-3
+
+
+def visits(unit: np.ndarray, own: np.ndarray, lists: np.ndarray, index: Index, radius: np.ndarray,
+           threshold: float) -> np.ndarray:
+    """Which of ``lists`` can hold a vector linked with each unit vector, whose nearest centroid is ``own``."""
+    c, r = index.centroids.astype(np.float64), reach(threshold)
+    half = 0.5 * (c * c).sum(1)
+    near = unit @ c[lists].T - half[lists]
+    mine = np.einsum("ij,ij->i", unit, c[own]) - half[own]
+    far = np.sqrt(np.maximum(0.0, (unit.astype(np.float64) ** 2).sum(1)[:, None] - 2.0 * near))
+    kinds, which = np.unique(own, return_inverse=True)
+    apart = np.linalg.norm(c[kinds][:, None] - c[lists][None], axis=2)[which]
+    return (far <= radius[lists] + r) & (mine[:, None] - near <= apart * r + 1e-4)
+
+
+def _linked(a: dict, b: dict, u: np.ndarray, v: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs reach the threshold, in double precision."""
+    out = np.empty(len(u), bool)
+    for s in range(0, len(u), 1 << 17):
+        i, j = u[s:s + (1 << 17)], v[s:s + (1 << 17)]
+        dot = np.einsum("ij,ij->i", a["raw"][i], b["raw"][j])
+        out[s:s + (1 << 17)] = dot / (a["norm"][i] * b["norm"][j]) >= threshold
+    return out
+
+
+def _meet(table: pa.Table, index: Index, radius: np.ndarray, params: Params) -> pa.Table:
+    """Counts and ties of two tiles, or of one with itself: each pair is met once."""
+    sides = [_unpacked(table, row, index) for row in range(table.num_rows)]
+    a, b = sides[0], sides[-1]
+    alone = len(sides) == 1
+    count_a, count_b = np.zeros(len(a["keys"]), np.int64), np.zeros(len(b["keys"]), np.int64)
     ties_a, ties_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    step = 256
-    for start in range(0, len(q), step):
-        block = q[start:start + step]
-        about = approximate(unit[block], codes[x], index.centroids[group], index.words)
-        xi, qi = np.nonzero(about >= (params.threshold - 1e-5) - error[x][:, None])
-        a, b = block[qi], x[xi]
-        keep = (key[a] != key[b]) & (width[a] == width[b])
-        a, b = a[keep], b[keep]
-        for s in range(0, len(a), 1 << 18):
-            u, v = a[s:s + (1 << 18)], b[s:s + (1 << 18)]
-            exact = np.einsum("ij,ij->i", raw[u], raw[v]) / (norm[u] * norm[v]) >= params.threshold
-            u, v = u[exact], v[exact]
-            np.add.at(links, u, copies[v])
-            # the member visits the visitor's own list too: it is counted there (or here,
-            # in its role of visitor, when they share the list); if it does not, here
-            back = (visited[v] == visited[u][:, :1]).any(1)
-            np.add.at(links, v[~back], copies[u[~back]])
-            ties_a.append(u)
-            ties_b.append(v)
-    ta, tb = np.concatenate(ties_a), np.concatenate(ties_b)
-    unique, local = np.unique(key, return_inverse=True)
-    roots = _local_roots(len(unique), local[ta], local[tb])
-    count = np.zeros(len(unique), np.int64)
-    np.add.at(count, local, links)
-    said = np.flatnonzero((count > 0) | (roots != np.arange(len(unique))))
-    return pa.table({"key": unique[said], "links": count[said], "tie": unique[roots[said]]})
+    offset = 0 if alone else len(a["keys"])
+    lists = np.unique(b["lists"])
+    for start in range(0, len(a["keys"]), 256):
+        rows = np.arange(start, min(start + 256, len(a["keys"])))
+        goes = visits(a["unit"][rows], a["lists"][rows], lists, index, radius, params.threshold)
+        for k, group in enumerate(lists):
+            q, x = rows[goes[:, k]], np.flatnonzero(b["lists"] == group)
+            if not len(q):
+                continue
+            about = approximate(a["unit"][q], b["codes"][x], index.centroids[group], index.words)
+            maybe = about >= (params.threshold - 1e-5) - b["errors"][x][:, None]
+            maybe &= b["widths"][x][:, None] == a["widths"][q]
+            if alone:
+                maybe &= x[:, None] > q
+            n = np.count_nonzero(maybe)
+            if 16 * n > maybe.size:  # many: one product tells all but those at the very threshold
+                cosines = b["whole"][x] @ a["whole"][q].T
+                close = np.abs(cosines - params.threshold) < 1e-12
+                sure = maybe & (cosines >= params.threshold) & ~close
+                xi, qi = np.nonzero(maybe & close)
+                sure[xi, qi] = _linked(a, b, q[qi], x[xi], params.threshold)
+                xi, qi = np.nonzero(sure)
+                u, v = q[qi], x[xi]
+            elif n:
+                xi, qi = np.nonzero(maybe)
+                u, v = q[qi], x[xi]
+                exact = _linked(a, b, u, v, params.threshold)
+                u, v = u[exact], v[exact]
+            else:
+                continue
+            np.add.at(count_a, u, b["counts"][v])
+            np.add.at(count_b, v, a["counts"][u])
+            # only what ties the block and the list together is kept of the pairs
+            nodes, local = np.unique(np.concatenate([u, v + offset]), return_inverse=True)
+            roots = _local_roots(len(nodes), local[:len(u)], local[len(u):])
+            ties_a.append(nodes)
+            ties_b.append(nodes[roots])
+    keys = a["keys"] if alone else np.concatenate([a["keys"], b["keys"]])
+    count = count_a + count_b if alone else np.concatenate([count_a, count_b])
+    roots = _local_roots(len(keys), np.concatenate(ties_a), np.concatenate(ties_b))
+    said = np.flatnonzero((count > 0) | (roots != np.arange(len(keys))))
+    return pa.table({"key": keys[said], "links": count[said], "tie": keys[roots[said]]})
+
+
+def tiles_of(sizes: np.ndarray, index: Index, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(bundle of each list, tiles of each bundle)``: neighbouring lists share a bundle of ``block`` rows."""
+    c = index.centroids
+    half = 0.5 * (c * c).sum(1)
+    bundle, total, free = np.zeros(len(sizes), np.int64), [0], np.ones(len(sizes), bool)
+    at = 0
+    for _ in range(len(sizes)):
+        if total[-1] and total[-1] + sizes[at] > block:
+            total.append(0)
+        bundle[at], free[at] = len(total) - 1, False
+        total[-1] += sizes[at]
+        at = int(np.where(free, c @ c[at] - half, -np.inf).argmax())  # the nearest list that is left
+    return bundle, np.maximum(1, -(-np.array(total) // block))
 
 
 def links(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", params: Params = Params()) -> DataFrame:
@@ -216,7 +291,6 @@ def links(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", par
     lists = int(min(params.most_lists, max(params.least_lists, round(total**0.5)), len(sample)))
     index = fit(sample, lists, params)
     model = spark.sparkContext.broadcast(index)  # at most most_lists + 256 vectors
-    probes = min(params.probes, len(index.centroids))
 
     def place(batches):
         ix = model.value
@@ -229,38 +303,63 @@ def links(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", par
             unit = (raw / np.linalg.norm(raw, axis=1)[:, None]).astype(np.float32)
             for s in range(0, len(unit), 1024):
                 e = min(s + 1024, len(unit))
-                visited, codes, error = assign(unit[s:e], ix, probes)
+                visited, codes, error = assign(unit[s:e], ix, 1)
+                far = np.linalg.norm(unit[s:e] - ix.centroids[visited[:, 0]], axis=1)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("key").slice(s, e - s), batch.column("copies").slice(s, e - s),
                     batch.column("vec").slice(s, e - s), pa.array(width[s:e].astype(np.int32)),
-                    pa.array(list(visited), pa.list_(pa.int32())),
-                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error.astype(np.float32)),
-                ], names=["key", "copies", "vec", "width", "visited", "code", "error"])
+                    pa.array(visited[:, 0]), pa.array([c.tobytes() for c in codes], pa.binary()),
+                    pa.array(error.astype(np.float32)), pa.array(far.astype(np.float64)),
+                ], names=["key", "copies", "vec", "width", "list", "code", "error", "far"])
 
     coded = classes.select("key", "copies", "vec").mapInArrow(
-        place, "key long, copies long, vec array<double>, width int, visited array<int>, code binary, error float")
+        place, "key long, copies long, vec array<double>, width int, list int, code binary, error float, far double")
     coded = written(coded, "pq-coded")
 
-    # blocks of a list: by a hash of the key, as many as its members and its visitors need
-    own = coded.groupBy(F.get("visited", F.lit(0)).alias("list")).agg(F.count("*").alias("members"))
-    guests = coded.select(F.explode("visited").alias("list")).groupBy("list").agg(F.count("*").alias("visitors"))
-    sizes = own.join(guests, "list").select(
-        "list", F.ceil(F.col("members") / params.block).cast("int").alias("mb"),
-        F.ceil(F.col("visitors") / params.block).cast("int").alias("vb"))
-    sizes = F.broadcast(written(sizes, "pq-lists"))  # at most most_lists rows
-    hashed = F.xxhash64("key")
-    body = ["key", "copies", "vec", "width", "visited", "code", "error"]
-    members = coded.withColumn("list", F.get("visited", F.lit(0))).join(sizes, "list").select(
-        "list", F.lit(False).alias("visitor"), F.pmod(hashed, "mb").cast("int").alias("m"),
-        F.explode(F.sequence(F.lit(0), F.col("vb") - 1)).alias("v"), *body)
-    visitors = coded.select(F.explode("visited").alias("list"), *body).join(sizes, "list").select(
-        "list", F.lit(True).alias("visitor"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"),
-        F.pmod(hashed, "vb").cast("int").alias("v"), *body)
+    # one row per list comes to the driver: its members and how far they reach
+    sizes, radius = np.zeros(len(index.centroids), np.int64), np.zeros(len(index.centroids))
+    for r in coded.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
+        sizes[r["list"]], radius[r["list"]] = r["n"], r["far"]
+    bundle, blocks = tiles_of(sizes, index, params.block)
+    plan = spark.sparkContext.broadcast((radius, sizes, bundle))
+
+    def partners(batches):
+        (radius, sizes, bundle), c = plan.value, model.value.centroids.astype(np.float64)
+        r, norms = reach(params.threshold), (c * c).sum(1)
+        for batch in batches:
+            low, high = [], []
+            for b in batch.column("bundle").to_pylist():
+                mine = np.flatnonzero((bundle == b) & (sizes > 0))
+                apart = np.sqrt(np.maximum(0.0, norms[mine][:, None] + norms - 2.0 * c[mine] @ c.T))
+                met = (apart <= radius[mine][:, None] + radius + r).any(0) & (sizes > 0) & (bundle >= b)
+                high.append(np.unique(bundle[met]))
+                low.append(np.full(len(high[-1]), b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x).astype(np.int64)) for x in (low, high)], names=["low", "high"])
+
+    cut = spark.createDataFrame(list(enumerate(blocks.tolist())), "bundle long, blocks long")  # at most most_lists rows
+    met = cut.repartition(min(64, len(blocks))).select("bundle").mapInArrow(partners, "low long, high long")
+    one = cut.select(F.col("bundle").alias("low"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    two = cut.select(F.col("bundle").alias("high"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    place_of = lambda b, i: F.shiftleft(F.col(b), 32) + F.col(i)
+    pairs = written(met.join(one, "low").join(two, "high").where("low < high or i <= j").select(
+        place_of("low", "i").alias("first"), place_of("high", "j").alias("second")), "pq-pairs")
+
+    homes = F.broadcast(spark.createDataFrame(
+        [(g, int(b), int(blocks[b])) for g, b in enumerate(bundle)], "list int, bundle long, blocks long"))
+    tiles = written(
+        coded.join(homes, "list").withColumn(
+            "tile", F.shiftleft("bundle", 32) + F.pmod(F.xxhash64("key"), "blocks"))
+        .groupBy("tile").applyInArrow(
+            _pack, "tile long, keys binary, counts binary, widths binary, lists binary, codes binary, "
+                   "errors binary, vecs binary"), "pq-tiles")
+    sides = tiles.join(pairs, F.col("tile") == F.col("first")).union(
+        tiles.join(pairs.where("first < second"), F.col("tile") == F.col("second")))
 
     def meet(table: pa.Table) -> pa.Table:
-        return _meet(table, model.value, params)
+        return _meet(table, model.value, plan.value[0], params)
 
-    said = written(members.union(visitors).groupBy("list", "m", "v").applyInArrow(
+    said = written(sides.groupBy("first", "second").applyInArrow(
         meet, "key long, links long, tie long"), "pq-links")
     counts = said.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(said.where("key <> tie").select("key", "tie"), "key", "tie").withColumnRenamed("node", "key")

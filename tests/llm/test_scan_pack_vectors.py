@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,3 +235,21 @@ def test_embeddings_of_nothing(spark):
     assert embedding_pq.links(empty).count() == 0
     rows = embedding_pq.links(spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")).collect()
     assert {tuple(r) for r in rows} == {(1, 0, 1, True), (2, 0, 2, True)}
+
+
+def test_a_hot_group_of_near_copies_is_linked_whole(spark):
+    """A third of 42,000 vectors lie close together, and are spread over far more lists than sixteen."""
+    rnd = np.random.default_rng(11)
+    n, hot, dim = 42_000, 14_000, 64
+    x = rnd.normal(size=(n, dim))
+    centre = rnd.normal(size=dim)
+    x[:hot] = centre + rnd.normal(size=(hot, dim)) * (rnd.uniform(0.15, 0.24, size=(hot, 1)))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = np.zeros(n, np.int64)
+    for s in range(0, n, 2000):
+        want[s:s + 2000] = (unit[s:s + 2000] @ unit.T >= 0.95).sum(1) - 1
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x)}), "vec_id long, embedding array<double>")
+    got = np.zeros(n, np.int64)
+    for r in embedding_pq.links(df).select("vec_id", "n_links").collect():
+        got[r.vec_id] = r.n_links
+    assert want[:hot].mean() > hot / 4 and (got == want).all()
