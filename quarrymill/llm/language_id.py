@@ -1,10 +1,11 @@
 """Language identification by compression.
 
 Each language has a raw-content zstandard dictionary of sample text.  A text is
-encoded whole with every dictionary; the one that gives the fewest bytes names
-the language.  A narrow margin between the best two is a rejection.  Dictionaries
+encoded whole with every dictionary, in blocks that each begin with the dictionary
+afresh, so that it is within the encoder's window all along; the one that gives the
+fewest bytes names the language.  A narrow margin between the best two is a rejection.  Dictionaries
 and texts are lower-cased, so that capitals find their match.  A run of line breaks
-goes before each text: the format stores a block that hardly shrinks as it is, and
+goes before each block: the format stores a block that hardly shrinks as it is, and
 would give a short text the same size for all languages.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0 and
@@ -31,6 +32,7 @@ from quarrymill.llm.common import fresh, quoted
 UNDETERMINED = "und"
 LEAD = b"\n" * 64
 TYPICAL_BYTES = 4_000  # of a text, by which the encoder sizes its tables
+BLOCK = 1 << 16  # bytes of a text encoded at once: dictionary and block fit the window of 2^18
 LETTER = regex.compile(r"\p{L}")
 RESULT = "lang_pred string, score double, margin int, accepted boolean"
 
@@ -102,6 +104,13 @@ def _encoders(model: tuple[tuple[str, bytes], ...], level: int) -> tuple[list[st
     return names, encoders
 
 
+def _sizes(text: str, encoders: list) -> np.ndarray:
+    """Bytes of a text with every encoder, over all its blocks."""
+    data = text.lower().encode()
+    blocks = [LEAD + data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
+    return np.array([sum(len(e.compress(b)) for b in blocks) for e in encoders])
+
+
 def classify(texts, model: dict[str, bytes], bounds: Bounds = Bounds()) -> list[tuple]:
     """``(language, score, margin in bytes, accepted)`` per text.
 
@@ -115,8 +124,7 @@ def classify(texts, model: dict[str, bytes], bounds: Bounds = Bounds()) -> list[
         if not text or not names or not LETTER.search(text):
             out.append((UNDETERMINED, 0.0, 0, False))
             continue
-        data = LEAD + text.lower().encode()
-        sizes = np.array([len(e.compress(data)) for e in encoders])
+        sizes = _sizes(text, encoders)
         best = int(sizes.argmin())
         weights = np.exp2((sizes[best] - sizes) / 2.0)
         margin = int(np.partition(sizes, 1)[1] - sizes[best]) if len(sizes) > 1 else int(bounds.margin)

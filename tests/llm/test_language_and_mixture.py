@@ -55,6 +55,22 @@ def test_no_labels_and_no_rows(make_docs):
     assert language_id.accepted_only(df, {}).count() == 0
 
 
+def some_words(language, n, seed):
+    """``n`` characters in an invented language of 400 words; another ``seed`` gives another text in it."""
+    rnd, pick = random.Random(language), random.Random(seed)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(400)]
+    return " ".join(pick.choice(vocabulary) for _ in range(n // 4))[:n]
+
+
+def test_long_texts_are_judged_whole():
+    model = {x: some_words(x, 120_000, 1).encode() for x in "ab"}
+    a, b = some_words("a", 3_000_000, 2), some_words("b", 3_000_000, 3)
+    for text, want in ((a[:200_000] + b, "b"), (b[:200_000] + a, "a"), (a, "a")):
+        assert language_id.classify([text], model)[0][0] == want
+    margins = [language_id.classify([a[:420_000] + tail], model)[0][2] for tail in (a, "")]
+    assert margins[0] > 5 * margins[1]  # what comes after the head counts as well
+
+
 # --- mixture -----------------------------------------------------------------
 
 
