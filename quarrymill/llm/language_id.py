@@ -10,8 +10,8 @@ would give a short text the same size for all languages.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0 and
 rejected; a table without any labelled text gives ``und`` for all rows; equal
-sizes are decided by the language's code point order and rejected; repeated rows
-get equal answers; other columns are ignored.
+sizes are decided by the language's code point order and rejected; where there is one
+language, its rival is the encoding without a dictionary; repeated rows get equal answers; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +44,10 @@ class Bounds:
     ``documents`` texts per language are sampled, ``chars`` code points of each,
     ``dictionary`` bytes of them kept; all dictionaries together hold at most
     ``model`` bytes.  ``margin`` is the least difference, in bytes, between the
-    best two encodings.  ``level`` is the compression level.
+    best two encodings, and ``share`` the least in parts of the best one, so that a long
+    text needs more evidence than a short one.  Margins of held-out rows of sf0.1 set it: 99 % of
+    the texts in a learned language are wider, over 95 % of those in others are not.
+    ``level`` is the compression level.
     """
 
     documents: int = 400
@@ -52,6 +55,7 @@ class Bounds:
     dictionary: int = 1 << 17
     model: int = 1 << 25
     margin: int = 1
+    share: float = 0.03
     level: int = 9
 
 
@@ -92,6 +96,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col
 
 @lru_cache(maxsize=4)
 def _encoders(model: tuple[tuple[str, bytes], ...], level: int) -> tuple[list[str], list]:
+    """Languages and their encoders; one without a dictionary, which has no name, follows a single language."""
     names, encoders = [], []
     for lang, data in model:
         known = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -101,6 +106,10 @@ def _encoders(model: tuple[tuple[str, bytes], ...], level: int) -> tuple[list[st
         known.precompute_compress(compression_params=settings)
         names.append(lang)
         encoders.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=known))
+    if len(names) == 1:
+        settings = zstandard.ZstdCompressionParameters.from_level(
+            level, source_size=TYPICAL_BYTES, write_checksum=False, write_content_size=False, write_dict_id=False)
+        encoders.append(zstandard.ZstdCompressor(compression_params=settings))
     return names, encoders
 
 
@@ -124,11 +133,13 @@ def classify(texts, model: dict[str, bytes], bounds: Bounds = Bounds()) -> list[
         if not text or not names or not LETTER.search(text):
             out.append((UNDETERMINED, 0.0, 0, False))
             continue
-        sizes = _sizes(text, encoders)
+        every = _sizes(text, encoders)
+        sizes = every[: len(names)]
         best = int(sizes.argmin())
         weights = np.exp2((sizes[best] - sizes) / 2.0)
-        margin = int(np.partition(sizes, 1)[1] - sizes[best]) if len(sizes) > 1 else int(bounds.margin)
-        out.append((names[best], float(1.0 / weights.sum()), margin, margin >= bounds.margin))
+        margin = max(0, int(np.delete(every, best).min() - sizes[best]))
+        accepted = margin >= max(bounds.margin, bounds.share * float(sizes[best]))
+        out.append((names[best], float(1.0 / weights.sum()), margin, accepted))
     return out
 
 

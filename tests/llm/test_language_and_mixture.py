@@ -71,6 +71,26 @@ def test_long_texts_are_judged_whole():
     assert margins[0] > 5 * margins[1]  # what comes after the head counts as well
 
 
+def test_texts_in_no_known_language_are_rejected(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) > 0").collect()
+    held = [r for r in rows if r.lang and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and language_id.LETTER.search(r.text)]
+    learned = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("crc32(cast(doc_id as string)) % 5 <> 0")
+    model = language_id.fit(learned)
+    accepted = lambda texts, known: sum(m[3] for m in language_id.classify(texts, known)) / len(texts)
+    assert accepted([r.text for r in held], model) > 0.98
+    for lang in model:
+        others = {k: v for k, v in model.items() if k != lang}
+        texts = [r.text for r in held if r.lang == lang][:200]
+        assert accepted(texts, others) < 0.1
+        assert accepted(texts, {lang: model[lang]}) > 0.9  # alone, the rival is no dictionary
+    rnd = random.Random(4)
+    for n in (50, 200, 5_000, 20_000, 200_000):
+        noise = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for _ in range(50 if n < 10_000 else 10)]
+        assert accepted(noise, model) <= 0.1
+        if n >= 5_000:
+            assert accepted(noise, model) == 0 and accepted(noise, {"en": model["en"]}) == 0
+
+
 # --- mixture -----------------------------------------------------------------
 
 
