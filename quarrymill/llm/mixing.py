@@ -230,13 +230,29 @@ def repeat_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                 plan: Plan = Plan()) -> DataFrame:
     """Rows of ``df``, each as often as the mix takes it; all columns stay.
 
-    Rows that share an id share their sum of copies: each of ``n`` such rows is
-    given an equal part of it, rounded down.
+    Rows that share an id are numbered among those of one source and size, and the
+    copies of these are dealt out one by one, so that their sum is kept.
     """
     mine, times = fresh(df, "mixed_id", "times")
-    counted = mix(df, id_col, text_col, source_col, plan).groupBy("doc_id").agg(
-        F.floor(F.sum("copies") / F.count("*")).cast("int").alias(times)
-    ).where(F.col(times) > 0).withColumnRenamed("doc_id", mine)
-    joined = df.join(counted, quoted(id_col).eqNullSafe(F.col(mine)))
+    given = written(mix(df, id_col, text_col, source_col, plan).select("doc_id", "source", "size", "copies"), "mix-given")
+    ids = given.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("copies").cast("int").alias(times))
+    once = ids.where((F.col("n") == 1) & (F.col(times) > 0)).select(F.col("doc_id").alias(mine), times)
+    joined = df.join(once, quoted(id_col).eqNullSafe(F.col(mine))).drop(mine)
+    shared = written(ids.where("n > 1").select(F.col("doc_id").alias(mine)), "mix-shared")
+    if not shared.isEmpty():
+        source, size, place, total, rows = fresh(df, "mixed_source", "mixed_size", "place", "total", "rows")
+        some = df.join(shared, quoted(id_col).eqNullSafe(F.col(mine))).drop(mine).withColumn(
+            size, word_count(quoted(text_col)))
+        inside = Window.partitionBy(quoted(id_col), quoted(source_col), size).orderBy(F.xxhash64(quoted(text_col)))
+        groups = given.join(shared, F.col("doc_id").eqNullSafe(F.col(mine))).groupBy(mine, "source", "size").agg(
+            F.sum("copies").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0).select(
+            mine, F.col("source").alias(source), F.col("size").alias(f"{size}2"), total, rows)
+        each = F.floor(F.col(total) / F.col(rows))
+        dealt = some.withColumn(place, F.row_number().over(inside)).join(
+            groups, quoted(id_col).eqNullSafe(F.col(mine)) & quoted(source_col).eqNullSafe(F.col(source))
+            & (F.col(size) == F.col(f"{size}2")))
+        more = (F.col(place) <= F.col(total) - each * F.col(rows)).cast("int")
+        dealt = dealt.withColumn(times, (each + more).cast("int")).where(F.col(times) > 0)
+        joined = joined.unionByName(dealt.select(*[quoted(c) for c in df.columns], times))
     again, = fresh(joined, "again")
-    return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(mine, times, again)
+    return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(times, again)

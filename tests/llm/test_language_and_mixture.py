@@ -203,3 +203,18 @@ def test_targets_of_many_sources(spark, weights):
     got = mixing.targets(spark.createDataFrame(rows, "doc_id long, source string, size long"), mixing.Plan(weights=weights))
     want = plain_targets(words, weights)
     assert {r.source: pytest.approx(r.target) for r in got.collect()} == want
+
+
+def test_rows_that_share_an_id_keep_the_sum_of_their_copies(make_docs):
+    rnd = random.Random(6)
+    rows = [(None if i % 2 else i % 7, "w " * rnd.randrange(1, 30) + str(i), None, rnd.choice("abc")) for i in range(300)]
+    rows += [(100 + i, "v " * rnd.randrange(1, 30), None, rnd.choice("abc")) for i in range(100)]
+    df = make_docs(rows)
+    want, took = Counter(), Counter()
+    for r in mixing.mix(df).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    again = Counter(map(tuple, mixing.repeat_rows(df).collect()))
+    for (d, text, _, source, _), n in again.items():
+        took[d, source, len(text.split())] += n
+    assert +want == took and any(d is None for d, _, _ in took)
+    assert max(n for r, n in again.items() if r[0] is None) <= 2
