@@ -2,7 +2,7 @@
 
 Defined results: a null or empty text is one empty line and stays ``''``; a key
 shorter than ``min_chars`` is never dropped; every row counts as one document,
-also where an id repeats or is null; an empty table gives an empty one; columns
+also where an id repeats or is null, unless ``per_text`` counts equal texts once; an empty table gives an empty one; columns
 that clash with the ones made here are left alone.
 """
 
@@ -32,7 +32,7 @@ def _hash(k: Column) -> Column:
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS,
-          outputs: tuple[str, str, str] = ("kept", "n_lines", "n_dropped")) -> DataFrame:
+          outputs: tuple[str, str, str] = ("kept", "n_lines", "n_dropped"), per_text: bool = False) -> DataFrame:
     """All columns of ``df`` and ``outputs``: the kept text, lines before, lines dropped.
 
     Only hashes of the distinct lines of a document are exploded.  Counting
@@ -40,12 +40,13 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one row per task.  The frequent ones go back to the documents that hold
     them, and only then are texts shuffled, once, to meet their list; the planner
     may broadcast the lists instead where they are small.  In the document the
-    lines are taken in order of position.
+    lines are taken in order of position.  With ``per_text`` copies of one whole text
+    count as one document: those of the lines that many rows hold are counted again by text.
     """
     usable = F.filter(F.transform(lines(quoted(text_col)), key), lambda k: F.char_length(k) >= min_chars)
     hashed = written(
         df.select(
-            quoted(id_col).alias("id"),
+            quoted(id_col).alias("id"), *([_hash(quoted(text_col)).alias("whole")] if per_text else []),
             F.array_distinct(F.transform(usable, _hash)).alias("hashes"),
         ).where(F.size("hashes") > 0),
         "line-hashes",
@@ -55,6 +56,11 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         single.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents).select("h")
     )
     frequent = written(frequent, "frequent-lines")
+    if per_text:
+        texts = hashed.select("whole", F.explode("hashes").alias("h")).join(frequent, "h").distinct()
+        frequent = written(
+            texts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents).select("h"),
+            "frequent-in-texts")
     doomed, mine, all_lines, left = fresh(df, "doomed", "mine", "lines", "left")
     lists = single.join(frequent, "h").groupBy("id").agg(F.collect_set("h").alias(doomed))
     lists = lists.withColumnRenamed("id", mine)
@@ -79,10 +85,10 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def replace_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  length_col: str = "n_chars", min_chars: int = MIN_CHARS,
-                 min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+                 min_documents: int = MIN_DOCUMENTS, per_text: bool = False) -> DataFrame:
     """``df`` with the kept lines as its text, and the length to match; no row goes."""
     made = fresh(df, "kept", "n_lines", "n_dropped")
-    cut = dedup(df, id_col, text_col, min_chars, min_documents, tuple(made))
+    cut = dedup(df, id_col, text_col, min_chars, min_documents, tuple(made), per_text)
     changed = {text_col: F.when(quoted(text_col).isNull(), F.lit(None)).otherwise(F.col(made[0]))}
     if length_col in df.columns:
         same = F.col(made[2]) == 0

@@ -60,3 +60,12 @@ def test_stages_take_awkward_tables(make_docs, spark, folder, rows):
         assert out.columns == docs.columns
         out.collect()
     corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+
+
+def test_texts_with_many_copies_stay_once(make_docs, spark, folder):
+    rows = [(i, "one text\nin many copies") for i in range(12)] + [(100 + i, f"common\nown {i}") for i in range(10)]
+    got = corpus_pipeline.unshared_lines(spark, make_docs(rows), folder)
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(
+        rows[:12] + [(100 + i, f"own {i}") for i in range(10)])
+    kept = [r.text for r in corpus_pipeline.one_of_each(spark, got, folder).collect()]
+    assert kept.count("one text\nin many copies") == 1
