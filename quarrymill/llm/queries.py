@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from quarrymill.llm import (
-    embedding_pq, language_id, license_scan, line_dedup, minhash, mixing, packing, simhash, token_counts,
-    token_records,
+    embedding_pq, language_id, license_scan, line_dedup, minhash, mixing, packing, prefix_trie, simhash,
+    token_counts, token_records,
 )
 from quarrymill.tables import Tables
 
@@ -122,3 +122,52 @@ def op10(t: Tables) -> DataFrame:
         names(base).alias("base_labels"), names(F.col("spans")).alias("labels"),
         F.coalesce(F.array_max(F.transform("spans", lambda s: s.likeness)), F.lit(0.0)).alias("score"), "spans",
     )
+
+
+@query("op12_prefix_trie", """
+with table256 as (
+  select list(c order by i) as tab from (
+    select i, list_reduce(list_prepend(i, range(8)::bigint[]),
+      lambda c, b: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as c
+    from range(256) t(i))),
+crcs as (
+  select c, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(c::varchar, ''), lambda s: ascii(s)::bigint)),
+      lambda r, b: xor(r // 256, tab[xor(r % 256, b) + 1])), 4294967295) % 9 as h
+  from (select distinct conv_id as c from conversations where conv_id is not null), table256),
+turns as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as seq
+  from conversations where conv_id is not null),
+sizes as (select c, count(*) as n from turns group by c),
+rebuilt as (
+  select crcs.c, t.seq as pos, role, text from crcs join turns t on t.c = crcs.c - crcs.c % 5 and t.seq <= crcs.h
+  union all
+  select crcs.c, least(crcs.h, coalesce(b.n, 0)) + t.seq - crcs.h, role, text
+  from crcs join turns t on t.c = crcs.c and t.seq > crcs.h left join sizes b on b.c = crcs.c - crcs.c % 5),
+paths as (
+  select c, pos as d, text, list(sha256(octet_length(encode(role)) || ':' || role || text)) over (partition by c order by pos) as path
+  from rebuilt
+  union all select c, 0, '', [] from crcs),
+keyed as (select c, d, text, md5(array_to_string(path, ',')) as node from paths),
+nodes as (
+  select node, d, min(c) as conv_id, count(*) as n_convs, octet_length(encode(min(text))) as bytes
+  from keyed group by node, d),
+parents as (
+  select n.*, p.conv_id as parent_conv_id
+  from nodes n left join keyed k on k.c = n.conv_id and k.d = n.d - 1 left join nodes p on p.node = k.node and p.d = k.d),
+kids as (select parent_conv_id as conv_id, d - 1 as d, count(*) as n_children from parents where d > 0 group by all),
+full_nodes as (
+  select p.*, coalesce(k.n_children, 0) as n_children from parents p left join kids k on k.conv_id = p.conv_id and k.d = p.d),
+subtree as (
+  select up.node, up.d, sum((q.n_convs - 1) * q.bytes) as saved_tokens, count(*) filter (where q.n_children = 0) as n_leaves
+  from full_nodes q join keyed up on up.c = q.conv_id and up.d <= q.d group by up.node, up.d),
+ends as (
+  select k.node, k.d, sha256(string_agg(k.c::varchar, ',' order by k.c)) as ends_sha256
+  from keyed k join (select c, max(d) as d from keyed group by c) l on l.c = k.c and l.d = k.d group by k.node, k.d)
+select f.conv_id, f.d as depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+       cast(s.saved_tokens as bigint) as saved_tokens, coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from full_nodes f join subtree s on s.node = f.node and s.d = f.d left join ends e on e.node = f.node and e.d = f.d
+""")
+def op12(t: Tables) -> DataFrame:
+    return prefix_trie.conversation_trie(t.conversations)
