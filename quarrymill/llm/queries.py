@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from quarrymill.llm import (
-    embedding_pq, language_id, license_scan, line_dedup, minhash, mixing, packing, prefix_trie, simhash,
+    embedding_pq, language_id, lexical_search, license_scan, line_dedup, minhash, mixing, packing, prefix_trie, simhash,
     token_counts, token_records,
 )
 from quarrymill.tables import Tables
@@ -171,3 +171,32 @@ from full_nodes f join subtree s on s.node = f.node and s.d = f.d left join ends
 """)
 def op12(t: Tables) -> DataFrame:
     return prefix_trie.conversation_trie(t.conversations)
+
+
+@query("op13_lexical_search", r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents),
+lengths as (select doc_id, count(*)::bigint as n from words group by doc_id),
+totals as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from lengths),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+tfs as (
+  select w.doc_id, w.term, count(*)::bigint as tf from words w semi join asked a on a.term = w.term group by w.doc_id, w.term),
+weights as (
+  select term, floor(1000 * ln((2.0::double * n_docs + 2) / (2.0::double * count(*) + 1)))::bigint as w
+  from tfs, totals group by term, n_docs),
+impacts as (
+  select t.doc_id, t.term, w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * (50 + (50 * l.n * n_docs) // n_terms))) as impact
+  from tfs t join weights w on w.term = t.term join lengths l on l.doc_id = t.doc_id, totals),
+scores as (
+  select a.item_id, i.doc_id, sum(i.impact)::bigint as score from asked a join impacts i on i.term = a.term group by a.item_id, i.doc_id),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from scores where score > 0)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 50
+""")
+def op13(t: Tables) -> DataFrame:
+    return lexical_search.search(t.documents, t.benchmark)
