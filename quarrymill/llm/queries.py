@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from quarrymill.llm import (
-    embedding_pq, language_id, lexical_search, license_scan, line_dedup, minhash, mixing, packing, prefix_trie, simhash,
-    token_counts, token_records,
+    embedding_pq, hpy_model, language_id, lexical_search, license_scan, line_dedup, minhash, mixing, packing, prefix_trie,
+    simhash, token_counts, token_records,
 )
 from quarrymill.tables import Tables
 
@@ -200,3 +200,10 @@ select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 5
 """)
 def op13(t: Tables) -> DataFrame:
     return lexical_search.search(t.documents, t.benchmark)
+
+
+@query("op11_hpy_model")
+def op11(t: Tables) -> DataFrame:
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    model = hpy_model.fit(t.documents.where(~held))
+    return hpy_model.score(t.documents, model, held).withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
