@@ -18,6 +18,7 @@ file and an empty index; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -40,13 +41,23 @@ HEADER = struct.Struct("<qI")
 BLOCK, MASK_DELTA = 256, 0xA282EAD8
 BATCH_BYTES = 8 << 20
 LARGEST = 1 << 34
-REMEMBERED, JOINED, WORD_END = 400_000, 1_000, "</w>"
+REMEMBERED, JOINED, WORD_END = 600_000, 1_000, "</w>"
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTER, _SIGN = "A-Za-zÀ-ÖØ-öø-ÿ", "!-&(-/:-@\\[-`{-~"
 _PARTS = re.compile(f"[{_LETTER}]+|[0-9]|[{_SIGN}]+")
 _PLAIN = re.compile(f"[{_LETTER}0-9{_SIGN}]+")
 _WORDS = re.compile(f"[^{_SPACE}]+")
-_UNPLAIN = re.compile(f"[^{_SPACE}{_LETTER}0-9{_SIGN}]|<\\|")
+_ENDING = frozenset("!#$%&()*+,-./:;=?@")  # a few signs that often end a word; an apostrophe is not one
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+# fixed values: the normalizer and the splitting rule of the tokenizer form that is taken apart
+FORM = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 INDEX = pa.schema([
     ("shard", pa.int32()), ("record", pa.int64()), ("file", pa.string()), ("doc_id", pa.int64()),
     ("offset", pa.int64()), ("length", pa.int64()), ("n_tokens", pa.int64()),
@@ -136,15 +147,16 @@ def verify(lengths: list[bytes], length_sums: list[int], payloads: list[bytes],
 # --- tokens ------------------------------------------------------------------
 
 class Encoder:
-    """Little-endian ids of texts from the tokenizers library, each distinct part once.
-
-    The tokenizer lower-cases, breaks at white space and then at changes
-    between letters, digits and other signs, and a part's ids do not depend on what lies
-    beside it.  So plain Latin letters, digits and signs are encoded part by
-    part; words with apostrophes or any other character go to the library whole.
-    New parts are encoded many at a time, with blanks between them: the last
-    piece of a part carries the vocabulary's word end, which tells them apart again.
-    At most ``REMEMBERED`` parts are kept, or as many as the batch at hand uses.
+    """Little-endian ids of texts from the tokenizers library, each distinct word once.
+
+    ``FORM`` is the one form of tokenizer that is taken apart: it lower-cases, breaks at white space and
+    then at changes between letters, digits and other signs, and a part's ids do not depend on
+    what lies beside it.  A text is then its words; a word of plain Latin letters, digits and
+    signs is its parts, and one with apostrophes or any other character goes to the library whole.
+    New parts are encoded many at a time, with blanks between them: the last piece of a
+    part carries the vocabulary's word end, which tells them apart again.  At most
+    ``REMEMBERED`` words and parts are kept, or as many as the batch at hand uses.
+    Any other tokenizer gets the texts whole.
     """
 
     def __init__(self, path: str):
@@ -153,23 +165,19 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.kind = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
+        stated = json.loads(self.tokenizer.to_str())
+        added = [t["content"] for t in stated["added_tokens"]]
+        self.by_words = (
+            stated["normalizer"] == FORM["normalizer"] and stated["pre_tokenizer"] == FORM["pre_tokenizer"]
+            and stated["model"].get("end_of_word_suffix") == WORD_END and not stated["model"].get("dropout")
+            and all(t.startswith("<|") and t.endswith("|>") and " " not in t for t in added)
+            and not any(t[k] for t in stated["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")))
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def _split(self, text: str) -> list[str]:
-        """Parts and whole words of a text, in order."""
-        if not _UNPLAIN.search(text):
-            return _PARTS.findall(text.lower())
-        out: list[str] = []
-        for word in _WORDS.findall(text):
-            if _PLAIN.fullmatch(word) and "<|" not in word:  # a special token is not cut
-                out += _PARTS.findall(word.lower())
-            else:
-                out.append(word)
-        return out
-
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, self.kind) for f in found]
@@ -190,17 +198,35 @@ class Encoder:
         for part, ids in zip(whole, self._ids(whole)):
             self.known[part] = ids.tobytes()
 
+    def _cut(self, word: str) -> tuple | list:
+        """Parts of a word; a special token, like any word that is not plain, is one."""
+        if word.isascii():  # most words are letters, or letters and a sign
+            if word.isalpha():
+                return (word.lower(),)
+            if word[-1] in _ENDING and word[:-1].isalpha():
+                return (word[:-1].lower(), word[-1])
+        return _PARTS.findall(word.lower()) if _PLAIN.fullmatch(word) and "<|" not in word else (word,)
+
+    def _learn_words(self, new: list[str]) -> None:
+        cut = list(map(self._cut, new))
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        self._learn(list(set(filterfalse(self.known.__contains__, chain.from_iterable(cut)))))
+        ids = self.known.__getitem__
+        self.words.update((w, ids(parts[0]) if len(parts) == 1 else b"".join(map(ids, parts))) for w, parts in zip(new, cut))
+
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         end = np.array([end_id], self.kind).tobytes()
-        split = [self._split(t) if t else [] for t in texts]
-        known = self.known
-        new = set(filterfalse(known.__contains__, chain.from_iterable(split)))
-        if len(known) + len(new) > REMEMBERED:
-            kept = {p: known[p] for p in set(chain.from_iterable(split)).difference(new)}
-            known.clear()
-            known.update(kept)
-        self._learn(list(new))
-        ids = known.__getitem__
+        if not self.by_words:
+            return [ids.tobytes() + end for ids in self._ids([t or "" for t in texts])]
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        # str.split takes four control characters for white space that the tokenizer does not
+        split = [(_WORDS.findall(t) if _SEPARATORS.search(t) else t.split()) if t else [] for t in texts]
+        new = set().union(*split).difference(self.words)
+        if new:
+            self._learn_words(list(new))
+        ids = self.words.__getitem__
         return [b"".join(map(ids, s)) + end for s in split]
 
 
@@ -256,7 +282,8 @@ def write_records(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
     target = folder or scratch_path(df.sparkSession, "token-records")
     rows = df.select(quoted(id_col).cast("bigint").alias("doc_id"), quoted(text_col).alias("text"))
     order = F.col("doc_id").asc_nulls_first()
-    dealt = rows.repartitionByRange(order).sortWithinPartitions(order, "text")
+    # rows of one id follow each other by text, so its first characters may cut them as well
+    dealt = rows.repartitionByRange(order, F.substring("text", 1, 64)).sortWithinPartitions(order, "text")
     index = dealt.mapInArrow(partial(_write_shard, tokenizer=tokenizer, end_id=end_id, target=target), INDEX_SPARK)
     return written(index, "token-index").withColumn("file", F.concat(F.lit(target + "/"), F.col("file")))
 
