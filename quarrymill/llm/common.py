@@ -15,6 +15,21 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's rows per Arrow batch to 512 for workers that take whole texts.
+
+    A batch lies in memory in the executor and in its Python worker at once, and texts may be long.
+    """
+    conf = df.sparkSession.conf
+    now = int(conf.get(BATCH_SETTING, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df
+
+
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
     """Column names close to ``wanted`` that ``df`` does not hold in any case."""
     taken = {c.lower() for c in df.columns}

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quarrymill.llm.common import fresh, quoted
+from quarrymill.llm.common import fresh, quoted, small_batches
 
 UNDETERMINED = "und"
 LEAD = b"\n" * 64
@@ -159,5 +159,5 @@ def accepted_only(df: DataFrame, model: dict[str, bytes], text_col: str = "text"
                   bounds: Bounds = Bounds()) -> DataFrame:
     """Rows whose language is told with a sufficient margin; all columns stay."""
     (mark,) = fresh(df, "language")
-    marked = df.withColumn(mark, predict(quoted(text_col), model, bounds))
+    marked = small_batches(df).withColumn(mark, predict(quoted(text_col), model, bounds))
     return marked.where(F.col(f"{mark}.accepted")).drop(mark)

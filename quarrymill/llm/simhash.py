@@ -10,7 +10,8 @@ a component's name unless the component has no other.
 from __future__ import annotations
 
 import re
-from itertools import combinations
+from collections.abc import Iterator
+from itertools import combinations, islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -18,35 +19,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from quarrymill.llm.common import WORD, components, fresh, quoted, written
+from quarrymill.llm.common import WORD, components, fresh, quoted, small_batches, written
 
 SHINGLE, DISTANCE, PIECES, SEED = 3, 2, 5, 42
+HASHES = 1 << 18  # of shingles, held at once by a task
 BLOCK_PAIRS = 64  # blocks with more fingerprints are linked by neighbour keys
 _LANE = np.uint64(0x0101010101010101)
 _WORDS = re.compile(WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def _hashes(text: str, shingle: int) -> list[int]:
-    words = _WORDS.findall(text.encode().translate(_LOWER))
-    if not words:
-        return []
-    if len(words) > shingle:
-        words = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    else:
-        words = [b" ".join(words)]
-    return [xxh64_intdigest(w, SEED) for w in words]
+def _hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, at most ``HASHES`` at a time."""
+    found = (m.group() for m in _WORDS.finditer(text.encode().translate(_LOWER)))
+    if len(text) <= HASHES:
+        found = iter(_WORDS.findall(text.encode().translate(_LOWER)))
+    words = list(islice(found, HASHES))
+    if 0 < len(words) < shingle:
+        yield np.array([xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+        return
+    while len(words) >= shingle:
+        joined = words if shingle == 1 else map(b" ".join, zip(*(words[i:] for i in range(shingle))))
+        yield np.fromiter(map(xxh64_intdigest, joined, repeat(SEED)), np.uint64, len(words) - shingle + 1)
+        rest = list(islice(found, HASHES))
+        words = words[len(words) - shingle + 1:] + rest if rest else []
 
 
-def majority(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit word per document: bits set in over half of its hashes.
+def bit_counts(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many of each document's hashes have each of the 64 bits.
 
     ``hashes`` holds all documents' hashes in a row, ``ends`` where each stops.
     Eight counters share a 64-bit lane, flushed before one can pass 255.
     """
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     sizes = ends - starts
-    out = np.zeros(len(ends), np.uint64)
+    out = np.zeros((len(ends), 64), np.int64)
     full = np.flatnonzero(sizes > 0)
     if not len(full):
         return out
@@ -55,29 +62,53 @@ def majority(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     owner = np.repeat(np.arange(len(full)), runs)
     first = np.cumsum(runs) - runs
     cuts = starts[owner] + 255 * (np.arange(len(owner)) - first[owner])
-    bits = np.zeros(len(full), np.uint64)
     for k in range(8):
         lanes = np.add.reduceat((hashes >> np.uint64(k)) & _LANE, cuts)
         counts = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
-        over = (2 * counts > sizes[:, None]).astype(np.uint64)
-        for byte in range(8):
-            bits |= over[:, byte] << np.uint64(8 * byte + k)
-    out[full] = bits
+        out[full, k::8] = counts
     return out
 
 
+def _words_of(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    over = 2 * counts > sizes[:, None]
+    return np.packbits(over, axis=1, bitorder="little").view("<u8").ravel()
+
+
+def majority(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit word per document: bits set in over half of its hashes."""
+    return _words_of(bit_counts(hashes, ends), np.diff(ends, prepend=0))
+
+
+def fingerprints(texts, shingle: int = SHINGLE) -> np.ndarray:
+    """Unsigned 64-bit SimHashes; no more than some ``HASHES`` hashes are held at once, however long the texts."""
+    n = len(texts)
+    counts, sizes = np.zeros((n, 64), np.int64), np.zeros(n, np.int64)
+    parts, owners, held = [], [], 0
+
+    def settle():
+        if parts:
+            lengths = np.array([len(p) for p in parts])
+            np.add.at(counts, owners, bit_counts(np.concatenate(parts), np.cumsum(lengths)))
+            np.add.at(sizes, owners, lengths)
+
+    for i, text in enumerate(texts):
+        for part in _hashes(text, shingle) if text else ():
+            parts.append(part)
+            owners.append(i)
+            held += len(part)
+            if held >= HASHES:
+                settle()
+                parts, owners, held = [], [], 0
+    settle()
+    return _words_of(counts, sizes)
+
+
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
     """The signed 64-bit SimHash of a text column."""
 
     @F.pandas_udf("bigint")
     def simhash(texts: pd.Series) -> pd.Series:
-        found, ends = [], []
-        for t in texts:
-            if t:
-                found += _hashes(t, shingle)
-            ends.append(len(found))
-        words = majority(np.array(found, np.uint64), np.array(ends, np.int64))
-        return pd.Series(words.view(np.int64))
+        return pd.Series(fingerprints(texts, shingle).view(np.int64))
 
     return simhash(text)
 
@@ -143,9 +174,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     search.
     """
     prints = written(
-        df.select(quoted(id_col).alias("doc_id"), fingerprint(quoted(text_col), shingle).alias("fp")),
+        small_batches(df).select(quoted(id_col).alias("doc_id"), fingerprint(quoted(text_col), shingle).alias("fp")),
         "simhash-prints",
     )
+    return grouped(prints)
+
+
+def grouped(prints: DataFrame) -> DataFrame:
+    """:func:`near_duplicates` of a table of ``doc_id, fp``."""
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(distinct.select("fp")))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -167,17 +203,16 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Where several rows share that id and fingerprint, one of them stays.
     """
-    found = near_duplicates(df, id_col, text_col, shingle)
+    mine, other, own = fresh(df, "near_id", "near_fp", "own_fp")
+    marked = written(small_batches(df).withColumn(own, fingerprint(quoted(text_col), shingle)), "simhash-marked")
+    found = grouped(marked.select(quoted(id_col).alias("doc_id"), F.col(own).alias("fp")))
     keepers = written(
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("doc_id", "root").agg(F.min("fp").alias("fp"), F.count("*").alias("rows")),
         "simhash-keepers",
     )
-    mine, other, own = fresh(df, "near_id", "near_fp", "own_fp")
     sides = keepers.select(F.col("doc_id").alias(mine), F.col("fp").alias(other))
-    kept = df.withColumn(own, fingerprint(quoted(text_col), shingle)).join(
-        sides, quoted(id_col).eqNullSafe(F.col(mine)) & (F.col(own) == F.col(other))
-    )
+    kept = marked.join(sides, quoted(id_col).eqNullSafe(F.col(mine)) & (F.col(own) == F.col(other)))
     if not keepers.where("rows > 1").isEmpty():
         kept = kept.dropDuplicates([mine, own])
     return kept.drop(mine, other, own)
