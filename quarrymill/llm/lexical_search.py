@@ -115,17 +115,16 @@ def pairs_asked(asked: DataFrame, terms: DataFrame, partners: int = PARTNERS) ->
     return asked_for.withColumn("place", F.row_number().over(best)).where(F.col("place") <= partners).select("one", "two")
 
 
-def joint_bounds(postings_by_row: DataFrame, pairs: DataFrame) -> DataFrame:
+def joint_bounds(line: DataFrame, pairs: DataFrame) -> DataFrame:
     """``one, two, joint``: the largest sum of two terms' impacts over the documents that hold both.
 
-    The intersection list of a pair is read off the documents where their counts lie, so no
-    posting is shuffled: only one maximum per pair and task is.
+    ``line`` has the postings ``row, term, impact``, dealt out by row.  The intersection lists are
+    built where a document's postings lie, so only one maximum per pair and task is shuffled.
     """
-    held = postings_by_row.select(F.explode("impacts").alias("p"), "impacts").select(
-        F.col("p.term").alias("one"), F.col("p.impact").alias("impact"),
-        F.map_from_entries("impacts").alias("others"))
-    met = held.join(pairs, "one").select("one", "two", (F.col("impact") + F.element_at("others", F.col("two"))).alias("joint"))
-    return met.where("joint is not null").groupBy("one", "two").agg(F.max("joint").alias("joint"))
+    numbered = written(pairs.select(F.monotonically_increasing_id().alias("pair"), "one", "two"), "search-asked-pairs")
+    sides = numbered.select("pair", F.explode(F.array("one", "two")).alias("term"))
+    lists = line.join(sides, "term").groupBy("row", "pair").agg(F.count("*").alias("n"), F.sum("impact").alias("joint"))
+    return lists.where("n = 2").groupBy("pair").agg(F.max("joint").alias("joint")).join(numbered, "pair").drop("pair")
 
 
 def units(asked: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -149,11 +148,19 @@ def units(asked: DataFrame, pairs: DataFrame) -> DataFrame:
     return used.select("item_id", F.col("one").alias("unit"), "bound", F.array("one", "two").alias("terms")).union(alone)
 
 
-def _kth(scores: DataFrame, top: int, name: str) -> DataFrame:
-    """An item's ``top``-th best score, for items with so many documents."""
-    best = Window.partitionBy("item_id").orderBy(F.desc("score"))
-    return scores.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top).groupBy("item_id").agg(
-        F.count("*").alias("n"), F.min("score").alias(name)).where(F.col("n") == top).drop("n")
+def _best(scores: DataFrame, top: int) -> DataFrame:
+    """An item's ``top`` best rows, for items with so many."""
+    place = Window.partitionBy("item_id").orderBy(F.desc("score"), "row")
+    first = scores.withColumn("place", F.row_number().over(place)).where(F.col("place") <= top)
+    full = first.where(F.col("place") == top).select("item_id")
+    return first.join(full, "item_id").drop("place")
+
+
+def _in_full(chosen: DataFrame, impacts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Whole scores of chosen ``item_id, row``."""
+    held = chosen.select("item_id", "row").join(impacts, "row").select(
+        "item_id", "row", "doc_id", F.explode("impacts").alias("term", "impact"))
+    return held.join(asked, ["item_id", "term"]).groupBy("item_id", "row", "doc_id").agg(F.sum("impact").alias("score"))
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, partners: int = PARTNERS,
@@ -170,41 +177,45 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, partners: int = PA
         "term", weight.alias("w"), (weight * F.col("most")).alias("bound")), "search-terms")
     impacts = written(
         found.join(terms, "term").select("row", "doc_id", "term", (F.col("w") * F.col("gain")).alias("impact"))
-        .groupBy("row", "doc_id").agg(F.collect_list(F.struct("term", "impact")).alias("impacts")), "search-impacts")
-    postings = impacts.select("row", F.explode("impacts").alias("p")).select("row", "p.term", "p.impact")
+        .groupBy("row", "doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "impact"))).alias("impacts")),
+        "search-impacts")
+    postings = impacts.select("row", F.explode("impacts").alias("term", "impact"))
 
     best = Window.partitionBy("term").orderBy(F.desc("impact"), "row")
     heads = written(postings.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
                     .select("term", "row", "impact"), "search-heads")
     sums = asked.join(heads, "term").groupBy("item_id", "row").agg(F.sum("impact").alias("score"))
-    floors = written(_kth(sums.where("score > 0"), top, "floor"), "search-floors")
+    known = written(_best(sums.where("score > 0"), top), "search-known")
+    floors = written(_in_full(known, impacts, asked).groupBy("item_id").agg(F.min("score").alias("floor")), "search-floors")
 
-    joint = joint_bounds(impacts, pairs_asked(asked, terms, partners))
+    # documents stay where their rows lie while what items and pairs gain from them is added up
+    line = impacts.repartition("row").select("row", "doc_id", F.explode("impacts").alias("term", "impact"))
+    joint = joint_bounds(line, pairs_asked(asked, terms, partners))
     a, b = (terms.select(F.col("term").alias(n), F.col("bound").alias(f"bound_{n}")) for n in ("one", "two"))
     both = F.greatest("bound_one", "bound_two", "joint")  # a document holds one of them, the other, or both
     saved = F.col("bound_one") + F.col("bound_two") - both
     pairs = written(joint.join(a, "one").join(b, "two").select(
         "one", "two", both.alias("both"), saved.alias("saving")).where("saving > 0"), "search-pairs")
 
-    line = asked.join(terms, "term")
+    terms_of = asked.join(terms, "term")
     least = Window.partitionBy("item_id").orderBy("bound", "unit").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = units(line, pairs).withColumn("sum", F.sum("bound").over(least)).join(floors, "item_id", "left")
+    ordered = units(terms_of, pairs).withColumn("sum", F.sum("bound").over(least)).join(floors, "item_id", "left")
     passed = F.col("sum") < F.coalesce("floor", F.lit(0))
     plan = written(ordered.select("item_id", "sum", passed.alias("passed"), F.explode("terms").alias("term")), "search-plan")
     rest = plan.where("passed").groupBy("item_id").agg(F.max("sum").alias("rest"))
     limits = written(asked.select("item_id").distinct().join(rest, "item_id", "left").join(floors, "item_id", "left").select(
         "item_id", F.coalesce("rest", F.lit(0)).alias("rest"), F.coalesce("floor", F.lit(0)).alias("floor")), "search-limits")
 
-    seen = written(plan.where("not passed").select("item_id", "term").join(postings, "term")
-                   .groupBy("item_id", "row").agg(F.sum("impact").alias("score")), "search-seen")
-    higher = _kth(seen.where("score > 0"), top, "higher")
+    essential = plan.where("not passed").select("item_id", "term")
+    seen = line.join(essential, "term").groupBy("row", "item_id").agg(F.first("doc_id").alias("doc_id"), F.sum("impact").alias("score"))
+    seen = written(seen.join(limits, "item_id").where("score + rest >= floor").select("item_id", "row", "doc_id", "score"), "search-seen")
+    higher = _best(seen.where("score > 0"), top).groupBy("item_id").agg(F.min("score").alias("higher"))
     bar = limits.join(higher, "item_id", "left").select(
         "item_id", "rest", F.greatest("floor", F.coalesce("higher", F.lit(0))).alias("bar"))
-    hopeful = written(seen.join(bar, "item_id").where("score + rest >= bar").select("item_id", "row"), "search-hopeful")
-
-    full = hopeful.join(impacts, "row").select("item_id", "row", "doc_id", F.explode("impacts").alias("p")).select(
-        "item_id", "row", "doc_id", "p.term", "p.impact")
-    scored = full.join(asked, ["item_id", "term"]).groupBy("item_id", "row", "doc_id").agg(F.sum("impact").alias("score"))
+    hopeful = written(seen.join(bar, "item_id").where("score + rest >= bar").select("item_id", "row", "doc_id", "score"), "search-hopeful")
+    open_terms = plan.where("passed").select("item_id", "term")
+    rest_of = hopeful.join(open_terms, "item_id").join(postings, ["row", "term"]).select("item_id", "row", "doc_id", F.col("impact").alias("score"))
+    scored = hopeful.union(rest_of).groupBy("item_id", "row", "doc_id").agg(F.sum("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"), "row"))
     return scored.where("score > 0").withColumn("rank", rank).where(F.col("rank") <= top).select(
         "item_id", "rank", "doc_id", "score")
