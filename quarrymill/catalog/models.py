@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarrymill.catalog import query
-from quarrymill.operators import models, neighbours, resample, topk
+from quarrymill.operators import boosting, models, neighbours, resample, topk
 
 _HELD_OUT = """
 WITH p AS (SELECT p_partkey, p_size, p_size % 8 AS c, p_size // 8 AS r,
@@ -96,6 +96,36 @@ def fit_boosted_trees(t):
     return _predictions(_unseen(models.boosted_trees(classes=2, rounds=20), _steps(t, 2)))
 
 
+_NEW_POINTS = """
+WITH u AS (SELECT p_partkey, 2 * (p_size % 8 >= 4)::INT + (p_size // 8 >= 3)::INT AS label FROM part WHERE p_size % 5 = 2)
+"""
+
+
+def _boosted_classes(t, rounds: int = 8):
+    """Four classes learned from four fifths of the *points*; the rest have sizes that no fit has seen."""
+    rows = _steps(t).withColumn("new", F.pmod(F.col("c") + 8 * F.col("r"), F.lit(5)) == 2)
+    settings = boosting.Settings(rounds=rounds, depth=2, rate=0.5, rows=0.9)
+    model = boosting.fit_boosted_classes(rows.where("NOT new"), "p_partkey", ["c", "r"], "label", 4, settings)
+    return boosting.predict_boosted_classes(model, rows.where("new"), ["c", "r"])
+
+
+@query("fit_boosted_classes", _NEW_POINTS + "SELECT p_partkey, label, label AS prediction FROM u")
+def fit_boosted_classes(t):
+    return _predictions(_boosted_classes(t))
+
+
+@query("boosted_class_probabilities", _NEW_POINTS + """
+SELECT label, count(*) AS n, true AS surest, 1.0::DOUBLE AS total FROM u GROUP BY label
+""")
+def boosted_class_probabilities(t):
+    """Per true class: rows, whether that class is the surest on average, and what probabilities add up to."""
+    scored = _boosted_classes(t).select("label", F.col("probability").alias("p"))
+    own = F.get("p", F.col("label").cast("int"))
+    return scored.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count("*").alias("n"), (F.avg(own) > 0.6).alias("surest"),
+        F.round(F.avg(F.aggregate("p", F.lit(0.0), lambda a, x: a + x)), 6).alias("total"))
+
+
 @query("fit_adaboost", _EXACT_TWO)
 def fit_adaboost(t):
     rows = _steps(t, 2)
@@ -116,6 +146,34 @@ def fit_knn(t):
     return neighbours.vote(near).withColumnRenamed("query", "vec_id")
 
 
+_BY_K = """
+WITH v AS (SELECT vec_id, vec_id % 5 AS fold, embedding::DOUBLE[] AS e, label FROM embeddings),
+n AS (SELECT a.vec_id AS query, b.label, row_number() OVER (PARTITION BY a.vec_id
+  ORDER BY round(pow(list_distance(a.e, b.e), 2), 9), b.vec_id) AS place FROM v a JOIN v b ON a.fold <> b.fold),
+c AS (SELECT query, k, label, count(*) AS n FROM n JOIN range(1, 16) g(k) ON place <= k GROUP BY 1, 2, 3),
+w AS (SELECT query, k, label, row_number() OVER (PARTITION BY query, k ORDER BY n DESC, label) AS i FROM c),
+s AS (SELECT k, avg((w.label = v.label)::INT::DOUBLE) AS accuracy FROM w JOIN v ON v.vec_id = query WHERE i = 1 GROUP BY 1)
+"""
+
+
+def _by_k(t):
+    return neighbours.accuracy_by_k(
+        t.embeddings.withColumn("fold", F.col("vec_id") % 5), "vec_id", "embedding", "label", "fold", 15)
+
+
+@query("tune_knn", _BY_K + "SELECT k::BIGINT AS k, round(accuracy, 9) AS accuracy FROM s")
+def tune_knn(t):
+    """Accuracy of every number of neighbours up to 15, over five folds."""
+    return _by_k(t).select(F.col("k").cast("bigint").alias("k"), F.round("accuracy", 9).alias("accuracy"))
+
+
+@query("tune_knn_best", _BY_K + """
+SELECT k::BIGINT AS k, round(accuracy, 9) AS accuracy FROM s ORDER BY accuracy DESC, k LIMIT 1
+""")
+def tune_knn_best(t):
+    return neighbours.best_k(_by_k(t)).select(F.col("k").cast("bigint").alias("k"), F.round("accuracy", 9).alias("accuracy"))
+
+
 @query("fit_logistic", _SURE)
 def fit_logistic(t):
     return _sure(_unseen(models.logistic(0.0001), _steps(t)), 0.9)
@@ -201,8 +259,8 @@ def fit_mlp(t):
 
 
 @query("fit_deep_linear", _LINE + """
-SELECT 'one' AS layers, round(r * sy / sx, 4) AS slope, round(my - r * sy / sx * mx, 3) AS intercept FROM m
-UNION ALL SELECT 'ridge', round(r / (1 + 1000.0 / sy) * sy / sx, 4), round(my - r / (1 + 1000.0 / sy) * sy / sx * mx, 3) FROM m
+SELECT 'one' AS layers, round(r * sy / sx, 4) AS slope, round(my - r * sy / sx * mx, 1) AS intercept FROM m
+UNION ALL SELECT 'ridge', round(r / (1 + 1000.0 / sy) * sy / sx, 4), round(my - r / (1 + 1000.0 / sy) * sy / sx * mx, 1) FROM m
 """)
 def fit_deep_linear(t):
     """Layers without activation are one linear map, with or without a penalty on its weights."""
@@ -211,7 +269,7 @@ def fit_deep_linear(t):
     fitted = []
     for name, estimator in found.items():
         model = estimator.fit(rows)
-        fitted.append((name, round(float(model.coefficients[0]), 4), round(float(model.intercept), 3)))
+        fitted.append((name, round(float(model.coefficients[0]), 4), round(float(model.intercept), 1)))
     return t.spark.createDataFrame(fitted, "layers STRING, slope DOUBLE, intercept DOUBLE")
 
 

@@ -87,8 +87,9 @@ def letter_sets(df: DataFrame, group: str, text: str) -> DataFrame:
         df.select(group, F.explode(letters).alias("letter"))
         .groupBy(group, "letter").agg(F.count("*").alias("used_by"))
     )
+    there = used.withColumnRenamed(group, "_group")
     return (
-        members.join(used, group, "left").groupBy(group, "members")
+        members.join(there, F.col(group).eqNullSafe(F.col("_group")), "left").groupBy(group, "members")
         .agg(F.count("letter").alias("any_member"),
              F.count_if(F.col("used_by") == F.col("members")).alias("every_member"))
     )

@@ -70,6 +70,8 @@ def _search(train: DataFrame, visits: DataFrame, k: int, kinds: dict) -> DataFra
             qids = piece["id"].to_numpy()
             d = np.round(_distances(_matrix(piece["vec"]), b), 9)
             d[qids[:, None] == ids[None, :]] = np.inf  # a row is no neighbour of itself
+            if "apart" in left:
+                d[piece["apart"].to_numpy()[:, None] == left["apart"].to_numpy()[None, :]] = np.inf
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
             rows = np.repeat(np.arange(len(qids)), best.shape[1])
             parts.append(pd.DataFrame({
@@ -86,10 +88,12 @@ def _search(train: DataFrame, visits: DataFrame, k: int, kinds: dict) -> DataFra
 
 def nearest(
     train: DataFrame, queries: DataFrame, ident: str, vector: str, label: str, k: int,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, apart: str | None = None,
 ) -> DataFrame:
     """``(query, neighbour, label, distance2, place)``: the k nearest other rows of each query.
 
+    Rows that agree in the column ``apart``, such as a fold, are no neighbours of each other.
+
     Every row belongs to the cell of its nearest centre.  A query first searches its own
     cell; its k-th distance there bounds what a better row can be, so it then visits
     only the cells that reach within that distance.  A cell is cut in blocks of
@@ -102,10 +106,12 @@ def nearest(
     cells = max(1, min(MOST_CELLS, rows // 64, max(8, -(-rows // block_rows))))
     centres = _centres(train, ident, vector, cells) if rows else np.zeros((1, 1))
     cells = len(centres)
-    t = train.select(F.col(ident).alias("id"), F.col(vector).alias("vec"), F.col(label).alias("label"))
-    t = written(t.withColumn("c", _cell(F.col("vec"), centres)).select("id", "vec", "label", "c.cell", "c.away"), "knn-rows")
-    q = queries.select(F.col(ident).alias("id"), F.col(vector).alias("vec"))
-    q = written(q.withColumn("c", _cell(F.col("vec"), centres)).select("id", "vec", "c.cell"), "knn-queries")
+    more = [F.col(apart).alias("apart")] if apart else []
+    kept = ["apart"] if apart else []
+    t = train.select(F.col(ident).alias("id"), F.col(vector).alias("vec"), F.col(label).alias("label"), *more)
+    t = written(t.withColumn("c", _cell(F.col("vec"), centres)).select("id", "vec", "label", *kept, "c.cell", "c.away"), "knn-rows")
+    q = queries.select(F.col(ident).alias("id"), F.col(vector).alias("vec"), *more)
+    q = written(q.withColumn("c", _cell(F.col("vec"), centres)).select("id", "vec", *kept, "c.cell"), "knn-queries")
     radius = np.full(cells, -np.inf)
     sizes = {}
     for r in t.groupBy("cell").agg(F.max("away").alias("r"), F.count("*").alias("n")).collect():  # one row per cell
@@ -122,7 +128,7 @@ def nearest(
         every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
         left = t.withColumn("block", F.pmod(F.hash("id"), blocks)).withColumn("part", every(parts))
         right = visitors.withColumn("part", F.pmod(F.hash("id"), parts)).withColumn("block", every(blocks))
-        return _search(left.select("cell", "block", "part", "id", "vec", "label"), right, k, kinds)
+        return _search(left.select("cell", "block", "part", "id", "vec", "label", *kept), right, k, kinds)
 
     ranked = Window.partitionBy("query").orderBy("distance2", "neighbour")
 
@@ -132,7 +138,7 @@ def nearest(
     home = written(best(search(q)), "knn-home")
     bounds = home.where(F.col("place") == k).select(F.col("query").alias("id"), F.col("distance2").alias("bound"))
     reach = cells_in_reach(F.col("vec"), F.col("bound"), F.col("cell"), centres, radius)
-    away = q.join(bounds, "id", "left").withColumn("visit", F.explode(reach)).select("id", "vec", F.col("visit").alias("cell"))
+    away = q.join(bounds, "id", "left").withColumn("visit", F.explode(reach)).select("id", "vec", *kept, F.col("visit").alias("cell"))
     return best(home.drop("place").union(search(away)))
 
 
@@ -142,3 +148,23 @@ def vote(neighbours: DataFrame) -> DataFrame:
     return counts.groupBy("query").agg(
         F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("predicted")
     )
+
+
+def accuracy_by_k(df: DataFrame, ident: str, vector: str, label: str, fold: str, largest: int) -> DataFrame:
+    """``(k, accuracy)`` of voting among the ``k`` nearest rows of other folds, for every ``k`` up to ``largest``.
+
+    One search finds the ``largest`` nearest of each row; a neighbour votes for every ``k`` from its place on, so all
+    ``k`` are judged from the same rows.
+    """
+    near = nearest(df, df, ident, vector, label, largest, apart=fold)
+    votes = near.withColumn("k", F.explode(F.sequence(F.col("place"), F.lit(largest))))
+    counts = votes.groupBy("query", "k", "label").agg(F.count("*").alias("n"))
+    chosen = counts.groupBy("query", "k").agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("predicted"))
+    truth = df.select(F.col(ident).alias("query"), F.col(label).alias("truth"))
+    hit = (F.col("predicted") == F.col("truth")).cast("double")
+    return chosen.join(truth, "query").groupBy("k").agg(F.avg(hit).alias("accuracy"))
+
+
+def best_k(scores: DataFrame) -> DataFrame:
+    """The ``k`` of the highest accuracy, the smallest of several."""
+    return scores.agg(F.min_by(F.struct("k", "accuracy"), F.struct(-F.col("accuracy"), F.col("k"))).alias("b")).select("b.*")

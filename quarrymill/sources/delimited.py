@@ -43,7 +43,7 @@ def read_csv_folder(
     """
     files = (
         spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
-        .option("nullValue", null_text or "").csv(path)
+        .options(**_BLANKS_KEPT, **_QUOTES).option("nullValue", null_text or "").csv(path)
     )
     if level == "folder":
         name = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
@@ -78,7 +78,8 @@ def read_ragged_header(
     """
     schema = positional_schema(header, types)
     df = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+        spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+        .options(**_BLANKS_KEPT, **_QUOTES).csv(path)
     )
     return df.select(*[F.col(f"`{schema[i].name}`") for i in keep])
 
