@@ -1,13 +1,20 @@
-"""Semi-naive expansion over an edge table."""
+"""Walks over an edge table by jumps of doubling length.
+
+``jumps`` holds the paths of exactly 1, 2, 4, ... edges, each made by joining the one before
+with itself.  What is known within ``m`` edges, followed by all paths of ``m`` edges, is known within
+``2 m``, so a walk of depth d needs log d rounds.  Where nodes have many ways in, long jumps may
+outnumber the edges by far; then their length stays as it is and the walk goes on in strides of it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.session import written
 
-FIRST_CHECK = 16  # rounds after which the nodes are counted, to tell a deep tree from a cycle
+DENSE = 8  # times as many jumps as edges are too many to double again
+FEW = 100_000  # jumps that are never too many
 
 
 def _kept(df: DataFrame) -> tuple[DataFrame, int]:
@@ -20,89 +27,103 @@ def _kept(df: DataFrame) -> tuple[DataFrame, int]:
     return table, table.count()
 
 
-def reach(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataFrame:
-    """Every node met by following edges from ``start`` (one column ``node``).
+def _summed(value: Column) -> Column:
+    """A sum that is null where it, or any part of it, does not fit."""
+    return F.when(F.count(value) == F.count(F.lit(1)), F.try_sum(value))
+
+
+def _then(left: DataFrame, jumps: DataFrame, keys: list[str], weighted: bool) -> DataFrame:
+    """``keys, node[, mult]`` one jump further on; ways that meet are one row."""
+    met = left.join(jumps, "node")
+    node = F.col("_next").alias("node")
+    if weighted:
+        return met.groupBy(*keys, node).agg(_summed(F.try_multiply("mult", "_qty")).alias("mult"))
+    return met.select(*keys, node).distinct()
+
+
+class _Jumps:
+    """The edges as ``node, _next[, _qty]``, and their doublings."""
+
+    def __init__(self, edges: DataFrame, weighted: bool):
+        self.weighted, self.length = weighted, 1
+        rows = edges.where("node is not null and _next is not null")
+        if weighted:  # parallel edges add up
+            rows = rows.groupBy("node", "_next").agg(_summed(F.col("_qty")).alias("_qty"))
+        else:
+            rows = rows.select("node", "_next").distinct()
+        self.table, self.edges = _kept(rows)
+        self.rows = self.edges
+
+    def double(self) -> bool:
+        """Twice the length, unless there are too many jumps as it is."""
+        if self.rows > max(FEW, DENSE * self.edges):
+            return False
+        left = self.table.withColumnsRenamed({"node": "_from", "_next": "node", "_qty": "mult"})
+        longer = _then(left, self.table, ["_from"], self.weighted)
+        renamed = longer.withColumnsRenamed({"node": "_next", "mult": "_qty"}).withColumnRenamed("_from", "node")
+        self.table, self.rows = _kept(renamed)
+        self.length *= 2
+        return True
+
+
+def _edges(df: DataFrame, source: str, target: str, *more: Column) -> DataFrame:
+    return df.select(F.col(source).alias("node"), F.col(target).alias("_next"), *more)
+
+
+def _spread(jumps: _Jumps, start: DataFrame, keys: list[str]) -> DataFrame:
+    """Every ``keys, node`` met by one edge or more from ``start``.
 
-    Each round expands only the nodes found in the round before and drops those
-    already seen, so a cycle ends the walk.  The new nodes of a round are
-    written to the shared folder, which keeps the plan short and survives
-    lost executors.
+    A round that meets nothing new ends the walk, so a cycle does too: distances have no gaps.
     """
-    start, frontier_rows = _kept(start.select("node").distinct())
-    hops = written(edges.select(F.col(source).alias("node"), F.col(target).alias("_next")), "edges")
-    frontier = start
-    found = start.limit(0)
-    rounds = 0
-    while frontier_rows:
-        fresh = (
-            hops.join(frontier, "node")
-            .select(F.col("_next").alias("node")).distinct()
-            .join(found, "node", "left_anti")
-        )
-        frontier, frontier_rows = _kept(fresh)
-        if frontier_rows:
-            found = found.union(frontier)
-            rounds += 1
-            if rounds % 16 == 0:  # else the anti join would read ever more tables
-                found = written(found, "found")
+    found, rows = _kept(_then(start, jumps.table, keys, False))
+    last, rounds = found, 0
+    while rows:
+        step, rows = _kept(_then(last, jumps.table, keys, False).join(found, [*keys, "node"], "left_anti"))
+        if not rows:
+            break
+        found, rounds = found.union(step), rounds + 1
+        if rounds % 8 == 0:  # else the anti join would read ever more tables
+            found = written(found, "found")
+        # jumps as long as all that is known go from all of it, shorter ones from what came last
+        last = found if jumps.double() else step
     return found
 
 
+def reach(edges: DataFrame, start: DataFrame, source: str, target: str) -> DataFrame:
+    """Every node met by following edges from ``start`` (one column ``node``)."""
+    return _spread(_Jumps(_edges(edges, source, target), False), start.select("node").distinct(), [])
+
+
+def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
+    """All ``(ancestor, descendant)`` pairs, each once."""
+    jumps = _Jumps(_edges(edges, source, target), False)
+    start = jumps.table.select(F.col("node").alias("ancestor"), "node").distinct()
+    return _spread(jumps, start, ["ancestor"]).select("ancestor", F.col("node").alias("descendant"))
+
+
 def weighted_reach(
     edges: DataFrame, start: DataFrame, source: str, target: str, qty: str,
 ) -> DataFrame:
     """Multiplicity of every node below the roots: ``(root, node, mult)``.
 
-    ``start`` holds ``(root, node, mult)``.  Multipliers are summed per node in
-    every round, so the frontier never exceeds the nodes of one level.  No path
-    without a cycle is longer than there are nodes; more rounds than that are an error.
+    ``start`` holds ``(root, node, mult)``.  Ways to a node are added up, so no round has more
+    rows than roots have nodes.  Where a path is longer than there are nodes it runs through a cycle, which is
+    an error; so is a multiplicity beyond 64 bits in edges without one.
     """
-    hops = written(edges.select(
-        F.col(source).alias("node"), F.col(target).alias("_next"), F.col(qty).alias("_qty")
-    ), "edges")
-    frontier, frontier_rows = _kept(start.select("root", "node", "mult"))
-    levels, most = [], None
-    while frontier_rows:
-        if len(levels) >= FIRST_CHECK and most is None:
-            most = hops.select("node").union(hops.select("_next")).distinct().count()
-        if most is not None and len(levels) > most:
+    jumps = _Jumps(_edges(edges, source, target, F.col(qty).cast("bigint").alias("_qty")), True)
+    nodes = jumps.table.select("node").union(jumps.table.select("_next")).distinct().count()
+    below, rows = _kept(_then(start.select("root", "node", "mult"), jumps.table, ["root"], True))
+    last, known, rounds = below, 1, 0  # ``below`` holds all paths of up to ``known`` edges
+    while rows:
+        step, rows = _kept(_then(last, jumps.table, ["root"], True))
+        if not rows:
+            break
+        if known >= nodes:
             raise ValueError("the edges hold a cycle")
-        step = (
-            hops.join(frontier, "node")
-            .groupBy("root", F.col("_next").alias("node"))
-            .agg(F.sum(F.col("mult") * F.col("_qty")).alias("mult"))
-        )
-        frontier, frontier_rows = _kept(step)
-        if frontier_rows:
-            levels.append(frontier)
-    if not levels:
-        return start.select("root", "node", "mult").limit(0)
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.union(level)
-    return out.groupBy("root", "node").agg(F.sum("mult").alias("mult"))
-
-
-def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
-    """All ``(ancestor, descendant)`` pairs, each once."""
-    hops = written(edges.select(
-        F.col(source).alias("_from"), F.col(target).alias("_to")
-    ).distinct(), "edges")
-    frontier, frontier_rows = _kept(
-        hops.select(F.col("_from").alias("ancestor"), F.col("_to").alias("descendant"))
-    )
-    found = frontier
-    rounds = 0
-    while frontier_rows:
-        fresh = (
-            frontier.join(hops, F.col("descendant") == F.col("_from"))
-            .select("ancestor", F.col("_to").alias("descendant")).distinct()
-            .join(found, ["ancestor", "descendant"], "left_anti")
-        )
-        frontier, frontier_rows = _kept(fresh)
-        if frontier_rows:
-            found = found.union(frontier)
-            rounds += 1
-            if rounds % 16 == 0:  # else the anti join would read ever more tables
-                found = written(found, "found")
-    return found
+        below, rounds = below.union(step), rounds + 1
+        if rounds % 8 == 0:
+            below = written(below, "found")
+        known += jumps.length
+        last = below if jumps.double() else step
+    total = below.groupBy("root", "node").agg(_summed(F.col("mult")).alias("mult"))
+    return total.withColumn("mult", F.coalesce("mult", F.raise_error(F.lit("a multiplicity is beyond 64 bits")).cast("bigint")))
