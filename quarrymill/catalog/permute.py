@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from quarrymill.catalog import query
 from quarrymill.operators import permute
 
-REPLICATES = 200
+REPLICATES = 1000
 
 _SQL = f"""
-WITH r AS (SELECT rep, event_id, event_type, substr(md5('11-' || rep || ':' || event_id), 1, 8) AS draw
+WITH r AS (SELECT rep, event_id, event_type, {permute.draw_sql("event_id::BIGINT", "rep", 11)} AS draw
   FROM events, range(1, {REPLICATES + 1}) g(rep)),
 f AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS change FROM r
   WINDOW w AS (PARTITION BY rep ORDER BY draw, event_id)),

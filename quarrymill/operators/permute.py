@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.operators import ordered, topk
+from quarrymill.operators import ordered
+
+ROWS_PER_CHUNK = 1_000_000
+WORD = 1 << 32
+# fixed values of the draw, which SQL states as well: odd multipliers below 2^31
+SPREAD, STEP, FIRST, SECOND = 1_640_531_527, 97_531, 739_982_445, 695_872_825
+_PACKED = pa.schema([("rep", pa.int32()), ("chunk", pa.int32()), ("draws", pa.binary()), ("codes", pa.binary())])
+_RUNS = pa.schema([("rep", pa.int32()), ("chunk", pa.int32()), ("runs", pa.int64()), ("first_code", pa.int64()),
+                   ("first_len", pa.int64()), ("last_code", pa.int64()), ("last_len", pa.int64()), ("inner", pa.int64())])
 
 
 def observed_runs(df: DataFrame, order: str, value: str, at_least: int) -> DataFrame:
@@ -13,14 +26,98 @@ def observed_runs(df: DataFrame, order: str, value: str, at_least: int) -> DataF
     return ordered.long_runs(df, [], [order], value, at_least, order)
 
 
-def simulated_runs(df: DataFrame, key: str, value: str, at_least: int, replicates: int, seed: int = 0) -> DataFrame:
+def draws(keys: np.ndarray, rep: int, seed: int) -> np.ndarray:
+    """32-bit places of keys in one shuffle; keys that differ modulo 2^32 have different places."""
+    x = (keys.astype(np.uint64) * np.uint64(SPREAD) + np.uint64(rep * STEP + seed)) & np.uint64(WORD - 1)
+    x ^= x >> np.uint64(15)
+    x = (x * np.uint64(FIRST)) & np.uint64(WORD - 1)
+    x ^= x >> np.uint64(12)
+    x = (x * np.uint64(SECOND)) & np.uint64(WORD - 1)
+    return (x ^ (x >> np.uint64(15))).astype(np.uint32)
+
+
+def draw_sql(key: str, rep: str, seed: int) -> str:
+    """The same number in SQL of 64-bit integers, for keys from 0 to 2^32 - 1."""
+    x0 = f"(({key} * {SPREAD} + {rep} * {STEP} + {seed}) % {WORD})"
+    x1 = f"(xor({x0}, {x0} >> 15) * {FIRST} % {WORD})"
+    x2 = f"(xor({x1}, {x1} >> 12) * {SECOND} % {WORD})"
+    return f"xor({x2}, {x2} >> 15)"
+
+
+def _pack(batches, replicates: int, seed: int, chunks: int):
+    """Rows dealt out to every shuffle and to ranges of their places in it, as packed arrays."""
+    for batch in batches:
+        keys, codes = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+        out = []
+        for rep in range(1, replicates + 1):
+            place = draws(keys, rep, seed)
+            if chunks == 1:
+                out.append((rep, 0, place.tobytes(), zstandard.compress(codes.tobytes(), 1)))
+                continue
+            chunk = (place.astype(np.uint64) * np.uint64(chunks) >> np.uint64(32)).astype(np.int32)
+            for c in np.unique(chunk):
+                here = chunk == c
+                out.append((rep, int(c), place[here].tobytes(), zstandard.compress(codes[here].tobytes(), 1)))
+            if len(out) >= 4_096:
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), _PACKED.types)], schema=_PACKED)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), _PACKED.types)], schema=_PACKED)
+
+
+def _runs(table: pa.Table, at_least: int) -> pa.Table:
+    """First run, last run and number of long runs between them, of one range of one shuffle."""
+    place = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("draws").to_pylist()])
+    code = np.concatenate([np.frombuffer(zstandard.decompress(x), np.int64) for x in table.column("codes").to_pylist()])
+    code = code[np.lexsort((code, place))]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    lengths = np.diff(np.r_[starts, len(code)])
+    row = (table.column("rep")[0].as_py(), table.column("chunk")[0].as_py(), len(starts), int(code[0]), int(lengths[0]),
+           int(code[-1]), int(lengths[-1]), int((lengths[1:-1] >= at_least).sum()))
+    return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(row, _RUNS.types)], schema=_RUNS)
+
+
+def _joined(pieces: Column, at_least: int) -> Column:
+    """Long runs of chunk summaries in order: a run that goes on in the next chunk is one."""
+    long = lambda n: (n >= at_least).cast("bigint")
+
+    def add(a: Column, p: Column) -> Column:
+        goes_on = a.code.eqNullSafe(p.first_code)
+        first = F.when(goes_on, a.len + p.first_len).otherwise(p.first_len)
+        closed = F.when(goes_on, 0).otherwise(long(a.len))
+        one = p.runs == 1
+        return F.struct(
+            p.last_code.alias("code"), F.when(one, first).otherwise(p.last_len).alias("len"),
+            (a.n + closed + F.when(one, 0).otherwise(long(first) + p.inner)).alias("n"))
+
+    start = F.struct(F.lit(None).cast("bigint").alias("code"), F.lit(0).cast("bigint").alias("len"), F.lit(0).cast("bigint").alias("n"))
+    return F.aggregate(pieces, start, add, lambda a: a.n + long(a.len))
+
+
+def simulated_runs(df: DataFrame, key: str, value: str, at_least: int, replicates: int, seed: int = 0,
+                   rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """``(rep, long_runs)`` for that many random orders of the whole sequence.
 
-    Replicates are keys of one job: all of them run side by side and each is
-    still split in hash ranges.
+    An order is that of a mixed 32-bit number of a row's whole-number key, so it repeats on any
+    cluster; keys that agree modulo 2^32 follow each other by value.  Values travel as 64-bit
+    hashes in packed arrays, one per task's batch and order.  An order of more than
+    ``rows_per_chunk`` rows is cut in ranges of places, which are sorted apart; a range hands on its first run,
+    its last run and how many long ones lie between, and these are joined up in turn.  A null is a value of its own.
     """
-    shuffled = topk.shuffled_replicates(df.select(key, value), key, replicates, seed)
-    return ordered.long_runs(shuffled, ["rep"], ["_draw", key], value, at_least)
+    rows = df.count()
+    chunks = max(1, -(-rows // rows_per_chunk))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coded = df.select(F.pmod(F.col(key).cast("bigint"), F.lit(WORD)).alias("key"), F.xxhash64(value).alias("code"))
+    packed = coded.repartition(tasks, "key").mapInArrow(
+        partial(_pack, replicates=replicates, seed=seed, chunks=chunks), "rep int, chunk int, draws binary, codes binary")
+
+    def runs(table: pa.Table) -> pa.Table:
+        return _runs(table, at_least)
+
+    pieces = packed.groupBy("rep", "chunk").applyInArrow(runs, (
+        "rep int, chunk int, runs long, first_code long, first_len long, last_code long, last_len long, inner long"))
+    whole = F.sort_array(F.collect_list(F.struct("chunk", "runs", "first_code", "first_len", "last_code", "last_len", "inner")))
+    return pieces.groupBy("rep").agg(_joined(whole, at_least).alias("long_runs"))
 
 
 def p_value(simulated: DataFrame, observed: DataFrame, replicates: int) -> DataFrame:

@@ -1,14 +1,17 @@
 """Small worked examples of the operators."""
 
 import itertools
+import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from quarrymill.functions import codes, dates, recode, text, validate
 from quarrymill.operators import (
-    aggregates, features, graph, joins, metrics, models, neighbours, ordered, permute, project, resample, sets, topk,
+    aggregates, boosting, features, graph, joins, metrics, models, neighbours, ordered, permute, project, resample, sets, topk,
 )
 from quarrymill.plans import bands
 
@@ -361,14 +364,19 @@ def test_even_values():
 
 # ---- permutation, graph ----------------------------------------------------
 
-def test_permutation_statistics(spark):
+@pytest.mark.parametrize("rows_per_chunk", [1_000_000, 7, 1])
+def test_permutation_statistics(spark, rows_per_chunk):
     rng = random.Random(4)
-    values = [rng.choice("aab") for _ in range(60)]
+    values = [rng.choice(["a", "a", "b", None]) for _ in range(60)]
     df = column(spark, values)
-    simulated = permute.simulated_runs(df, "i", "x", 3, 6, seed=2)
+    simulated = permute.simulated_runs(df, "i", "x", 3, 6, seed=2, rows_per_chunk=rows_per_chunk)
+    keys = [r.i for r in df.orderBy("i").collect()]
+    of = {r.i: r.x for r in df.collect()}
     orders = {}
-    for r in sorted(topk.shuffled_replicates(df, "i", 6, 2).collect(), key=lambda r: (r.rep, r._draw, r.i)):
-        orders.setdefault(r.rep, []).append(r.x)
+    for rep in range(1, 7):
+        place = dict(zip(keys, permute.draws(np.array(keys), rep, 2).tolist()))
+        assert len(set(place.values())) == len(keys)
+        orders[rep] = [of[k] for k in sorted(keys, key=place.get)]
     count = lambda seq: sum(len(list(g)) >= 3 for _, g in itertools.groupby(seq))
     assert {r.rep: r.long_runs for r in simulated.collect()} == {k: count(v) for k, v in orders.items()}
     observed = permute.observed_runs(df, "i", "x", 3)
@@ -377,6 +385,13 @@ def test_permutation_statistics(spark):
     assert got.p_value == sum(count(v) >= count(values) for v in orders.values()) / 6
 
 
+def test_draws_are_spread_evenly():
+    place = permute.draws(np.arange(4_000), 3, 11) / 2**32
+    assert np.abs(np.histogram(place, 10, (0, 1))[0] - 400).max() < 90
+    other = permute.draws(np.arange(4_000), 4, 11) / 2**32
+    assert abs(np.corrcoef(place, other)[0, 1]) < 0.05
+
+
 def edges(spark, *rows):
     return spark.createDataFrame(list(rows), "parent STRING, child STRING, qty BIGINT")
 
@@ -395,23 +410,113 @@ def test_items_below_counts_leaves_beside_inner_nodes(spark):
     assert {r.root: r.total for r in graph.items_below(e, roots).collect()} == {"a": 8, "b": 2}
 
 
-def test_a_deep_chain_is_no_cycle(spark, monkeypatch):
+def test_a_deep_chain_takes_few_rounds(spark, monkeypatch):
     from quarrymill.plans import frontier
 
-    monkeypatch.setattr(frontier, "FIRST_CHECK", 2)
-    e = edges(spark, *[(f"n{i}", f"n{i + 1}", 1) for i in range(30)])
-    roots = spark.createDataFrame([("n0",)], "node STRING")
-    assert graph.items_below(e, roots).first().total == 30
+    rounds, kept = [], frontier._kept
+    monkeypatch.setattr(frontier, "_kept", lambda df: rounds.append(1) or kept(df))
+    e = spark.range(600).selectExpr("id AS parent", "id + 1 AS child", "1L AS qty")
+    roots = spark.createDataFrame([(0,)], "node BIGINT")
+    assert graph.items_below(e, roots).first().total == 600
+    assert len(rounds) <= 2 * 12  # a join and a doubling per round, where levels would be 600
 
 
-def test_items_below_reports_a_cycle(spark, monkeypatch):
+@pytest.mark.parametrize("rows", [[("a", "b", 2), ("b", "a", 3)], [("a", "b", 2), ("b", "c", 2), ("c", "a", 7)], [("a", "a", 1)]])
+def test_items_below_reports_a_cycle(spark, rows):
     from quarrymill.plans import frontier
 
-    monkeypatch.setattr(frontier, "FIRST_CHECK", 2)
-    e = edges(spark, ("a", "b", 1), ("b", "a", 1))
     start = spark.createDataFrame([("a", "a", 1)], "root STRING, node STRING, mult BIGINT")
-    with pytest.raises(ValueError):
-        frontier.weighted_reach(e, start, "parent", "child", "qty")
+    with pytest.raises(ValueError, match="cycle"):
+        frontier.weighted_reach(edges(spark, *rows), start, "parent", "child", "qty")
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_walks_equal_plain_ones(spark, monkeypatch, few):
+    """With ``few`` at zero the jumps stay short and the walk goes on in strides."""
+    from quarrymill.plans import frontier
+
+    monkeypatch.setattr(frontier, "FEW", few)
+    monkeypatch.setattr(frontier, "DENSE", 1)
+    rng = random.Random(3)
+    rows = [(f"n{a}", f"n{b}", rng.randint(1, 3)) for b in range(1, 30) for a in rng.sample(range(b), min(b, 2))]
+    below = {}
+    for a, b, q in reversed(rows):  # children are numbered above their parents
+        below.setdefault(a, []).append((b, q))
+
+    def total(node):
+        counts = {}
+        for b, q in below.get(node, []):
+            counts[b] = counts.get(b, 0) + q
+            for c, n in total(b).items():
+                counts[c] = counts.get(c, 0) + q * n
+        return counts
+
+    e = edges(spark, *rows)
+    start = spark.createDataFrame([("n0", "n0", 1)], "root STRING, node STRING, mult BIGINT")
+    got = frontier.weighted_reach(e, start, "parent", "child", "qty")
+    assert {r.node: r.mult for r in got.collect()} == total("n0")
+    pairs = sorted((r.ancestor, r.descendant) for r in graph.closure(e).collect())
+    assert pairs == sorted((f"n{i}", d) for i in range(30) for d in total(f"n{i}"))
+
+
+def test_letters_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, "ab"), (None, "bc"), ("g", "xy"), ("g", None)], "g STRING, x STRING")
+    got = {r.g: (r.any_member, r.every_member) for r in aggregates.letter_sets(df, "g", "x").collect()}
+    assert got == {None: (3, 1), "g": (2, 0)}
+
+
+def _four_classes(spark, n=400):
+    rng = random.Random(5)
+    rows = [(i, float(rng.randint(0, 20)), rng.random()) for i in range(n)]
+    return spark.createDataFrame([(i, a, b, 2 * (a > 9) + (b > 0.4)) for i, a, b in rows], "i INT, a DOUBLE, b DOUBLE, y INT").repartition(4)
+
+
+def test_boosting_learns_four_classes(spark):
+    df = _four_classes(spark)
+    train, test = df.where("a % 4 <> 1"), df.where("a % 4 = 1")  # whole values of a are held out
+    settings = boosting.Settings(rounds=6, depth=2, rate=0.5, bins=32)
+    model = boosting.fit_boosted_classes(train, "i", ["a", "b"], "y", 4, settings)
+    scored = boosting.predict_boosted_classes(model, test, ["a", "b"]).collect()
+    assert sum(r.prediction == r.y for r in scored) >= 0.97 * len(scored)
+    assert all(abs(sum(r.probability) - 1) < 1e-9 for r in scored)
+    loss = -sum(math.log(r.probability[r.y]) for r in scored) / len(scored)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).withColumnRenamed("y", "label")
+    plain = models.logistic(0.0001).fit(rows.where("a % 4 <> 1")).transform(rows.where("a % 4 = 1"))
+    by_line = -sum(math.log(max(1e-15, r.probability[r.label])) for r in plain.collect()) / len(scored)
+    assert loss < by_line < 1.4
+
+
+def test_boosting_repeats_and_keeps_its_shares(spark):
+    df = _four_classes(spark, 120).withColumn("y", F.when(F.col("i") % 10 > 0, F.col("y")))
+    settings = boosting.Settings(rounds=2, depth=2, rows=0.7, columns=0.5)
+    one, two = (boosting.fit_boosted_classes(d, "i", ["a", "b"], "y", 4, settings) for d in (df, df.repartition(7)))
+    assert [[(t.feature, t.cut) for t in ts] for ts in one.trees] == [[(t.feature, t.cut) for t in ts] for ts in two.trees]
+    used = [{f for f in t.feature if f >= 0} for ts in one.trees for t in ts]
+    assert all(len(u) <= 1 for u in used)  # half of two columns per tree
+
+
+def test_boosting_without_rows_or_with_nulls(spark):
+    empty = spark.createDataFrame([], "i INT, a DOUBLE, y INT")
+    model = boosting.fit_boosted_classes(empty, "i", ["a"], "y", 3, boosting.Settings(rounds=1))
+    some = spark.createDataFrame([(1, None)], "i INT, a DOUBLE")
+    row = boosting.predict_boosted_classes(model, some, ["a"]).first()
+    assert [round(p, 9) for p in row.probability] == [round(1 / 3, 9)] * 3 and row.prediction == 0
+
+
+def test_accuracy_by_number_of_neighbours(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(3 * (i % 2), 1.5), rng.gauss(0, 1)], i % 2, i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "i INT, v ARRAY<DOUBLE>, y INT, fold INT")
+    got = {r.k: r.accuracy for r in neighbours.accuracy_by_k(df, "i", "v", "y", "fold", 7).collect()}
+    for k in range(1, 8):
+        hits = 0
+        for i, v, y, fold in rows:
+            near = sorted((round(sum((a - b) ** 2 for a, b in zip(v, w)), 9), j, z) for j, w, z, f in rows if f != fold)[:k]
+            ones = sum(z for _, _, z in near)
+            hits += int(2 * ones > k) == y
+        assert got[k] == pytest.approx(hits / 60)
+    best = neighbours.best_k(neighbours.accuracy_by_k(df, "i", "v", "y", "fold", 7)).first()
+    assert best.accuracy == max(got.values()) and best.k == min(k for k in got if got[k] == best.accuracy)
 
 
 def test_closure(spark):

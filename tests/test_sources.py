@@ -19,6 +19,14 @@ def test_folder_of_files_with_blanks_in_their_names(spark, tmp_path):
         ("Clint Player", 1): 5, ("Clint Player", 2): 5, ("Clint Player", 3): 7, ("Xtxt", 1): 7}
 
 
+def test_folder_keeps_doubled_quotes_commas_and_blanks(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('said,n\n"he said ""hi"", ok",1\n" x ",2\n')
+    df = delimited.read_csv_folder(spark, str(tmp_path), "said STRING, n INT")
+    assert {(r.said, r.n) for r in df.collect()} == {('he said "hi", ok', 1), (" x ", 2)}
+    one = delimited.read_ragged_header(spark, str(tmp_path), ["said", "n"], [0, 1], {1: T.IntegerType()})
+    assert {tuple(r) for r in one.collect()} == {('he said "hi", ok', 1), (" x ", 2)}
+
+
 def test_header_with_blank_and_repeated_names(spark, tmp_path):
     (tmp_path / "log.txt").write_text("No,Day,,Side,Own,Side,\n1,4,at,RED,31,27,x\n2,9,,TEAL,18,40,x")
     header = ["No", "Day", "", "Side", "Own", "Side", ""]
