@@ -158,3 +158,25 @@ def test_known_parts_are_forgotten_without_loss(monkeypatch):
         texts = [f"word{n} other{n * i} it's, {i}!" for i in range(9)]
         want = [np.array(exact.encode(t).ids + [1], "<u2").tobytes() for t in texts]
         assert encoder.encode(texts, 1) == want
+
+
+def test_other_tokenizers_get_texts_whole():
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, exact = token_records.Encoder(path), Tokenizer.from_file(path)
+    texts = ["Hello World, it is 2024", "", None, " two  blanks\n", "é ü <|endoftext|>"]
+    got = [np.frombuffer(ids, encoder.kind).tolist() for ids in encoder.encode(texts, 1)]
+    assert not encoder.by_words and got == [exact.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_words_with_odd_separators_and_signs():
+    from tokenizers import Tokenizer
+
+    encoder, exact = token_records.Encoder(WORDS), Tokenizer.from_file(WORDS)
+    texts = ["a\x1cb \x1d c\x85d", "it's IT'S 'tis", "x<|endoftext|>y end.", "ΣΑΣ ſK İstanbul É́", "a, b!? (c) 1,2 #$"] * 2
+    for _ in range(2):  # the second time from what is remembered
+        got = [np.frombuffer(ids, encoder.kind).tolist() for ids in encoder.encode(texts, 1)]
+        assert encoder.by_words and got == [exact.encode(t, add_special_tokens=False).ids + [1] for t in texts]
