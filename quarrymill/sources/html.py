@@ -34,10 +34,11 @@ def table_cells(pages: DataFrame, html: str = "html", keep: list[str] | None = N
     """Rows of every table of a page: ``(..., row_no, cells)``.
 
     Two levels of explode over ``<tr>`` and ``<td>``; money and link texts are
-    cleaned by the column functions afterwards.
+    cleaned by the column functions afterwards.  Tags may be in either case; rows of a table
+    inside a cell are not told apart from those around it.
     """
-    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1))
+    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1))
     kept = keep or []
     return (
         pages.select(*kept, F.posexplode(rows).alias("row_no", "_row"))

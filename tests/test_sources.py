@@ -97,3 +97,9 @@ def test_records_with_windows_line_ends(spark, tmp_path):
     path = tmp_path / "records.txt"
     path.write_bytes(b"a:1\r\nb:2\r\n\r\nc:3\r\n")
     assert sorted(r.record for r in text.read_records(spark, str(path)).collect()) == ["a:1 b:2", "c:3"]
+
+
+def test_tags_in_capitals_and_table_heads(spark):
+    page = "<TABLE><THEAD><TR CLASS=x><TH>a</TH ></TR></THEAD><tr><Td>1</tD><td id='q'>2</td></tr></TABLE><track src=y>"
+    df = spark.createDataFrame([(1, page)], "id INT, html STRING")
+    assert [(r.row_no, r.cells) for r in html.table_cells(df).orderBy("row_no").collect()] == [(0, ["a"]), (1, ["1", "2"])]
