@@ -123,3 +123,35 @@ UNION ALL SELECT 2, round(sum(n)::DOUBLE / any_value(total), 9) FROM c, s WHERE
 """)
 def baseline_rate(t):
     return metrics.top_class_rates(t.orders, "o_orderpriority").withColumn("rate", F.round("rate", 9))
+
+
+# the score of a class is higher for its own rows, and differently so for every class
+_PAIRS = """
+WITH k(class, step) AS (VALUES ('1-URGENT', 3), ('2-HIGH', 5), ('3-MEDIUM', 7), ('4-NOT SPECIFIED', 11), ('5-LOW', 13)),
+s AS (SELECT o_orderpriority AS label, class,
+  (o_orderkey * step) % 101 + CASE WHEN o_orderpriority = class THEN 2 * step ELSE 0 END AS score FROM orders, k),
+g AS (SELECT s.*, a.class AS against FROM s JOIN k a ON a.class <> s.class AND label IN (s.class, a.class)),
+r AS (SELECT class, against, label = class AS own, rank() OVER w + (count(*) OVER t - 1) / 2.0::DOUBLE AS r FROM g
+  WINDOW w AS (PARTITION BY class, against ORDER BY score), t AS (PARTITION BY class, against, score)),
+p AS (SELECT class, against, sum(r) FILTER (own) AS s, count(*) FILTER (own)::DOUBLE AS n1, count(*) FILTER (NOT own)::DOUBLE AS n0
+  FROM r GROUP BY 1, 2),
+a AS (SELECT class, against, (s - n1 * (n1 + 1) / 2) / (n1 * n0) AS auc FROM p)
+"""
+_STEPS = {"1-URGENT": 3, "2-HIGH": 5, "3-MEDIUM": 7, "4-NOT SPECIFIED": 11, "5-LOW": 13}
+
+
+def _priority_scores(t):
+    score = lambda name, step: (F.col("o_orderkey") * step) % 101 + F.when(
+        F.col("o_orderpriority") == name, 2 * step).otherwise(0)
+    scored = t.orders.select("o_orderpriority", *[score(c, k).alias(f"s{k}") for c, k in _STEPS.items()])
+    return metrics.roc_auc_pairs(scored, "o_orderpriority", {c: f"s{k}" for c, k in _STEPS.items()})
+
+
+@query("metric_roc_auc_pairs", _PAIRS + "SELECT class, against, round(auc, 9) AS auc FROM a")
+def metric_roc_auc_pairs(t):
+    return _priority_scores(t).withColumn("auc", F.round("auc", 9))
+
+
+@query("metric_roc_auc_hand_till", _PAIRS + "SELECT round(avg(auc), 9) AS auc FROM a")
+def metric_roc_auc_hand_till(t):
+    return metrics.roc_auc_hand_till(_priority_scores(t)).withColumn("auc", F.round("auc", 9))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from quarrymill.catalog import query
 from quarrymill.operators import features, models
 from quarrymill.session import scratch_path
-from quarrymill.sources import delimited, html, literal, text
+from quarrymill.sources import delimited, html, html_grid, inferred, literal, text
 
 
 @query("scan_csv", """
@@ -254,3 +254,66 @@ def save_model(t):
     fitted.write().overwrite().save(path)
     scaled = features.vector_columns(PipelineModel.load(path).transform(orders), "scaled", ["z"])
     return scaled.select("o_orderkey", F.round("z", 6).alias("z"))
+
+
+@query("scan_csv_inferred", """
+SELECT o_orderkey, o_custkey::BIGINT AS o_custkey, o_orderstatus, o_totalprice, o_orderdate::DATE AS o_orderdate,
+  o_totalprice > 100000 AS large, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 10 END AS digit FROM orders
+""")
+def scan_csv_inferred(t):
+    """No schema is stated: numbers, days, truth values and gaps are found in the values."""
+    rows = t.orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"),
+        (F.col("o_totalprice") > 100000).alias("large"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 10).alias("digit"))
+    path = delimited.write_csv(rows, scratch_path(t.spark, "orders-csv"))
+    return inferred.read_csv_by_name(t.spark, path)
+
+
+@query("scan_csv_other_headers", """
+SELECT c_custkey, CASE WHEN c_custkey % 3 <> 1 THEN c_name END AS c_name, CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE floor(c_acctbal) END AS c_acctbal,
+  CASE WHEN c_custkey % 3 = 0 THEN c_nationkey::VARCHAR WHEN c_custkey % 3 = 1 THEN 'n' || c_nationkey END AS mixed
+FROM customer
+""")
+def scan_csv_other_headers(t):
+    """Three layouts of one folder: other orders, missing columns, types that widen to doubles and to text."""
+    path = scratch_path(t.spark, "customer-layouts")
+    whole = F.floor("c_acctbal").alias("c_acctbal")
+    layouts = [
+        ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", F.col("c_nationkey").alias("mixed")],
+        [F.concat(F.lit("n"), F.col("c_nationkey")).alias("mixed"), whole, "c_mktsegment", "c_custkey"],
+        ["c_name", "c_custkey", whole],
+    ]
+    for i, layout in enumerate(layouts):
+        delimited.write_csv(t.customer.where(F.col("c_custkey") % 3 == i).select(*layout), f"{path}/{i}")
+    return inferred.read_csv_by_name(t.spark, path)
+
+
+@query("scan_html_grid", """
+WITH c AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment, c_custkey) AS i,
+  row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS j,
+  count(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n FROM customer),
+g AS (SELECT c_nationkey, 0 AS table_no, NULL::INT AS parent_table_no, i AS row_no, 0::BIGINT AS col_no, n AS row_span,
+    1::BIGINT AS col_span, false AS is_head, c_mktsegment AS cell FROM c WHERE j = 1
+  UNION ALL SELECT c_nationkey, 0, NULL, i, 1, 1, 1, false, c_name FROM c
+  UNION ALL SELECT c_nationkey, 0, NULL, i, 2, 1, 1, false, 'see < and >' FROM c
+  UNION ALL SELECT c_nationkey, i::INT, 0, 0, 0, 1, 1, false, 'key ' || c_custkey FROM c
+  UNION ALL SELECT DISTINCT c_nationkey, 0, NULL::INT, 0, 0, 1, 1, true, 'Segment' FROM c
+  UNION ALL SELECT DISTINCT c_nationkey, 0, NULL::INT, 0, 1, 1, 2, true, 'Name & key' FROM c)
+SELECT * FROM g
+""")
+def scan_html_grid(t):
+    """A page per nation: segments that span the rows of their customers, and a table inside a cell of each."""
+    per_segment = t.customer.groupBy("c_nationkey", "c_mktsegment").agg(
+        F.sort_array(F.collect_list(F.struct("c_custkey", "c_name"))).alias("members"))
+    row = lambda m, i: F.concat(
+        F.lit("<TR>"), F.when(i == 0, F.concat(
+            F.lit('<td rowspan="'), F.size("members"), F.lit('">'), F.col("c_mktsegment"))).otherwise(F.lit("")),
+        F.lit("<td><b>"), m["c_name"], F.lit("</b></TD><td> see &lt; <table><tr><td>key "), m["c_custkey"],
+        F.lit("</table> and &gt;</td></tr>"))
+    rows = per_segment.select("c_nationkey", "c_mktsegment", F.array_join(F.transform("members", row), "\n").alias("tr"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_mktsegment", "tr"))), lambda r: r.tr), "")
+    head = F.lit("<html><!-- <td>no cell --><TABLE BORDER=1><TR><TH>Segment</TH><TH COLSPAN='2'>Name &amp; key</TH></TR>")
+    pages = rows.groupBy("c_nationkey").agg(F.concat(head, body, F.lit("</TABLE></html>")).alias("html"))
+    stored = delimited.store_table(pages, "nation-pages")
+    return html_grid.table_grid(stored, keep=["c_nationkey"])

@@ -93,6 +93,44 @@ def roc_auc_one_vs_rest(df: DataFrame, label: str, scores: dict) -> DataFrame:
     return placed.groupBy("class").agg(F.try_divide(F.sum(right), pairs).alias("auc"))
 
 
+def roc_auc_pairs(df: DataFrame, label: str, scores: dict) -> DataFrame:
+    """``(class, against, auc)`` for every ordered pair of classes, ties counted half.
+
+    ``scores`` maps a class to its score column.  The area is the chance that the class's own score
+    ranks one of its rows above a row of the other class; it is null where either class has no row.
+    Rows without a score in the class's column are left out there; labels that ``scores`` lacks are in no pair.
+
+    One pass: rows shrink to counts of each class per (class, score), running counts of all classes
+    follow, and k sums per class are what is left.
+    """
+    classes = list(scores)
+    sides = F.array(*[
+        F.struct(F.lit(i).alias("side"), F.col(s).cast("double").alias("score")) for i, s in enumerate(scores.values())
+    ])
+    rows = df.select(F.col(label).alias("_label"), F.explode(sides).alias("_cell")).select("_label", "_cell.*")
+    n = [f"n{i}" for i in range(len(classes))]
+    per_score = rows.where("score IS NOT NULL").groupBy("side", "score").agg(
+        *[F.count_if(F.col("_label") == F.lit(c)).alias(name) for c, name in zip(classes, n)])
+    placed = chunked.running(per_score, ["side"], ["score"], {f"u{name}": F.col(name) for name in n}, "score")
+    own = F.get(F.array(*n), F.col("side")).cast("double")
+    sums = placed.groupBy("side").agg(
+        F.array(*[F.sum(own * (F.col(f"u{name}") - F.col(name) / 2)) for name in n]).alias("right"),
+        F.array(*[F.sum(name).cast("double") for name in n]).alias("rows"))
+    named = F.array(*[F.lit(c) for c in classes])
+    pairs = sums.select("side", "right", "rows", F.explode(F.sequence(F.lit(0), F.lit(len(classes) - 1))).alias("other"))
+    return pairs.where("side <> other").select(
+        F.get(named, F.col("side")).alias("class"), F.get(named, F.col("other")).alias("against"),
+        F.try_divide(F.get("right", F.col("other")), F.get("rows", F.col("side")) * F.get("rows", F.col("other"))).alias("auc"))
+
+
+def roc_auc_hand_till(pairs: DataFrame) -> DataFrame:
+    """One row ``auc``: the mean over all pairs of classes of the two areas between them.
+
+    ``pairs`` is the result of :func:`roc_auc_pairs`; pairs without rows are left out.
+    """
+    return pairs.agg(F.avg("auc").alias("auc"))
+
+
 def top_class_rates(df: DataFrame, label: str, tops: Sequence[int] = (1, 2)) -> DataFrame:
     """Share of rows in the commonest class, the two commonest, and so on."""
     best = aggregates.shares(df, label).orderBy(F.desc("n"), label).limit(max(tops))

@@ -730,3 +730,21 @@ def test_scratch_tables_go_with_the_session(spark, tmp_path):
     session._clear_scratch()
     assert not os.path.exists(path) and not session._SCRATCH
     session._SCRATCH.update({k: v for k, v in kept.items() if k not in mine})
+
+
+def test_areas_between_all_pairs_of_classes(spark):
+    rows = [("a", 3.0, 1.0, 0.0), ("a", 2.0, 1.0, None), ("b", 2.0, 4.0, 1.0), ("b", 1.0, 1.0, 1.0), ("c", 2.0, 0.0, 5.0), (None, 9.0, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "y STRING, a DOUBLE, b DOUBLE, c DOUBLE")
+    got = {(r["class"], r.against): r.auc for r in metrics.roc_auc_pairs(df, "y", {"a": "a", "b": "b", "c": "c", "d": "a"}).collect()}
+    place = {"a": 1, "b": 2, "c": 3, "d": 1}
+
+    def plain(own, other):
+        mine = [r[place[own]] for r in rows if r[0] == own and r[place[own]] is not None]
+        theirs = [r[place[own]] for r in rows if r[0] == other and r[place[own]] is not None]
+        wins = [(x > y) + (x == y) / 2 for x in mine for y in theirs]
+        return sum(wins) / len(wins) if wins else None
+
+    assert got == {(x, y): plain(x, y) for x in place for y in place if x != y}
+    mean = metrics.roc_auc_hand_till(metrics.roc_auc_pairs(df, "y", {"a": "a", "b": "b", "c": "c"})).head().auc
+    assert abs(mean - sum(plain(x, y) for x in "abc" for y in "abc" if x != y) / 6) < 1e-12
+    assert metrics.roc_auc_hand_till(metrics.roc_auc_pairs(df.limit(0), "y", {"a": "a", "b": "b"})).head().auc is None
