@@ -35,7 +35,8 @@ def agg_two_level_count(t):
 
 @query("agg_pivot_counts", """
 SELECT l_returnflag, count(*) FILTER (l_linestatus = 'F') AS status_F,
-       count(*) FILTER (l_linestatus = 'O') AS status_O, count(*) FILTER (l_linestatus = 'X') AS status_X
+       count(*) FILTER (l_linestatus = 'O') AS status_O, count(*) FILTER (l_linestatus = 'X') AS status_X,
+       count(*) FILTER (l_linestatus IS NULL OR l_linestatus NOT IN ('F', 'O', 'X')) AS status_other
 FROM lineitem GROUP BY 1
 """)
 def agg_pivot_counts(t):

@@ -111,9 +111,10 @@ WITH n AS (SELECT n_regionkey AS region, c_mktsegment AS segment, count(*) AS n
 g AS (SELECT region, segment FROM
   (VALUES (0), (1), (2), (3), (4), (5)) a(region),
   (VALUES ('AUTOMOBILE'), ('BUILDING'), ('FURNITURE'), ('GARDEN'), ('HOUSEHOLD'), ('MACHINERY')) b(segment))
-SELECT g.region, g.segment, coalesce(n.n, 0) AS n FROM g LEFT JOIN n USING (region, segment)
+SELECT region, segment, coalesce(n.n, 0) AS n FROM g FULL JOIN n USING (region, segment)
 """)
 def join_cross_grid(t):
+    """Every cell of the stated levels, empty ones too, and pairs outside the levels as they come."""
     grid = joins.expand_grid(t.spark, {
         "region": [0, 1, 2, 3, 4, 5],
         "segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "GARDEN", "HOUSEHOLD", "MACHINERY"],
@@ -122,7 +123,7 @@ def join_cross_grid(t):
     found = placed.groupBy(F.col("n_regionkey").alias("region"), F.col("c_mktsegment").alias("segment")).agg(
         F.count("*").alias("n")
     )
-    return grid.join(found, ["region", "segment"], "left").na.fill(0, ["n"])
+    return grid.join(found, ["region", "segment"], "full").na.fill(0, ["n"])
 
 
 @query("join_positional", """

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarrymill.catalog import query
-from quarrymill.operators import boosting, models, neighbours, resample, topk
+from quarrymill.operators import boosting, models, neighbours, resample, sgd, topk
 
 _HELD_OUT = """
 WITH p AS (SELECT p_partkey, p_size, p_size % 8 AS c, p_size // 8 AS r,
@@ -365,3 +365,19 @@ def predict_prob_one_vs_rest(t):
     return scored.select("p_partkey", F.col("label").cast("int").alias("label"), p.alias("p")).select(
         "p_partkey", "label", (F.abs(F.aggregate("p", F.lit(0.0), lambda a, v: a + v) - 1) < 1e-9).alias("adds_up"),
         (F.array_position("p", F.array_max("p")) - 1 == F.col("label")).alias("most_likely"))
+
+
+@query("fit_sgd", _NEW_POINTS + """
+SELECT loss, p_partkey, label, label AS prediction FROM u, (VALUES ('log')) k(loss)
+UNION ALL SELECT 'hinge', p_partkey, (p_size % 8 >= 4)::INT, (p_size % 8 >= 4)::INT FROM part WHERE p_size % 5 = 2
+""")
+def fit_sgd(t):
+    """Four classes by softmax, two by hinge, both on points that no fit has seen."""
+    parts = []
+    for loss, classes in (("log", 4), ("hinge", 2)):
+        rows = _steps(t, classes).withColumn("new", F.pmod(F.col("c") + 8 * F.col("r"), F.lit(5)) == 2)
+        settings = sgd.Settings(loss=loss, epochs=15, batch=4, rate=1.0, penalty=0.0)
+        model = sgd.fit_sgd(rows.where("NOT new"), ["c", "r"], "label", classes, settings)
+        scored = _predictions(sgd.predict_sgd(model, rows.where("new"), ["c", "r"]))
+        parts.append(scored.withColumn("loss", F.lit(loss)))
+    return parts[0].union(parts[1])

@@ -22,10 +22,18 @@ def shares(df: DataFrame, *keys: str) -> DataFrame:
     return n.withColumn("prop", F.col("n") / total.scalar())
 
 
-def cross_counts(df: DataFrame, rows: str, columns: str, levels: Sequence, prefix: str = "") -> DataFrame:
-    """Counts of ``rows`` against the stated ``levels`` of ``columns``, zero where absent."""
-    table = df.groupBy(rows).pivot(columns, list(levels)).agg(F.count(F.lit(1))).na.fill(0)
-    return table.toDF(rows, *[f"{prefix}{v}" for v in levels])
+def cross_counts(
+    df: DataFrame, rows: str, columns: str, levels: Sequence, prefix: str = "", other: str | None = "other"
+) -> DataFrame:
+    """Counts of ``rows`` against the stated ``levels`` of ``columns``, zero where absent.
+
+    Rows of any other level, null included, are counted under ``other``; with ``other=None`` they are left out.
+    """
+    level = F.col(columns)
+    counted = [F.count_if(level == F.lit(v)).alias(f"{prefix}{v}") for v in levels]
+    if other is not None:
+        counted.append(F.count_if(level.isNull() | ~level.isin(list(levels))).alias(f"{prefix}{other}"))
+    return df.groupBy(rows).agg(*counted)
 
 
 def ratio_of_sums(df: DataFrame, keys: Sequence[str], top: str, bottom: str) -> DataFrame:

@@ -112,6 +112,8 @@ def fit_adaboost(df: DataFrame, classes: int, rounds: int = 5, depth: int = 1) -
         miss = (F.col("prediction") != F.col("label")).cast("double")
         err = scored.agg(F.sum(F.col("weight") * miss) / F.sum("weight")).first()[0]
         if err >= 1 - 1 / classes:
+            if not learners:
+                raise ValueError("no tree of this depth is better than chance: take deeper ones")
             break
         alpha = math.log((1 - err) / max(err, 1e-12)) + math.log(classes - 1)
         learners.append((alpha, stump))

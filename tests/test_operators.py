@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import codes, dates, recode, text, validate
 from quarrymill.operators import (
-    aggregates, boosting, features, graph, joins, metrics, models, neighbours, ordered, permute, project, resample, sets, topk,
+    aggregates, boosting, features, graph, joins, metrics, models, neighbours, ordered, permute, project, resample, sets, sgd, topk,
 )
 from quarrymill.plans import bands
 
@@ -748,3 +748,69 @@ def test_areas_between_all_pairs_of_classes(spark):
     mean = metrics.roc_auc_hand_till(metrics.roc_auc_pairs(df, "y", {"a": "a", "b": "b", "c": "c"})).head().auc
     assert abs(mean - sum(plain(x, y) for x in "abc" for y in "abc" if x != y) / 6) < 1e-12
     assert metrics.roc_auc_hand_till(metrics.roc_auc_pairs(df.limit(0), "y", {"a": "a", "b": "b"})).head().auc is None
+
+
+def test_counts_of_other_levels_are_kept(spark):
+    df = spark.createDataFrame([("a", "F"), ("a", "Q"), ("a", None), ("b", "O"), (None, "F")], "k STRING, s STRING")
+    got = {r.k: tuple(r)[1:] for r in aggregates.cross_counts(df, "k", "s", ["F", "O"], "n_").collect()}
+    assert got == {"a": (1, 0, 2), "b": (0, 1, 0), None: (1, 0, 0)}
+    assert aggregates.cross_counts(df, "k", "s", ["F"], other=None).columns == ["k", "F"]
+
+
+def _blobs(n, seed=3):
+    draw = np.random.default_rng(seed)
+    y = draw.integers(0, 3, n)
+    centre = np.array([[0.0, 0.0], [900.0, 0.0], [0.0, 9.0]])[y]
+    x = centre + draw.normal(size=(n, 2)) * [100.0, 1.0]
+    return [(float(a), float(b), int(c)) for (a, b), c in zip(x, y)]
+
+
+def test_gradient_descent_over_many_shards(spark):
+    rows = _blobs(3000)
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, y INT")
+    for loss in ("log", "hinge"):
+        settings = sgd.Settings(loss=loss, epochs=4, shard_rows=500)
+        model = sgd.fit_sgd(df.repartition(7), ["a", "b"], "y", 3, settings)
+        again = sgd.fit_sgd(df.repartition(2), ["a", "b"], "y", 3, settings)
+        assert np.allclose(model["weights"], again["weights"], rtol=1e-9)
+        scored = sgd.predict_sgd(model, df, ["a", "b"])
+        assert scored.where("prediction = y").count() > 0.97 * len(rows)
+        assert ("probability" in scored.columns) == (loss == "log")
+    sums = sgd.predict_sgd(sgd.fit_sgd(df, ["a", "b"], "y", 3, sgd.Settings(epochs=1)), df, ["a", "b"]).select(
+        F.aggregate("probability", F.lit(0.0), lambda a, v: a + v).alias("t"))
+    assert sums.where("abs(t - 1) > 1e-9").count() == 0
+
+
+def test_one_shard_equals_plain_gradient_descent(spark):
+    rows = _blobs(40)
+    settings = sgd.Settings(epochs=3, batch=1000, rate=0.5, penalty=0.01)  # whole batches: order is of no matter
+    model = sgd.fit_sgd(spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, y INT"), ["a", "b"], "y", 3, settings)
+    x, y = np.array([r[:2] for r in rows]), np.array([r[2] for r in rows])
+    z = np.hstack([(x - x.mean(0)) / x.std(0), np.ones((40, 1))])
+    w = np.zeros((3, 3))
+    for epoch in range(3):
+        p = np.exp(z @ w.T)
+        slope = ((p / p.sum(1, keepdims=True) - np.eye(3)[y]).T @ z) / 40
+        slope[:, :2] += 0.01 * w[:, :2]
+        w -= 0.5 / np.sqrt(epoch + 1) * slope
+    assert np.allclose(model["weights"] * x.std(0), w[:, :2], atol=1e-9)
+
+
+def test_gradient_descent_with_gaps_repeated_rows_and_no_rows(spark):
+    rows = [(float(i % 2), 1.0, i % 2) for i in range(400)] + [(None, 1.0, 1), (0.0, None, 0), (9.0, 9.0, 7), (9.0, 9.0, None)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, y INT")
+    model = sgd.fit_sgd(df, ["a", "b"], "y", 2, sgd.Settings(shard_rows=1))
+    scored = sgd.predict_sgd(model, df.where("y < 2"), ["a", "b"])
+    assert scored.where("a IS NOT NULL AND b IS NOT NULL AND prediction <> y").count() == 0
+    assert scored.where("prediction IS NULL AND probability IS NULL").count() == 2
+    with pytest.raises(ValueError):
+        sgd.fit_sgd(df.limit(0), ["a", "b"], "y", 2)
+    with pytest.raises(ValueError):
+        sgd.fit_sgd(df, ["a", "b"], "y", 2, sgd.Settings(loss="square"))
+
+
+def test_boosting_without_a_better_tree_is_an_error(spark):
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame([(1.0, 0.0), (1.0, 1.0)] * 20, "x DOUBLE, label DOUBLE"))
+    with pytest.raises(ValueError):
+        models.fit_adaboost(df, classes=2)
