@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarrymill.catalog import query
-from quarrymill.operators import boosting, models, neighbours, resample, sgd, topk
+from quarrymill.operators import bagging, boosting, models, neighbours, resample, sgd, topk
 
 _HELD_OUT = """
 WITH p AS (SELECT p_partkey, p_size, p_size % 8 AS c, p_size // 8 AS r,
@@ -126,6 +126,38 @@ def boosted_class_probabilities(t):
         F.round(F.avg(F.aggregate("p", F.lit(0.0), lambda a, x: a + x)), 6).alias("total"))
 
 
+_BAGGED = ["c", "r", "c_down", "r_down"]
+
+
+def _bagged(t, classes: int | None, label: str, columns: float):
+    """A bag learned from four fifths of the points.  Each measure is there twice, so that three of four columns hold both."""
+    rows = _steps(t).withColumns({"new": F.pmod(F.col("c") + 8 * F.col("r"), F.lit(5)) == 2,
+                                  "c_down": 7 - F.col("c"), "r_down": 6 - F.col("r")})
+    settings = bagging.Bag(trees=25, depth=3, columns=columns)
+    model = bagging.fit_bag(rows.where("NOT new"), "p_partkey", _BAGGED, label, classes, settings)
+    return bagging.predict_bag(model, rows.where("new"), _BAGGED)
+
+
+@query("fit_bagged_classes", _NEW_POINTS + "SELECT p_partkey, label, label AS prediction FROM u")
+def fit_bagged_classes(t):
+    return _predictions(_bagged(t, 4, "label", 1.0))
+
+
+@query("fit_bagged_subspaces", _NEW_POINTS + "SELECT p_partkey, label, label AS prediction FROM u")
+def fit_bagged_subspaces(t):
+    """Every tree sees three of four columns."""
+    return _predictions(_bagged(t, 4, "label", 0.75))
+
+
+@query("fit_bagged_regressor", _NEW_POINTS + """
+SELECT p_partkey, 100.0::DOUBLE * (label // 2) + 10 * (label % 2) AS price, true AS close FROM u
+""")
+def fit_bagged_regressor(t):
+    """The mean of 25 trees lies within 5 of the price, where steps are 10 and 100."""
+    scored = _bagged(t, None, "price", 0.75)
+    return scored.select("p_partkey", "price", (F.abs(F.col("prediction") - F.col("price")) < 5).alias("close"))
+
+
 @query("fit_adaboost", _EXACT_TWO)
 def fit_adaboost(t):
     rows = _steps(t, 2)

@@ -63,7 +63,7 @@ def bin_limits(df: DataFrame, features: list[str], bins: int) -> list[list[float
     return [sorted({float(x) for x in found[f"f{i}"] or []}) for i in range(len(features))]
 
 
-def _binned(value: Column, limits: list[float]) -> Column:
+def binned(value: Column, limits: list[float]) -> Column:
     """How many limits lie below the value; a missing value is in the first bin."""
     if not limits:
         return F.lit(0)
@@ -157,7 +157,7 @@ def fit_boosted_classes(df: DataFrame, ident: str, features: list[str], label: s
     model = Boosted(classes, cuts, settings)
     rows = df.where(F.col(label).isNotNull()).select(
         F.col(ident).alias("row"), F.col(label).cast("int").alias("label"),
-        F.array(*[_binned(F.col(f), c) for f, c in zip(features, cuts)]).alias("bins"),
+        F.array(*[binned(F.col(f), c) for f, c in zip(features, cuts)]).alias("bins"),
         F.array(*[F.lit(0.0)] * classes).alias("scores"))
     rows = written(rows, "boosted-rows")
     for number in range(settings.rounds):
@@ -170,7 +170,7 @@ def fit_boosted_classes(df: DataFrame, ident: str, features: list[str], label: s
 
 def predict_boosted_classes(model: Boosted, df: DataFrame, features: list[str]) -> DataFrame:
     """``df`` with ``probability`` (one per class, adding up to one) and ``prediction``."""
-    made = df.withColumn("_bins", F.array(*[_binned(F.col(f), c) for f, c in zip(features, model.cuts)]))
+    made = df.withColumn("_bins", F.array(*[binned(F.col(f), c) for f, c in zip(features, model.cuts)]))
     def total(k: int) -> Column:
         parts = [F.get(F.array(*[F.lit(float(v)) for v in trees[k].value]), _leaf_of(trees[k], F.col("_bins"), model.settings.depth))
                  for trees in model.trees]

@@ -141,3 +141,9 @@ def explode_grid(df: DataFrame, levels: dict[str, list]) -> DataFrame:
 def attach_by_id(rows: DataFrame, predictions: DataFrame, ident: str) -> DataFrame:
     """Put predictions beside their rows by id: rows have no position to zip by."""
     return rows.join(predictions, ident)
+
+
+def explode_points(df: DataFrame, points: list[dict]) -> DataFrame:
+    """Each row once per stated point, its fields as columns.  Points are parameters, not data: no join and no shuffle."""
+    listed = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in p.items()]) for p in points])
+    return df.withColumn("_point", F.explode(listed)).select("*", "_point.*").drop("_point")

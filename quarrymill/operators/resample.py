@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,3 +37,29 @@ def even_values(low: float, high: float, resolution: int, whole: bool = False) -
     if not whole:
         return values
     return sorted({int(v + 0.5) for v in values})
+
+
+def spread_points(ranges: dict[str, tuple], points: int, designs: int = 20, seed: int = 0) -> list[dict]:
+    """A picked grid: ``points`` combinations that fill the space of ``ranges`` (name: low, high).
+
+    Latin hypercubes: in every dimension each of ``points`` equal strata has one combination, at its middle.  The
+    orders of the strata are hashes; of ``designs`` such hypercubes the one whose closest two combinations are
+    farthest apart is taken, the first of equal ones.  A whole-number range gives whole numbers, which may repeat.
+    """
+    def order(design: int, name: str) -> list[int]:
+        drawn = sorted(range(points), key=lambda i: md5(f"{seed}:{design}:{name}:{i}".encode()).hexdigest())
+        place = {i: p for p, i in enumerate(drawn)}
+        return [place[i] for i in range(points)]
+
+    def closest(columns: list[list[int]]) -> int:
+        rows = list(zip(*columns))
+        return min((sum((a - b) ** 2 for a, b in zip(x, y)) for i, x in enumerate(rows) for y in rows[:i]), default=0)
+
+    made = [[order(d, name) for name in ranges] for d in range(designs)]
+    best = max(made, key=closest)
+
+    def value(low, high, stratum: int):
+        at = low + (stratum + 0.5) / points * (high - low)
+        return int(at + 0.5) if isinstance(low, int) and isinstance(high, int) else at
+
+    return [{name: value(*ranges[name], column[i]) for name, column in zip(ranges, best)} for i in range(points)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import codes, dates, recode, text, validate
 from quarrymill.operators import (
-    aggregates, boosting, features, graph, joins, metrics, models, neighbours, ordered, permute, project, resample, sets, sgd, topk,
+    aggregates, bagging, boosting, features, graph, joins, metrics, models, neighbours, ordered, permute, project, resample, sets, sgd, topk,
 )
 from quarrymill.plans import bands
 
@@ -495,6 +495,56 @@ def test_boosting_repeats_and_keeps_its_shares(spark):
     assert all(len(u) <= 1 for u in used)  # half of two columns per tree
 
 
+def test_a_bag_learns_classes_and_values(spark):
+    rows = [(i, float(i % 8), float(i // 8 % 8), float(i * 37 % 11), int(i % 8 > 3) * 2 + int(i // 8 % 8 > 5)) for i in range(640)]
+    df = spark.createDataFrame(rows, "i BIGINT, a DOUBLE, b DOUBLE, noise DOUBLE, y INT").withColumn("v", F.col("y") * 10.0)
+    train, test = df.where("(a + 8 * b) % 5 <> 2"), df.where("(a + 8 * b) % 5 = 2")
+    settings = bagging.Bag(trees=15, depth=3)
+    model = bagging.fit_bag(train, "i", ["a", "b", "noise"], "y", 4, settings)
+    scored = bagging.predict_bag(model, test, ["a", "b", "noise"]).collect()
+    assert scored and all(r.prediction == r.y and abs(sum(r.probability) - 1) < 1e-9 for r in scored)
+    values = bagging.fit_bag(train, "i", ["a", "b", "noise"], "v", None, settings)
+    assert all(abs(r.prediction - r.v) < 2 for r in bagging.predict_bag(values, test, ["a", "b", "noise"]).collect())
+
+
+def test_a_bag_repeats_and_its_trees_see_their_columns_only(spark):
+    rows = [(i, float(i % 8), float(i % 5), float(i % 3), i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "i BIGINT, a DOUBLE, b DOUBLE, c DOUBLE, y INT")
+    settings = bagging.Bag(trees=9, depth=3, columns=0.67, rows=0.8)
+    one, two = (bagging.fit_bag(d, "i", ["a", "b", "c"], "y", 2, settings) for d in (df, df.repartition(7)))
+    assert one == two
+    size = one.size
+    used = [set(one.feature[t * size:(t + 1) * size]) - {-1} for t in range(9)]
+    assert all(len(c) == 2 and u <= set(c) for c, u in zip(one.columns, used))
+    assert len({tuple(c) for c in one.columns}) > 1 and len({tuple(one.feature[t * size:(t + 1) * size]) for t in range(9)}) > 1
+
+
+def test_weights_of_a_bag_are_poisson_draws(spark):
+    drawn = spark.range(20_000).select(F.explode(bagging.weights(F.col("id"), bagging.Bag(trees=2, rows=1.0))).alias("w"))
+    counts = {r.w: r["count"] / 40_000 for r in drawn.groupBy("w").count().collect()}
+    assert abs(counts[0] - 0.3679) < 0.01 and abs(counts[1] - 0.3679) < 0.01 and abs(counts[3] - 0.0613) < 0.01
+
+
+def test_a_bag_with_nulls_and_without_rows(spark):
+    df = spark.createDataFrame([(1, None, 0), (2, 5.0, 1), (3, None, 0), (4, 6.0, 1), (5, 1.0, None)] * 4, "i BIGINT, a DOUBLE, y INT")
+    model = bagging.fit_bag(df, "i", ["a"], "y", 2, bagging.Bag(trees=25, depth=2))
+    assert {(r.a, r.prediction) for r in bagging.predict_bag(model, df, ["a"]).collect()} == {(None, 0), (1.0, 1), (5.0, 1), (6.0, 1)}
+    with pytest.raises(ValueError):
+        bagging.fit_bag(df.where("y IS NULL"), "i", ["a"], "y", 2)
+
+
+def test_a_picked_grid_has_one_point_in_every_stratum():
+    points = resample.spread_points({"n": (0, 250), "x": (0.0, 1.0), "z": (-1.0, 1.0)}, 25, seed=3)
+    assert points == resample.spread_points({"n": (0, 250), "x": (0.0, 1.0), "z": (-1.0, 1.0)}, 25, seed=3)
+    assert sorted(int(p["x"] * 25) for p in points) == list(range(25))
+    assert sorted(int((p["z"] + 1) / 2 * 25) for p in points) == list(range(25))
+    assert sorted(p["n"] for p in points) == [10 * i + 5 for i in range(25)]
+    one = resample.spread_points({"x": (0.0, 1.0), "z": (0.0, 1.0)}, 25, designs=1, seed=3)
+    gap = lambda ps: min((a["x"] - b["x"]) ** 2 + (a["z"] - b["z"]) ** 2 for i, a in enumerate(ps) for b in ps[:i])
+    assert gap(resample.spread_points({"x": (0.0, 1.0), "z": (0.0, 1.0)}, 25, seed=3)) >= gap(one)
+    assert resample.spread_points({"x": (2.0, 4.0)}, 1) == [{"x": 3.0}]
+
+
 def test_boosting_without_rows_or_with_nulls(spark):
     empty = spark.createDataFrame([], "i INT, a DOUBLE, y INT")
     model = boosting.fit_boosted_classes(empty, "i", ["a"], "y", 3, boosting.Settings(rounds=1))
