@@ -41,7 +41,7 @@ RESULT = "lang_pred string, score double, margin int, accepted boolean"
 class Bounds:
     """Bounds of the fitted sample and the rule of rejection.
 
-    ``documents`` texts per language are sampled, ``chars`` code points of each,
+    ``documents`` distinct texts per language are sampled, ``chars`` code points of each,
     ``dictionary`` bytes of them kept; all dictionaries together hold at most
     ``model`` bytes.  ``margin`` is the least difference, in bytes, between the
     best two encodings, and ``share`` the least in parts of the best one, so that a long
@@ -59,35 +59,35 @@ class Bounds:
     level: int = 9
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-        bounds: Bounds = Bounds()) -> dict[str, bytes]:
-    """Dictionaries by language from a bounded sample of labelled rows.
+def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang", bounds: Bounds = Bounds()) -> dict[str, bytes]:
+    """Dictionaries by language from a bounded sample of labelled texts.
 
-    Labels are counted first, so that of each language only about twice the
-    wanted number of rows, those with the smallest hashes of id and text, leave
-    the scan, however large the language is.
+    The distinct texts of each language are counted first (by a sketch), so that only about twice the wanted number, those
+    with the smallest hashes, leave the scan, however large the language is and however often a text is
+    repeated.  Of a text longer than ``bounds.chars`` a slice is taken that begins where another hash says.  What a
+    dictionary has no room for is not collected: the driver gets ``bounds.model`` bytes and at most one slice per language.
     """
-    rows = df.select(
-        quoted(label_col).alias("lang"), quoted(text_col).alias("text"), quoted(id_col).alias("id")
-    ).where("lang is not null and text is not null and text <> ''")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language, as the model has
+    rows = df.select(quoted(label_col).alias("lang"), quoted(text_col).alias("text")).where(
+        "lang is not null and text is not null and text <> ''")
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()  # one row per language, as the model has
     if not counts:
         return {}
     # a literal map, not a join: the rows that are not drawn are dropped in the scan
-    most = {r["lang"]: min(1.0, (2.0 * bounds.documents + 100) / r["n"]) * (1 << 63) for r in counts}
+    most = {r["lang"]: min(1.0, (2.0 * bounds.documents + 100) / max(1, r["n"])) * (1 << 63) for r in counts}
     limit = F.create_map(*[F.lit(x) for pair in sorted(most.items()) for x in pair])
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "id", "text"), 1)
-    drawn = rows.withColumn("draw", draw).where(F.col("draw") <= F.element_at(limit, F.col("lang")))
-    first = Window.partitionBy("lang").orderBy("draw", "id", "text")
-    sample = (
-        drawn.withColumn("text", F.substring("text", 1, bounds.chars))
-        .withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= bounds.documents)
-    )
+    drawn = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64(F.lit(7), "text"), 1)).where(
+        F.col("draw") <= F.element_at(limit, F.col("lang")))
+    spare = F.greatest(F.char_length("text") - bounds.chars, F.lit(0))
+    begin = (F.pmod(F.xxhash64(F.lit(11), "text"), spare + 1) + 1).cast("int")
+    slices = drawn.groupBy("lang", "draw").agg(F.min(F.substring("text", begin, F.lit(bounds.chars))).alias("text"))
+    first = Window.partitionBy("lang").orderBy("draw")
+    each = min(bounds.dictionary, bounds.model // len(counts))
+    before = F.sum(F.octet_length("text") + 1).over(first.rowsBetween(Window.unboundedPreceding, -1))
+    sample = slices.withColumns({"place": F.row_number().over(first), "before": F.coalesce(before, F.lit(0))}).where(
+        (F.col("place") <= bounds.documents) & (F.col("before") < each))
     texts: dict[str, list] = {}
     for row in sample.select("lang", "place", "text").collect():
         texts.setdefault(row["lang"], []).append((row["place"], row["text"]))
-    each = min(bounds.dictionary, bounds.model // max(1, len(texts)))
     return {
         lang: "\n".join(t for _, t in sorted(found)).lower().encode()[:each]
         for lang, found in sorted(texts.items())

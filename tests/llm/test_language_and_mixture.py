@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from quarrymill.llm import language_id, mixing, queries
@@ -218,3 +219,51 @@ def test_rows_that_share_an_id_keep_the_sum_of_their_copies(make_docs):
         took[d, source, len(text.split())] += n
     assert +want == took and any(d is None for d, _, _ in took)
     assert max(n for r, n in again.items() if r[0] is None) <= 2
+
+
+def test_a_model_learns_from_distinct_texts_alone(make_docs):
+    texts = {"a": [f"alpha number {i} and {i * 7}" for i in range(30)], "b": [f"beta {i * 3} or {i}" for i in range(30)]}
+    rows = [(0, t, lang) for lang, found in texts.items() for t in found]
+    one = language_id.fit(make_docs(rows))
+    more = [(i, t, lang) for i, (_, t, lang) in enumerate(rows * 3)] + [(5_000 + i, "copied " * 9, "a") for i in range(2_000)]
+    two = language_id.fit(make_docs(more + [(None, None, "a"), (None, "", "b"), (1, "no label", None)]))
+    lines = lambda data: sorted(data.decode().split("\n"))
+    assert lines(one["a"]) == sorted(texts["a"]) and lines(one["b"]) == lines(two["b"]) == sorted(texts["b"])
+    assert lines(two["a"]) == sorted([*texts["a"], "copied " * 9])
+
+
+def test_slices_of_long_texts_begin_anywhere_and_dictionaries_are_bounded(make_docs):
+    rows = [(i, "".join(f"{i:03d}-{j:05d} " for j in range(2_000)), "a") for i in range(40)]
+    model = language_id.fit(make_docs(rows), bounds=language_id.Bounds(documents=30, chars=100, dictionary=5_000))
+    slices = model["a"].decode().split("\n")
+    assert len(slices) == 30 and all(len(x) == 100 for x in slices)
+    assert sum("-00000 " in x for x in slices) < 5
+    small = language_id.fit(make_docs(rows), bounds=language_id.Bounds(documents=30, chars=100, dictionary=250))
+    assert len(small["a"]) == 250 and model["a"].startswith(small["a"])
+
+
+def test_predictions_equal_plain_compression(spark, folder):
+    """Whole texts in blocks, each with the dictionary afresh: no cached encoders, no UDF."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet").where("text is not null")
+    model = language_id.fit(rows)
+    bounds = language_id.Bounds()
+
+    def size(text: str, known: bytes) -> int:
+        data, total = text.lower().encode(), 0
+        for i in range(0, len(data), 1 << 16):
+            settings = zstandard.ZstdCompressionParameters.from_level(
+                bounds.level, source_size=4_000, dict_size=len(known), write_content_size=False, write_dict_id=False)
+            words = zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            words.precompute_compress(compression_params=settings)
+            total += len(zstandard.ZstdCompressor(compression_params=settings, dict_data=words).compress(
+                b"\n" * 64 + data[i:i + (1 << 16)]))
+        return total
+
+    got = rows.select("text", language_id.predict(F.col("text"), model).alias("r")).select("text", "r.*").limit(60).collect()
+    for r in got:
+        if not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.accepted) == ("und", False)
+            continue
+        (best, lang), (second, _) = sorted((size(r.text, known), lang) for lang, known in model.items())[:2]
+        assert (r.lang_pred, r.margin) == (lang, second - best)
+        assert r.accepted == (second - best >= max(1, 0.03 * best))
