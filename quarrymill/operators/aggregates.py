@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from math import factorial, pi
+from operator import mul
 
+from numpy.polynomial.hermite_e import herme2poly
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,13 +116,20 @@ def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
     return counts(df.where(F.col(value).isNotNull()), bin_right_closed(F.col(value), width).alias("bin"))
 
 
+DENSITY_TERMS, DENSITY_REACH = 10, 9  # last power of the moments; bandwidths beyond which a cell adds less than 1e-16
+
+
 def density(df: DataFrame, value: str, points: int, bandwidth: float | None = None) -> DataFrame:
     """Gaussian kernel density of a column on an even grid, with the column's mean.
 
-    Five scalars fix the grid and the bandwidth (``sd * n^(-1/5)`` by default).
-    Equal values are counted first; every distinct one meets every grid point
-    inside its own task and only the partial sums, ``points`` per task, are
-    shuffled.  A column of one value has no spread: its grid is that value and the
+    Five scalars fix the grid and the bandwidth ``h`` (``sd * n^(-1/5)`` by default).  Values are summed up
+    in cells half a bandwidth wide: the count and the moments ``sum(d^j)``, ``d = (x - centre) / h``, up to j = 10.  A cell's
+    part of the density at distance ``u`` (in h) is the series ``exp(-u^2/2) * sum_j He_j(u) * sum(d^j) / j!``, for the grid
+    points within nine bandwidths only.  So work beyond the one scan grows with the range over the bandwidth, not with
+    distinct values times points.  As ``|d| <= 1/4`` and ``|He_j(u)| exp(-u^2/4) <= 1.09 sqrt(j!)``, what the series leaves
+    out is below ``5e-11`` of the kernel's peak, ``5e-11 / (h * sqrt(2 pi))`` in the result.
+
+    A column of one value has no spread: its grid is that value and the
     density there, a point mass, is null; an empty column gives no row.
     """
     x = F.col(value)
@@ -127,22 +138,41 @@ def density(df: DataFrame, value: str, points: int, bandwidth: float | None = No
     ).first()
     if not n:
         low = high = mean = 0.0
-    h = bandwidth or (sd or 0.0) * max(n, 1) ** (-1 / 5)
+    h = float(bandwidth or (sd or 0.0) * max(n, 1) ** (-1 / 5))
     if not n or not h:
         rows = df.sparkSession.range(1 if n else 0).select(F.lit(0).alias("grid_no"), F.lit(float(low)).alias("grid_x"))
         return rows.withColumns({"density": F.lit(None).cast("double"), "mean": F.lit(float(mean))})
     low, high = float(low), float(high)
     step = (high - low) / max(1, points - 1)
-    u = (F.col("grid_x") - x) / F.lit(h)
-    scale = 1 / (n * h * (2 * 3.141592653589793) ** 0.5)
-    return (
-        df.where(x.isNotNull()).groupBy(x.alias(value)).agg(F.count("*").alias("_n")).select(
-            x, "_n", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_no")
-        )
-        .withColumn("grid_x", F.lit(low) + F.col("grid_no") * F.lit(step))
-        .groupBy("grid_no").agg(F.max("grid_x").alias("grid_x"), F.sum(F.col("_n") * F.exp(-0.5 * u * u)).alias("_k"))
-        .select("grid_no", "grid_x", (F.col("_k") * F.lit(scale)).alias("density"), F.lit(mean).alias("mean"))
+    cell = F.floor((x.cast("double") - low) / (h / 2))
+    centre = low + (F.col("_cell") + 0.5) * (h / 2)
+    powers = range(DENSITY_TERMS + 1)
+    d = F.col("_d")
+    cells = (
+        df.where(x.isNotNull()).select(cell.alias("_cell"), x.cast("double").alias("_x"))
+        .withColumn("_d", (F.col("_x") - centre) / h)
+        .groupBy("_cell").agg(*[F.sum(reduce(mul, [d] * j, F.lit(1.0))).alias(f"_m{j}") for j in powers])
     )
+    # the series as a polynomial in u: its coefficients per cell
+    basis = [herme2poly([0.0] * j + [1.0 / factorial(j)]) for j in powers]
+    cells = cells.select(centre.alias("_centre"), *[
+        sum((F.col(f"_m{j}") * float(basis[j][k]) for j in powers if k < len(basis[j]) and basis[j][k]), F.lit(0.0)).alias(f"_c{k}")
+        for k in powers])
+    if step:
+        first = F.greatest(F.ceil((F.col("_centre") - DENSITY_REACH * h - low) / step), F.lit(0))
+        last = F.least(F.floor((F.col("_centre") + DENSITY_REACH * h - low) / step), F.lit(points - 1))
+        near = F.when(first <= last, F.sequence(first, last))
+    else:
+        near = F.sequence(F.lit(0), F.lit(points - 1))
+    u = (low + F.col("_no") * step - F.col("_centre")) / h
+    series = reduce(lambda total, k: total * u + F.col(f"_c{k}"), reversed(powers), F.lit(0.0))
+    sums = cells.withColumn("_no", F.explode(near)).groupBy(F.col("_no").cast("bigint").alias("_no")).agg(
+        F.sum(F.exp(-0.5 * u * u) * series).alias("_k"))
+    scale = 1 / (n * h * (2 * pi) ** 0.5)
+    grid = df.sparkSession.range(points)
+    return grid.join(sums, grid.id == sums["_no"], "left").select(
+        F.col("id").cast("int").alias("grid_no"), (low + F.col("id") * step).alias("grid_x"),
+        (F.coalesce("_k", F.lit(0.0)) * scale).alias("density"), F.lit(mean).alias("mean"))
 
 
 def score_summary(df: DataFrame, score: str) -> DataFrame:

@@ -674,6 +674,21 @@ def test_triple_sums_with_negative_values_and_a_far_target(spark):
     assert joins.triple_sums(column(spark, [], "BIGINT"), "x", 3).collect() == []
 
 
+@pytest.mark.parametrize("bandwidth", [None, 0.01, 3.0])
+def test_density_equals_the_sum_of_kernels(spark, bandwidth):
+    rng = random.Random(4)
+    xs = [rng.gauss(0, 1) for _ in range(300)] + [rng.uniform(40, 41) for _ in range(100)] + [None]
+    got = sorted(aggregates.density(column(spark, xs, "DOUBLE"), "x", 37, bandwidth).collect())
+    xs = xs[:-1]
+    mean = sum(xs) / len(xs)
+    h = bandwidth or math.sqrt(sum((x - mean) ** 2 for x in xs) / (len(xs) - 1)) * len(xs) ** -0.2
+    peak = 1 / (h * math.sqrt(2 * math.pi))
+    assert [r.grid_no for r in got] == list(range(37)) and abs(got[36].grid_x - max(xs)) < 1e-9
+    for r in got:
+        want = peak * sum(math.exp(-0.5 * ((r.grid_x - x) / h) ** 2) for x in xs) / len(xs)
+        assert abs(r.density - want) < 5e-11 * peak
+
+
 def test_density_of_a_constant_a_single_and_no_value(spark):
     assert aggregates.density(column(spark, [], "DOUBLE"), "x", 5).collect() == []
     for values in ([2.0], [2.0, 2.0, None]):
