@@ -39,19 +39,20 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     them per hash is combined before the shuffle, so a line of every document is
     one row per task.  The frequent ones go back to the documents that hold
     them, and only then are texts shuffled, once, to meet their list; the planner
-    may broadcast the lists instead where they are small.  In the document the
+    may broadcast the lists instead where they are small.  A document is known by its id and a hash of
+    its text, so rows without an id, or with one id, spread out.  In the document the
     lines are taken in order of position.  With ``per_text`` copies of one whole text
     count as one document: those of the lines that many rows hold are counted again by text.
     """
     usable = F.filter(F.transform(lines(quoted(text_col)), key), lambda k: F.char_length(k) >= min_chars)
     hashed = written(
         df.select(
-            quoted(id_col).alias("id"), *([_hash(quoted(text_col)).alias("whole")] if per_text else []),
+            quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("tag"), *([_hash(quoted(text_col)).alias("whole")] if per_text else []),
             F.array_distinct(F.transform(usable, _hash)).alias("hashes"),
         ).where(F.size("hashes") > 0),
         "line-hashes",
     )
-    single = hashed.select("id", F.explode("hashes").alias("h"))
+    single = hashed.select("id", "tag", F.explode("hashes").alias("h"))
     frequent = (
         single.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents).select("h")
     )
@@ -61,10 +62,11 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         frequent = written(
             texts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents).select("h"),
             "frequent-in-texts")
-    doomed, mine, all_lines, left = fresh(df, "doomed", "mine", "lines", "left")
-    lists = single.join(frequent, "h").groupBy("id").agg(F.collect_set("h").alias(doomed))
-    lists = lists.withColumnRenamed("id", mine)
-    joined = df.join(lists, quoted(id_col).eqNullSafe(F.col(mine)), "left")
+    doomed, mine, my_tag, all_lines, left = fresh(df, "doomed", "mine", "tag", "lines", "left")
+    lists = single.join(frequent, "h").groupBy("id", "tag").agg(F.collect_set("h").alias(doomed))
+    lists = lists.withColumnsRenamed({"id": mine, "tag": my_tag})
+    same = quoted(id_col).eqNullSafe(F.col(mine)) & (F.xxhash64(quoted(text_col)) == F.col(my_tag))
+    joined = df.join(lists, same, "left")
     none = F.col(doomed).isNull()
 
     def stays(line):

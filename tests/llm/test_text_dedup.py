@@ -247,3 +247,12 @@ def test_minhash_of_an_empty_table_and_of_one_row(make_docs):
 def test_minhash_stays_in_the_jvm(make_docs):
     plan = minhash.compare_edited(make_docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_an_id_have_lists_of_their_own(make_docs):
+    rows = [(None, f"common {i % 3}\nown {i}\ncommon {i % 2 + 5}") for i in range(40)] + [(7, f"common 1\nalso {i}") for i in range(12)]
+    df = make_docs(rows, {"tag": F.lit("x"), "mine": F.lit(1)})
+    got = line_dedup.dedup(df, min_documents=10)
+    assert sorted(r.kept for r in got.collect()) == sorted(
+        [f"own {i}" for i in range(40)] + [f"also {i}" for i in range(12)])
+    assert {(r.n_lines, r.n_dropped) for r in got.collect()} == {(3, 2), (2, 1)} and got.columns[:len(df.columns)] == df.columns
