@@ -8,9 +8,9 @@ parent's own base is uniform over the words seen and one that stands for all oth
 
 Words are dealt out to buckets by a hash.  All seatings of a word, in every restaurant and in the
 parent, lie in one bucket, and need of the others only the number of tables in each
-restaurant, so a sweep runs bucket by bucket with the totals of the sweep before.  In a sweep a
-customer leaves its table and is seated again given all others; dishes of more than ``moves`` customers
-move that many of them, drawn at random, in each sweep.  After ``burn`` sweeps the
+restaurant, so a sweep runs bucket by bucket with the totals of the sweep before.  In a sweep as many
+customers as a dish has, each drawn at random, leave their table one after the other and are seated again given
+all others; runs of moves that change no seating are skipped by one draw of their length.  After ``burn`` sweeps the
 seatings of each further sweep are a sample, and a word's probability is the mean over the samples.
 
 Texts are read in slices of bounded bytes; a slice sends one packed row to each bucket that has
@@ -43,7 +43,8 @@ from quarrymill.llm.common import quoted, written
 END = b""  # no word is empty
 SLICE_BYTES, BUCKET_BYTES, FEWEST_BUCKETS = 8 << 20, 64 << 20, 64
 SLICES_PER_TASK = 512  # of one bucket; more are dealt to several tasks
-DENSE = 1 << 21  # table sizes handled at once
+DENSE = 1 << 19  # table sizes handled at once
+AT_ONCE = 16  # customers that come or go one by one; more do so in bulk, before the moves
 HELD_IN_MEMORY = 1 << 22  # counts gathered before they are added up
 MODEL, INFO, TOKENS = 0, 1, 2
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -63,12 +64,12 @@ _SCORED = pa.schema([
 @dataclass(frozen=True)
 class Settings:
     """``contexts`` restaurants, ``sweeps`` of which the first ``burn`` are not samples, ``moves``
-    per dish and sweep, the strengths of a restaurant and of the parent, and the seed."""
+    per dish and sweep (``None``: as many as it has customers), the strengths of a restaurant and of the parent, and the seed."""
 
     contexts: int = 1 << 16
     sweeps: int = 4
     burn: int = 2
-    moves: int = 16
+    moves: int | None = None
     strength: float = 1.0
     parent_strength: float = 10.0
     seed: int = 42
@@ -245,11 +246,11 @@ def _gathered(totals: DataFrame, contexts: int) -> tuple[np.ndarray, np.ndarray]
 
 # --- seating -----------------------------------------------------------------
 
-def split_evenly(customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Sizes of the tables of each dish, in a row."""
-    each, rest = customers // tables, customers % tables
-    place = np.arange(int(tables.sum())) - np.repeat(np.cumsum(tables) - tables, tables)
-    return np.repeat(each, tables) + (place < np.repeat(rest, tables))
+def one_large(customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """Sizes of the tables of each dish, in a row: the first table holds all but one customer for each other table."""
+    sizes = np.ones(int(tables.sum()), np.int64)
+    sizes[np.cumsum(tables) - tables] = customers - tables + 1
+    return sizes
 
 
 def _in_bulk(sizes: np.ndarray, change: int, weight: float, discount: float, rng) -> np.ndarray:
@@ -263,66 +264,123 @@ def _in_bulk(sizes: np.ndarray, change: int, weight: float, discount: float, rng
 
 
 def reseat(sizes: np.ndarray, tables: np.ndarray, target: np.ndarray, weight: np.ndarray, discount: float,
-           moves: int, rng) -> tuple[np.ndarray, np.ndarray]:
+           moves: int | None, rng) -> tuple[np.ndarray, np.ndarray]:
     """One sweep over many dishes: ``(sizes, tables)`` after it.
 
     ``sizes`` are the tables of all dishes in a row, ``tables`` their number per dish, and
-    ``weight`` that of a new table.  Customers come or go until a dish has ``target`` of them; then up to ``moves``
-    customers, each drawn at random, leave their table and choose one given all others: a
-    table with its size less the discount, a new one with its weight.
+    ``weight`` that of a new table.  Customers come or go until a dish has ``target`` of them; then as many
+    customers as the dish has, or ``moves`` if that is fewer, each drawn at random, leave their table and choose
+    one given all others: a table with its size less the discount, a new one with its weight.  Moves that lead
+    back to the same seating are counted and not carried out.
     """
+    if not len(tables):
+        return sizes, tables
     starts = np.cumsum(tables) - tables
-    have = np.add.reduceat(sizes, starts) if len(tables) else np.zeros(0, np.int64)
+    have = np.add.reduceat(sizes, starts)
     change = target - have
-    large = np.flatnonzero(np.abs(change) > moves)
+    large = np.flatnonzero(np.abs(change) > AT_ONCE)
     if len(large):
         parts = np.split(sizes, starts[1:])
         for i in large:
             parts[i] = _in_bulk(parts[i], int(change[i]), float(weight[i]), discount, rng)
         sizes, tables = np.concatenate(parts), np.array([len(p) for p in parts])
-        starts, have, change = np.cumsum(tables) - tables, np.where(np.abs(change) > moves, target, have), change.copy()
+        change = change.copy()
         change[large] = 0
-    gap = np.abs(change)
-    steps = gap + np.minimum(target, moves)
-    width = np.ceil(np.log2(tables + steps)).astype(np.int64)
+    left = np.asarray(target if moves is None else np.minimum(target, moves)).astype(np.float64)
+    who, now, count = np.arange(len(tables)), sizes, tables
     owners, kept = [], []
-    for g in np.unique(width):
-        who = np.flatnonzero(width == g)
-        who = who[np.argsort(-steps[who], kind="stable")]
-        for at in range(0, len(who), max(1, DENSE >> g)):
-            some = who[at:at + max(1, DENSE >> g)]
-            dense = np.zeros((len(some), 1 << g), np.int64)
-            t = tables[some]
-            row = np.repeat(np.arange(len(some)), t)
-            column = np.arange(len(row)) - np.repeat(np.cumsum(t) - t, t)
-            dense[row, column] = sizes[np.repeat(starts[some], t) + column]
-            _steps(dense, have[some].astype(np.float64), change[some], gap[some], steps[some], weight[some], discount, rng)
-            row, column = np.nonzero(dense)
-            owners.append(some[row])
-            kept.append(dense[row, column])
-    if not owners:
-        return sizes, tables
+    while len(who):
+        starts = np.cumsum(count) - count
+        width = np.ceil(np.log2(count + np.maximum(change[who], 0) + 2)).astype(np.int64)
+        wider = []
+        for g in np.unique(width):
+            mine = np.flatnonzero(width == g)
+            for at in range(0, len(mine), max(1, DENSE >> g)):
+                some = mine[at:at + max(1, DENSE >> g)]
+                dense = np.zeros((len(some), 1 << g))
+                t, ids = count[some], who[some]
+                row = np.repeat(np.arange(len(some)), t)
+                column = np.arange(len(row)) - np.repeat(np.cumsum(t) - t, t)
+                dense[row, column] = now[np.repeat(starts[some], t) + column]
+                _come_and_go(dense, change[ids], weight[ids], discount, rng)
+                left[ids], full = _move(dense, left[ids], weight[ids], discount, rng)
+                row, column = np.nonzero(dense)
+                for to, there in ((wider, full[row]), ((owners, kept), ~full[row])):
+                    found = ids[row[there]], dense[row[there], column[there]].astype(np.int64)
+                    if to is wider:
+                        wider.append(found)
+                    else:
+                        owners.append(found[0])
+                        kept.append(found[1])
+        change = np.zeros_like(change)
+        owner, now = (np.concatenate(x) for x in zip(*wider))
+        who, count = np.unique(owner, return_counts=True)
+        now = now[np.argsort(owner, kind="stable")]
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     return np.concatenate(kept)[order], np.bincount(owner, minlength=len(tables))
 
 
-def _steps(dense, have, change, gap, steps, weight, discount, rng) -> None:
-    """Seat customers of many dishes side by side; rows with the most steps come first."""
-    for step in range(int(steps[0]) if len(steps) else 0):
-        k = int(np.searchsorted(-steps, -step, side="left"))
-        now, rows = dense[:k], np.arange(k)
-        both = step >= gap[:k]
-        leaves, comes = both | (change[:k] < 0), both | (change[:k] > 0)
-        drawn = rng.random(k) * have[:k]
-        table = np.minimum((now.cumsum(1) <= drawn[:, None]).sum(1), now.shape[1] - 1)
-        now[rows[leaves], table[leaves]] -= 1
-        chance = np.where(now > 0, now - discount, 0.0).cumsum(1)
-        drawn = rng.random(k) * (chance[:, -1] + weight[:k])
-        table = (chance <= drawn[:, None]).sum(1)
-        table = np.where(drawn >= chance[:, -1], (now == 0).argmax(1), np.minimum(table, now.shape[1] - 1))
-        now[rows[comes], table[comes]] += 1
-        have[:k] += comes.astype(np.int64) - leaves
+def _come_and_go(dense, change, weight, discount, rng) -> None:
+    """Few customers come to or leave each dish, one after the other."""
+    for step in range(int(np.abs(change).max(initial=0))):
+        rows = np.flatnonzero(change < -step)
+        if len(rows):
+            now = dense[rows].cumsum(1)
+            table = (now <= (rng.random(len(rows)) * now[:, -1])[:, None]).sum(1)
+            dense[rows, np.minimum(table, dense.shape[1] - 1)] -= 1
+        rows = np.flatnonzero(change > step)
+        if len(rows):
+            now = dense[rows]
+            chance = np.where(now > 0, now - discount, 0.0).cumsum(1)
+            drawn = rng.random(len(rows)) * (chance[:, -1] + weight[rows])
+            table = (chance <= drawn[:, None]).sum(1)
+            table = np.where(drawn >= chance[:, -1], (now == 0).argmax(1), np.minimum(table, dense.shape[1] - 1))
+            dense[rows, table] += 1
+
+
+def _move(dense, left, weight, discount, rng) -> tuple[np.ndarray, np.ndarray]:
+    """``left`` moves in each dish: how many are left, and which dishes have no place for one more table.
+
+    While moves change nothing their chances stay the same, so how many there are until one does is a
+    geometric draw; only that one is carried out.  Where most customers share a table that skips most moves.
+    """
+    left, full = left.copy(), np.zeros(len(dense), bool)
+    at = np.flatnonzero(left > 0)
+    now, w = dense[at], weight[at][:, None]
+    n = now.sum(1, keepdims=True)
+    while len(at):
+        taken = now > 0
+        t = taken.sum(1, keepdims=True)
+        alone = now == 1
+        # a single customer's table goes with it and then is as good as a new one
+        stay = np.where(alone, w, now - 1 - discount) / np.where(taken, n - 1 - discount * (t - alone) + w, 1.0)
+        leave = np.where(taken, now / n * (1 - stay), 0.0).cumsum(1)
+        some = leave[:, -1]
+        with np.errstate(divide="ignore"):
+            wait = np.where(some > 1e-15, np.ceil(np.log1p(-rng.random(len(at))) / np.log1p(-np.clip(some, 1e-15, 1.0))), np.inf)
+        wait = np.maximum(wait, 1.0)
+        full[at] = t[:, 0] == now.shape[1]
+        goes = (wait <= left[at]) & ~full[at]
+        left[at[~goes & ~full[at]]] = 0
+        if not goes.all():
+            dense[at[~goes]] = now[~goes]
+            at, now, w, n, leave, some, wait = (x[goes] for x in (at, now, w, n, leave, some, wait))
+        rows = np.arange(len(at))
+        if not len(at):
+            break
+        left[at] -= wait
+        source = np.minimum((leave <= (rng.random(len(at)) * some)[:, None]).sum(1), now.shape[1] - 1)
+        chance = np.where(now > 0, now - discount, 0.0)
+        chance[rows, source] = 0.0
+        chance = chance.cumsum(1)
+        new = np.where(now[rows, source] == 1, 0.0, w[:, 0])
+        drawn = rng.random(len(at)) * (chance[:, -1] + new)
+        table = np.minimum((chance <= drawn[:, None]).sum(1), now.shape[1] - 1)
+        table = np.where((drawn >= chance[:, -1]) & (new > 0), (now == 0).argmax(1), table)
+        now[rows, source] -= 1
+        now[rows, table] += 1
+    return left, full
 
 
 @dataclass(frozen=True)
@@ -364,8 +422,8 @@ def _swept(batches, contexts: int, sweep: int, totals: Totals, settings: Setting
                 customers = np.bincount(np.repeat(np.arange(len(per)), per), minlength=len(per))
                 parent = parent_probability(customers, np.minimum(customers, 1), totals, settings)
                 weight = (settings.strength + totals.discount * totals.tables[context]) * parent[word]
-                tables = np.where(n > settings.moves, np.clip(np.rint(weight * np.log1p(n / weight)), 1, n), 1).astype(np.int64)
-                sizes = split_evenly(n, tables)
+                tables = np.clip(np.rint(weight * np.log1p(n / weight)), 1, n).astype(np.int64)
+                sizes = one_large(n, tables)
                 p_tables = np.ones(len(per), np.int64)
                 p_sizes = customers.astype(np.int64)
             else:

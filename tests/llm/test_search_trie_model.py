@@ -223,6 +223,27 @@ def test_customers_come_and_go():
     assert np.add.reduceat(sizes, starts).tolist() == want.tolist() and (sizes > 0).all()
 
 
+def seating_shares(n, d, a):
+    """Exact shares of the numbers of tables of ``n`` customers when a new table always weighs ``a``."""
+    ways = {1: 1.0}
+    for i in range(1, n):
+        ways = {t: ways.get(t - 1, 0.0) * a + ways.get(t, 0.0) * (i - t * d) for t in range(1, i + 2)}
+    return {t: x / sum(ways.values()) for t, x in ways.items()}
+
+
+def test_a_sweep_moves_every_customer_of_a_large_dish():
+    """Dishes of 60 that start at one table come to the exact shares of 1, 2, ... tables by whole sweeps."""
+    assert hpy_model.Settings().moves is None
+    rng = np.random.default_rng(5)
+    n, d, a = 3_000, 0.4, 2.0
+    sizes, tables = np.full(n, 60), np.ones(n, np.int64)
+    for _ in range(30):
+        sizes, tables = hpy_model.reseat(sizes, tables, np.full(n, 60), np.full(n, a), d, hpy_model.Settings().moves, rng)
+    assert np.add.reduceat(sizes, np.cumsum(tables) - tables).tolist() == [60] * n
+    for t, share in seating_shares(60, d, a).items():
+        assert abs((tables == t).mean() - share) < 0.03
+
+
 def test_model_of_nothing(make_docs):
     _, got = scored(make_docs([]))
     assert got.count() == 0
