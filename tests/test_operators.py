@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -385,6 +386,29 @@ def test_permutation_statistics(spark, rows_per_chunk):
     assert got.p_value == sum(count(v) >= count(values) for v in orders.values()) / 6
 
 
+def test_orders_travel_in_few_bytes():
+    """Places and values of 200,000 rows: under three bytes a row and order, where a place alone has four."""
+    rng = np.random.default_rng(2)
+    keys, codes = rng.permutation(400_000)[:200_000], rng.integers(-2**62, 2**62, 5)[rng.integers(0, 5, 200_000)]
+    block = permute._blocks([pa.RecordBatch.from_arrays([pa.array(keys), pa.array(codes)], names=["key", "code"])], 1)
+    rows = [r for b in permute._pack(block, replicates=4, parts=1, seed=2, chunks=3) for r in b.to_pylist()]
+    assert sum(r["n"] for r in rows) == 800_000 and {(r["rep"], r["chunk"]) for r in rows} == {(r, c) for r in range(1, 5) for c in range(3)}
+    assert sum(len(r["places"]) + len(r["codes"]) + len(r["values"]) for r in rows) < 3 * 800_000
+
+
+@pytest.mark.parametrize("rows_per_block", [8_000_000, 90])
+def test_orders_of_many_values_and_equal_keys(spark, monkeypatch, rows_per_block):
+    monkeypatch.setattr(permute, "ROWS_PER_BLOCK", rows_per_block)
+    rng = random.Random(8)
+    rows = [(i // 2, rng.randrange(2) if i < 300 else i) for i in range(600)] + [(None, 5)]
+    df = spark.createDataFrame(rows, "i long, x long")
+    of = {r.x: r.h for r in df.select("x", F.xxhash64("x").alias("h")).collect()}
+    keys = np.array([i or 0 for i, _ in rows])
+    for r in permute.simulated_runs(df, "i", "x", 2, 3, seed=2, rows_per_chunk=50).collect():
+        seq = [x for _, x in sorted(zip(permute.draws(keys, r.rep, 2).tolist(), (of[x] for _, x in rows)))]
+        assert r.long_runs == sum(len(list(g)) >= 2 for _, g in itertools.groupby(seq))
+
+
 def test_draws_are_spread_evenly():
     place = permute.draws(np.arange(4_000), 3, 11) / 2**32
     assert np.abs(np.histogram(place, 10, (0, 1))[0] - 400).max() < 90
