@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,10 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances, as exact as doubles allow for the sizes met here."""
-    return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
+    d = a @ (-2.0 * b).T
+    d += (a * a).sum(1)[:, None]
+    d += (b * b).sum(1)[None, :]
+    return np.maximum(d, 0.0, out=d)
 
 
 def _centres(train: DataFrame, ident: str, vector: str, cells: int) -> np.ndarray:
@@ -57,33 +62,70 @@ def cells_in_reach(vector: Column, bound: Column, own: Column, centres: np.ndarr
     return reach(vector, bound, own)
 
 
+def _vectors(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    values = pa.concat_arrays([c.flatten() for c in column.chunks])
+    lengths = np.unique(np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in column.chunks]))
+    if len(lengths) != 1 or column.null_count:
+        raise ValueError("all vectors must have one length")
+    return values.to_numpy(zero_copy_only=False).astype("f8").reshape(len(column), -1)
+
+
+def _kth(d: np.ndarray, k: int) -> np.ndarray:
+    """The k-th smallest number of each row, infinite where there are fewer."""
+    if d.shape[1] < k:
+        return np.full(len(d), np.inf)
+    found = np.partition(d, k - 1, axis=1)[:, k - 1]
+    return np.where(np.isnan(found), np.inf, found)
+
+
+def _block_best(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
+    """For each row of ``right`` those of ``left`` that may be among its k nearest, k at most.
+
+    A row that knows its bound takes what lies within it, so nothing is sorted but the few rows that do.
+    """
+    left = left.sort_by("id") if left.num_rows else left  # equal distances then fall by id
+    n = right.num_rows if left.num_rows else 0
+    rows, columns, distances = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    if n:
+        a, b = _vectors(right["vec"]), _vectors(left["vec"])
+        same = [(right[c].to_numpy(), left[c].to_numpy()) for c in ("id", "apart") if c in left.column_names]
+        bound = right["bound"].to_numpy().astype("f8") if "bound" in right.column_names else np.full(n, np.nan)
+    for start in range(0, n, SLICE_ROWS):  # bounds the distance matrix
+        piece = slice(start, start + SLICE_ROWS)
+        d, limit = _distances(a[piece], b), bound[piece].copy()
+        open_ = np.flatnonzero(np.isnan(limit))
+        if len(open_):
+            free = d[open_]
+            for mine, theirs in same:
+                free[mine[piece][open_][:, None] == theirs[None, :]] = np.inf
+            limit[open_] = _kth(free, k)
+        row, column = np.nonzero(d <= limit[:, None] + SLACK)
+        near = np.round(d[row, column], 9)
+        keep = np.isfinite(near)
+        for mine, theirs in same:  # a row is no neighbour of itself
+            keep &= mine[piece][row] != theirs[column]
+        row, column, near = row[keep], column[keep], near[keep]
+        order = np.lexsort((column, near, row))
+        row, column, near = row[order], column[order], near[order]
+        first = np.searchsorted(row, row)
+        keep = np.arange(len(row)) - first < k
+        rows.append(row[keep] + start)
+        columns.append(column[keep])
+        distances.append(near[keep])
+    rows, columns = np.concatenate(rows), np.concatenate(columns)
+    return pa.table({"query": right["id"].take(rows), "neighbour": left["id"].take(columns),
+                     "label": left["label"].take(columns), "distance2": np.concatenate(distances)})
+
+
 def _search(train: DataFrame, visits: DataFrame, k: int, kinds: dict) -> DataFrame:
-    """The k best of each visited block: ``train`` by (cell, block), ``visits`` by (cell, block, part)."""
-    def block_best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query": [], "neighbour": [], "label": [], "distance2": []})
-        left = left.sort_values("id", ignore_index=True)  # equal distances then fall by id
-        ids, labels, b = left["id"].to_numpy(), left["label"].to_numpy(), _matrix(left["vec"])
-        parts = []
-        for start in range(0, len(right), SLICE_ROWS):  # bounds the distance matrix
-            piece = right.iloc[start: start + SLICE_ROWS]
-            qids = piece["id"].to_numpy()
-            d = np.round(_distances(_matrix(piece["vec"]), b), 9)
-            d[qids[:, None] == ids[None, :]] = np.inf  # a row is no neighbour of itself
-            if "apart" in left:
-                d[piece["apart"].to_numpy()[:, None] == left["apart"].to_numpy()[None, :]] = np.inf
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(qids)), best.shape[1])
-            parts.append(pd.DataFrame({
-                "query": qids[rows], "neighbour": ids[best.ravel()],
-                "label": labels[best.ravel()], "distance2": d[rows, best.ravel()],
-            }))
-        out = pd.concat(parts)
-        return out[np.isfinite(out["distance2"])]
+    """What each visited block offers: ``train`` by (cell, block, part), ``visits`` by (cell, block, part)."""
+    def block_best(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _block_best(left, right, k)
 
     schema = f"query {kinds['id']}, neighbour {kinds['id']}, label {kinds['label']}, distance2 double"
     keys = ["cell", "block", "part"]
-    return train.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(block_best, schema)
+    return train.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(block_best, schema)
 
 
 def nearest(
@@ -98,7 +140,7 @@ def nearest(
     cell; its k-th distance there bounds what a better row can be, so it then visits
     only the cells that reach within that distance.  A cell is cut in blocks of
     ``block_rows`` rows, and its visitors in parts; a block and a part meet in one
-    matrix product that returns k rows per query.  The answer is exact whatever the
+    matrix product that returns the rows within the query's bound, k at most, or k where it has none.  The answer is exact whatever the
     cells are; how many are passed over depends on how clustered the rows
     are.  Distances are squared and compared to nine places, equal ones by id.
     """
@@ -121,13 +163,14 @@ def nearest(
         F.array(*[F.lit(-(-sizes.get(c, 0) // block_rows) or 1) for c in range(cells)]), F.col("cell") + 1)
 
     def search(visits: DataFrame) -> DataFrame:
-        visitors = written(visits, "knn-visits")
-        counts = {r["cell"]: r["count"] for r in visitors.groupBy("cell").count().collect()}
+        visitors = written(visits, "knn-visits")  # one row per query with the cells that it visits
+        one = F.explode("cells").alias("cell")
+        counts = {r["cell"]: r["count"] for r in visitors.select(one).groupBy("cell").count().collect()}
         parts = F.element_at(
             F.array(*[F.lit(-(-counts.get(c, 0) // block_rows) or 1) for c in range(cells)]), F.col("cell") + 1)
         every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
         left = t.withColumn("block", F.pmod(F.hash("id"), blocks)).withColumn("part", every(parts))
-        right = visitors.withColumn("part", F.pmod(F.hash("id"), parts)).withColumn("block", every(blocks))
+        right = visitors.select("*", one).drop("cells").withColumn("part", F.pmod(F.hash("id"), parts)).withColumn("block", every(blocks))
         return _search(left.select("cell", "block", "part", "id", "vec", "label", *kept), right, k, kinds)
 
     ranked = Window.partitionBy("query").orderBy("distance2", "neighbour")
@@ -135,10 +178,10 @@ def nearest(
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= k)
 
-    home = written(best(search(q)), "knn-home")
+    home = written(best(search(q.select("id", "vec", *kept, F.array("cell").alias("cells")))), "knn-home")
     bounds = home.where(F.col("place") == k).select(F.col("query").alias("id"), F.col("distance2").alias("bound"))
     reach = cells_in_reach(F.col("vec"), F.col("bound"), F.col("cell"), centres, radius)
-    away = q.join(bounds, "id", "left").withColumn("visit", F.explode(reach)).select("id", "vec", *kept, F.col("visit").alias("cell"))
+    away = q.join(bounds, "id", "left").select("id", "vec", *kept, "bound", reach.alias("cells"))
     return best(home.drop("place").union(search(away)))
 
 

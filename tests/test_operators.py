@@ -386,6 +386,23 @@ def test_permutation_statistics(spark, rows_per_chunk):
     assert got.p_value == sum(count(v) >= count(values) for v in orders.values()) / 6
 
 
+def test_a_visit_brings_back_only_what_lies_within_the_bound():
+    """A query that knows its k-th distance gets no rows beyond it; one that does not gets k."""
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(700, 4))
+    table = lambda ids, v, **more: pa.table({"id": ids, "vec": pa.array(list(v), pa.list_(pa.float64())), **more})
+    left = table(np.arange(700), rows, label=np.arange(700) % 3)
+    d = ((rows[:600, None] - rows[None]) ** 2).sum(2)
+    d[np.arange(600), np.arange(600)] = np.inf
+    bound = np.where(np.arange(600) % 2 == 0, np.sort(d, axis=1)[:, 1], np.nan)
+    got = neighbours._block_best(left, table(np.arange(600), rows[:600], bound=pa.array(bound, from_pandas=True)), 5).to_pylist()
+    found = {}
+    for r in got:
+        found.setdefault(r["query"], []).append(r["neighbour"])
+    for i in range(600):
+        assert found[i] == np.argsort(d[i], kind="stable")[:2 if i % 2 == 0 else 5].tolist()
+
+
 def test_orders_travel_in_few_bytes():
     """Places and values of 200,000 rows: under three bytes a row and order, where a place alone has four."""
     rng = np.random.default_rng(2)
