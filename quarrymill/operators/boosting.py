@@ -5,7 +5,8 @@ gets a tree; all of them grow level by level together.  A level is one aggregate
 and hessians summed per (class, node, feature, bin), combined before the shuffle, so
 what is shuffled depends on bins and not on rows.  Cumulated over the bins they give the gain
 of every split, and the best split of each node, a bounded table, goes to the driver.  Rows never do; their new
-scores are written once per round.
+scores are written once per round.  Where rows are of few kinds, those that agree in label and bins are one row from the start,
+with the number of them that each round draws.
 """
 
 from __future__ import annotations
@@ -71,6 +72,18 @@ def binned(value: Column, limits: list[float]) -> Column:
     return F.when(value.isNull(), 0).otherwise(F.size(F.filter(listed, lambda x: x < value.cast("double"))))
 
 
+def alike(rows: DataFrame, *columns: str) -> bool:
+    """Whether there are at least four times as many rows as kinds of them in ``columns``, by estimate."""
+    n, kinds = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64(*columns))).first()
+    return n >= 4 * kinds
+
+
+def _drawn(row: Column, s: Settings, number: int) -> Column:
+    """Whether a round draws a row."""
+    unit = F.pmod(F.xxhash64(F.lit(s.seed), F.lit(number), row), F.lit(1 << 30)) / float(1 << 30)
+    return (unit < s.rows).cast("bigint") if s.rows < 1 else F.lit(1).cast("bigint")
+
+
 def _leaf_of(tree: Tree, bins: Column, depth: int) -> Column:
     """The node where a row ends, by walking down ``depth`` levels."""
     features, cuts = (F.array(*[F.lit(int(x)) for x in xs]) for xs in (tree.feature, tree.cut))
@@ -90,22 +103,20 @@ def _probabilities(scores: Column) -> Column:
 
 
 def _grown(rows: DataFrame, classes: int, n_features: int, s: Settings, number: int) -> list[Tree]:
-    """One tree per class on the rows' probabilities ``p``."""
+    """One tree per class on the rows' probabilities ``p``; a row counts ``times`` times."""
     size = 2 ** (s.depth + 1) - 1
     trees = [Tree([-1] * size, [0] * size, [0.0] * size) for _ in range(classes)]
     draw = random.Random(f"{s.seed}-{number}")
     keep = max(1, round(s.columns * n_features))
     columns = [sorted(draw.sample(range(n_features), keep)) for _ in range(classes)]
     allowed = F.array(*[F.array(*[F.lit(f in c) for f in range(n_features)]) for c in columns])
-    if s.rows < 1:
-        unit = F.pmod(F.xxhash64(F.lit(s.seed), F.lit(number), "row"), F.lit(1 << 30)) / float(1 << 30)
-        rows = rows.where(unit < s.rows)
+    rows = rows.where("times > 0")
     open_nodes = {(k, 0) for k in range(classes)}
     for level in range(s.depth):
         at = F.array(*[_leaf_of(t, F.col("bins"), level) for t in trees])
-        each = rows.select("bins", "label", F.posexplode(F.arrays_zip(F.col("p"), at.alias("at"))).alias("class", "one"))
-        hessian = F.col("one.p") * (1 - F.col("one.p"))
-        gradient = F.col("one.p") - (F.col("label") == F.col("class")).cast("double")
+        each = rows.select("bins", "label", "times", F.posexplode(F.arrays_zip(F.col("p"), at.alias("at"))).alias("class", "one"))
+        hessian = F.col("one.p") * (1 - F.col("one.p")) * F.col("times")
+        gradient = (F.col("one.p") - (F.col("label") == F.col("class")).cast("double")) * F.col("times")
         laid = each.where(F.col("one.at") >= 2 ** level - 1).select(
             "class", F.col("one.at").alias("node"), gradient.alias("g"), hessian.alias("h"), F.posexplode("bins").alias("feature", "bin"))
         laid = laid.where(F.get(F.get(allowed, F.col("class")), F.col("feature")))
@@ -157,11 +168,17 @@ def fit_boosted_classes(df: DataFrame, ident: str, features: list[str], label: s
     model = Boosted(classes, cuts, settings)
     rows = df.where(F.col(label).isNotNull()).select(
         F.col(ident).alias("row"), F.col(label).cast("int").alias("label"),
-        F.array(*[binned(F.col(f), c) for f, c in zip(features, cuts)]).alias("bins"),
-        F.array(*[F.lit(0.0)] * classes).alias("scores"))
-    rows = written(rows, "boosted-rows")
+        F.array(*[binned(F.col(f), c) for f, c in zip(features, cuts)]).alias("bins"))
+    rows = written(rows, "boosted-bins")
+    times = lambda number: _drawn(F.col("row"), settings, number)
+    if alike(rows, "label", "bins"):
+        each = [F.sum(times(number)) for number in range(settings.rounds)]
+        rows = rows.groupBy("label", "bins").agg(F.array(*each).alias("row"))
+        times = lambda number: F.get("row", F.lit(number))
+    rows = written(rows.withColumn("scores", F.array(*[F.lit(0.0)] * classes)), "boosted-rows")
     for number in range(settings.rounds):
-        trees = _grown(rows.withColumn("p", _probabilities(F.col("scores"))), classes, len(features), settings, number)
+        ready = rows.withColumns({"p": _probabilities(F.col("scores")), "times": times(number)})
+        trees = _grown(ready, classes, len(features), settings, number)
         model.trees.append(trees)
         if number + 1 < settings.rounds:
             rows = written(rows.withColumn("scores", _raised(F.col("scores"), F.col("bins"), trees, settings.depth)), "boosted-rows")
