@@ -1,7 +1,8 @@
 """Bags of trees: every tree has its own weighted rows and its own share of the features.
 
 A row's weight in a tree is a Poisson draw from a hash of the row's key and the tree, which is what drawing rows with
-replacement comes to when rows are many; nothing is copied and a fit repeats on any partitioning.  All
+replacement comes to when rows are many; nothing is copied and a fit repeats on any partitioning.  Rows of one tree that
+agree in their bins and target are one row with their summed weights, before the shuffle already, where there are few kinds.  All
 trees grow together, level by level.  A level is one aggregate: weights and weighted targets
 summed per (tree, node, feature, bin), combined before the shuffle, so what is shuffled depends on trees,
 nodes and bins and not on rows.  The best split of each node, a bounded table, goes to the driver; rows never do.
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.operators.boosting import bin_limits, binned
+from quarrymill.operators.boosting import alike, bin_limits, binned
 from quarrymill.session import written
 
 
@@ -82,31 +83,35 @@ def _bins(features: list[str], limits: list[list[float]]) -> Column:
     return F.array(*[F.when(F.col(f).isNull(), -1).otherwise(binned(F.col(f), c)) for f, c in zip(features, limits)])
 
 
-def weights(row: Column, settings: Bag) -> Column:
-    """A row's weight in every tree."""
-    limits = _numbers(_poisson_limits(settings.rows), "double")
+def weight(row: Column, tree: Column, settings: Bag) -> Column:
+    """A row's weight in a tree."""
+    unit = F.pmod(F.xxhash64(F.lit(settings.seed), tree, row), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return sum((F.lit(x) <= unit).cast("int") for x in _poisson_limits(settings.rows))
 
-    def draw(tree: Column) -> Column:
-        unit = F.pmod(F.xxhash64(F.lit(settings.seed), tree, row), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        return F.size(F.filter(limits, lambda x: x <= unit))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(settings.trees - 1)), draw)
+def weights(row: Column, settings: Bag) -> Column:
+    """A row's weight in every tree."""
+    return F.transform(F.sequence(F.lit(0), F.lit(settings.trees - 1)), lambda tree: weight(row, tree, settings))
 
 
-def _nodes(model: Bagged, bins: Column, depth: int) -> Column:
-    """Where a row ends in every tree after ``depth`` steps."""
+def _node(model: Bagged, tree: Column, bins: Column, depth: int) -> Column:
+    """Where a row ends in a tree after ``depth`` steps."""
     features, cuts = _numbers(model.feature, "int"), _numbers(model.cut, "int")
 
-    def walk(tree: Column) -> Column:
-        def step(node: Column, _: Column) -> Column:
-            place = tree * model.size + node
-            at = F.get(features, place)
-            right = F.get(bins, at) > F.get(cuts, place)
-            return F.when(at < 0, node).otherwise(2 * node + 1 + right.cast("int"))
+    def step(node: Column, _: Column) -> Column:
+        place = tree * model.size + node
+        at = F.get(features, place)
+        right = F.get(bins, at) > F.get(cuts, place)
+        return F.when(at < 0, node).otherwise(2 * node + 1 + right.cast("int"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0)
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(model.settings.trees - 1)), walk)
+def _nodes(model: Bagged, bins: Column, depth: int) -> Column:
+    """Where a row ends in every tree after ``depth`` steps; ``bins`` is a variable there, else it could run again at each step."""
+    trees = F.sequence(F.lit(0), F.lit(model.settings.trees - 1))
+    found = F.transform(F.array(bins), lambda b: F.transform(trees, lambda tree: _node(model, tree, b, depth)))
+    return F.get(found, F.lit(0))
 
 
 def _level(model: Bagged, rows: DataFrame, level: int) -> int:
@@ -114,12 +119,10 @@ def _level(model: Bagged, rows: DataFrame, level: int) -> int:
     s, ks = model.settings, range(model.targets)
     keep = len(model.columns[0])
     chosen = _numbers([f for columns in model.columns for f in columns], "int")
-    each = rows.select("bins", "targets", F.posexplode(
-        F.arrays_zip(F.col("weights").alias("w"), _nodes(model, F.col("bins"), level).alias("at"))).alias("tree", "one"))
-    each = each.where((F.col("one.w") > 0) & (F.col("one.at") >= 2 ** level - 1))
+    each = rows.withColumn("at", _node(model, F.col("tree"), F.col("bins"), level)).where(F.col("at") >= 2 ** level - 1)
     seen = F.transform(F.slice(chosen, F.col("tree") * keep + 1, F.lit(keep)),
                        lambda f: F.struct(f.alias("feature"), F.get("bins", f).alias("bin")))
-    laid = each.select("tree", F.col("one.at").alias("node"), F.col("one.w").cast("double").alias("w"), "targets",
+    laid = each.select("tree", F.col("at").alias("node"), F.col("w").cast("double").alias("w"), "targets",
                        F.explode(seen).alias("seen")).select("tree", "node", "w", "targets", "seen.*")
     table = laid.groupBy("tree", "node", "feature", "bin").agg(
         F.sum("w").alias("w"), *[F.sum(F.col("w") * F.get("targets", F.lit(k))).alias(f"s{k}") for k in ks])
@@ -173,9 +176,13 @@ def fit_bag(df: DataFrame, ident: str, features: list[str], label: str, classes:
     model = Bagged(settings, limits, targets, columns, [-1] * size, [0] * size, [0.0] * size * targets)
     y = F.col(label).cast("double")
     wanted = F.array(y) if classes is None else F.array(*[(y == k).cast("double") for k in range(classes)])
-    rows = written(rows.select(
-        wanted.alias("targets"), weights(F.col(ident), settings).alias("weights"),
-        _bins(features, limits).alias("bins")), "bagged-rows")
+    binned_rows = written(rows.select(
+        F.col(ident).alias("row"), wanted.alias("targets"), _bins(features, limits).alias("bins")), "bagged-bins")
+    drawn = binned_rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1)))).withColumn(
+        "w", weight(F.col("row"), F.col("tree"), settings)).where("w > 0")
+    rows = drawn
+    if alike(binned_rows, "bins", "targets"):
+        rows = written(drawn.groupBy("tree", "bins", "targets").agg(F.sum("w").alias("w")), "bagged-rows")
     for level in range(settings.depth):
         if not _level(model, rows, level):
             break

@@ -386,6 +386,29 @@ def test_permutation_statistics(spark, rows_per_chunk):
     assert got.p_value == sum(count(v) >= count(values) for v in orders.values()) / 6
 
 
+@pytest.mark.parametrize("machine", [bagging, boosting])
+def test_rows_of_one_kind_are_one_row_in_trees(spark, monkeypatch, machine):
+    """2,000 rows of 8 kinds: no written table of a fit but that of the bins has more than kinds times trees rows."""
+    sizes = {}
+
+    def spy(df, label, real=machine.written):
+        made = real(df, label)
+        sizes.setdefault(label, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(machine, "written", spy)
+    rows = spark.range(2_000).select("id", (F.col("id") % 8).cast("double").alias("a"), (F.col("id") % 8 > 3).cast("int").alias("y"))
+    if machine is bagging:
+        model = bagging.fit_bag(rows, "id", ["a"], "y", 2, bagging.Bag(trees=3, depth=2))
+        scored = bagging.predict_bag(model, rows, ["a"])
+        assert sizes["bagged-rows"] == [24]
+    else:
+        model = boosting.fit_boosted_classes(rows, "id", ["a"], "y", 2, boosting.Settings(rounds=3, depth=2, rows=0.9))
+        scored = boosting.predict_boosted_classes(model, rows, ["a"])
+        assert sizes["boosted-rows"] == [8, 8, 8]
+    assert scored.where("prediction <> y").isEmpty()
+
+
 def test_a_visit_brings_back_only_what_lies_within_the_bound():
     """A query that knows its k-th distance gets no rows beyond it; one that does not gets k."""
     rng = np.random.default_rng(3)
