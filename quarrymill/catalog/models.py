@@ -40,7 +40,7 @@ def _steps(t, classes: int = 4):
 
 
 def _unseen(estimator, rows):
-    return estimator.fit(rows.where("is_train")).transform(rows.where("NOT is_train"))
+    return estimator.fit(models.spread(rows.where("is_train"))).transform(rows.where("NOT is_train"))
 
 
 def _predictions(scored):

@@ -32,6 +32,7 @@ from quarrymill.operators import resample
 from quarrymill.session import cut_lineage
 
 SEED = 17
+ROWS_PER_TASK = 100_000  # of a fit: a forest keeps each row with its weight in every tree
 MOST_NUMBERS = 1 << 25  # of a discriminant model: 256 MB on the driver
 
 
@@ -42,6 +43,15 @@ def embedding_rows(df: DataFrame, vector: str = "embedding") -> DataFrame:
     ).drop(vector)
 
 
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` in partitions of some ``ROWS_PER_TASK`` rows; a table of no more is left as it lies.
+
+    The files decide on partitions by their bytes, and few columns of a large file are very many rows.
+    """
+    parts = -(-(df.count() if rows is None else rows) // ROWS_PER_TASK)
+    return df.repartition(parts) if parts > 1 else df
+
+
 # ---- estimators ------------------------------------------------------------
 
 def decision_tree(regression: bool = False, depth: int = 5):
@@ -104,7 +114,7 @@ def fit_adaboost(df: DataFrame, classes: int, rounds: int = 5, depth: int = 1) -
     Weights live in the table and every round is checkpointed, so the plan does
     not grow with the rounds.
     """
-    rows = cut_lineage(df.select("features", "label").withColumn("weight", F.lit(1.0)))
+    rows = cut_lineage(spread(df.select("features", "label").withColumn("weight", F.lit(1.0))))
     learners = []
     for i in range(rounds):
         stump = DecisionTreeClassifier(maxDepth=depth, weightCol="weight", seed=SEED + i).fit(rows)
@@ -228,7 +238,7 @@ def cross_validate(
     all fits, so every fit reads stable rows.  Fits are independent jobs and run
     ``parallelism`` at a time, as the built-in cross validator does.
     """
-    folds = cut_lineage(resample.kfold(df, key, k, seed=SEED, strata=strata))
+    folds = cut_lineage(spread(resample.kfold(df, key, k, seed=SEED, strata=strata), df.count()))
     scorer = evaluator(metric)
 
     def score(task):
@@ -255,7 +265,7 @@ def tune(
         builder = builder.addGrid(estimator.getParam(name), list(values))
     points = builder.build()
     folds = cut_lineage(
-        resample.kfold(df, key, k, seed=SEED).withColumn("fold", F.col("fold").cast("int"))
+        spread(resample.kfold(df, key, k, seed=SEED).withColumn("fold", F.col("fold").cast("int")), df.count())
     )
     fitted = CrossValidator(
         estimator=estimator, estimatorParamMaps=points, numFolds=k, foldCol="fold", parallelism=parallelism,

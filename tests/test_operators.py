@@ -386,6 +386,20 @@ def test_permutation_statistics(spark, rows_per_chunk):
     assert got.p_value == sum(count(v) >= count(values) for v in orders.values()) / 6
 
 
+def test_fits_read_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100)
+    df = spark.range(0, 1_000, 1, 1)
+    sizes = [r["count"] for r in models.spread(df).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_000 and max(sizes) <= 110
+    small = spark.range(0, 100, 1, 1)
+    assert models.spread(small) is small
+    seen = []
+    monkeypatch.setattr(models, "cut_lineage", lambda d: seen.append(d) or d)
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(df.select("id", F.col("id").alias("x"), (F.col("id") % 2).cast("double").alias("label")))
+    models.cross_validate({"tree": models.decision_tree(depth=1)}, rows, "id", 2)
+    assert max(r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()) <= 110
+
+
 @pytest.mark.parametrize("machine", [bagging, boosting])
 def test_rows_of_one_kind_are_one_row_in_trees(spark, monkeypatch, machine):
     """2,000 rows of 8 kinds: no written table of a fit but that of the bins has more than kinds times trees rows."""
