@@ -187,19 +187,48 @@ def copies_per_cell(cells: DataFrame, solved: DataFrame, goals: DataFrame, plan:
         (F.col("copies") + F.signum("rest").cast("bigint") * fits.cast("bigint")).alias("copies"))
 
 
+def _sizes(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return written(df.select(
+        quoted(id_col).alias("doc_id"), quoted(source_col).alias("source"),
+        word_count(quoted(text_col)).alias("size")), "mix-sizes")
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         plan: Plan = Plan()) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken``, one row per row of ``df``."""
-    if plan.most != 2:
-        raise ValueError("rates are bounded by two copies")
-    sized = written(df.select(
-        quoted(id_col).alias("doc_id"), quoted(source_col).alias("source"),
-        word_count(quoted(text_col)).alias("size")), "mix-sizes")
-    return mix_sized(sized, plan)
+    return mix_sized(_sizes(df, id_col, text_col, source_col), plan)
 
 
 def mix_sized(sized: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """``mix`` for a table ``doc_id, source, size``."""
+    return _copies(_numbered(sized, plan)[0]).select(
+        "doc_id", "source", "size", F.col("words").alias("source_size"), "target",
+        "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _copies(numbered: DataFrame) -> DataFrame:
+    """``numbered`` with what is taken of each row as ``copies``."""
+    return numbered.withColumn(
+        "copies", (F.col("each") + (F.col("place") <= F.col("extra")).cast("bigint")).cast("bigint"))
+
+
+def _draw(doc_id: Column) -> Column:
+    """The order of a cell's documents."""
+    return F.xxhash64(F.lit(11), doc_id)
+
+
+def _salt(doc_id: Column, salts: Column) -> Column:
+    """The part of a cell that a document is in; 0 where the cell is whole."""
+    return F.coalesce(F.pmod(F.xxhash64(F.lit(13), doc_id), salts), F.lit(0))
+
+
+def _numbered(sized: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``sized`` with their ``place`` in their cell (source, size, salt), and the cells that have salts.
+
+    All of a cell are taken ``each`` times, those up to the place ``extra`` once more.
+    """
+    if plan.most != 2:
+        raise ValueError("rates are bounded by two copies")
     goals = written(targets(sized, plan), "mix-goals")
     names = goals.select(F.col("source").alias("name"), "rank", "words", "target")
     ranked = sized.join(names, F.col("source").eqNullSafe(F.col("name")))
@@ -209,50 +238,64 @@ def mix_sized(sized: DataFrame, plan: Plan = Plan()) -> DataFrame:
     # a cell too large to be numbered in one task is dealt by hash into salts
     hot = cells.where(F.col("n") > plan.cell_rows).select(
         "rank", "size", F.ceil(F.col("n") / plan.cell_rows).alias("salts"))
-    draw = F.xxhash64(F.lit(11), "doc_id")
     salted = ranked.join(hot, ["rank", "size"], "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64(F.lit(13), "doc_id"), "salts"), F.lit(0))
-    ).withColumn("draw", draw)
+        "salt", _salt(F.col("doc_id"), F.col("salts"))).withColumn("draw", _draw(F.col("doc_id")))
     fine = cells.where(F.col("n") <= plan.cell_rows).withColumn("salt", F.lit(0).cast("bigint")).unionByName(
         salted.where("salts is not null").groupBy("rank", "size", "salt").agg(F.count("*").alias("n")))
     dealt = written(copies_per_cell(fine, solved, goals, plan), "mix-copies")
 
     place = F.row_number().over(Window.partitionBy("rank", "size", "salt").orderBy("draw", "doc_id"))
     each = F.floor(F.col("copies") / F.col("n"))
-    numbered = salted.withColumn("place", place).join(dealt, ["rank", "size", "salt"])
-    copies = (each + (F.col("place") <= F.col("copies") - each * F.col("n")).cast("bigint")).cast("bigint")
-    return numbered.select(
-        "doc_id", "source", "size", F.col("words").alias("source_size"), "target",
-        copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    numbered = salted.withColumn("place", place).join(
+        dealt.withColumn("each", each).withColumn("extra", F.col("copies") - F.col("each") * F.col("n")),
+        ["rank", "size", "salt"])
+    return numbered, hot.join(names, "rank").select(F.col("name").alias("source"), "size", "salts")
 
 
 def repeat_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 plan: Plan = Plan()) -> DataFrame:
     """Rows of ``df``, each as often as the mix takes it; all columns stay.
 
-    Rows that share an id are numbered among those of one source and size, and the
-    copies of these are dealt out one by one, so that their sum is kept.
+    What a cell takes is one row, with the last draw that is taken once more.  So texts meet
+    a table that grows with the sizes that occur and not with the documents, and where the planner
+    broadcasts it no text is shuffled.  Rows whose draw is another's, as all that share an id, are
+    numbered among those of one id, source and size, and the copies of these are dealt out one by
+    one, so that their sum is kept.
     """
-    mine, times = fresh(df, "mixed_id", "times")
-    given = written(mix(df, id_col, text_col, source_col, plan).select("doc_id", "source", "size", "copies"), "mix-given")
-    ids = given.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("copies").cast("int").alias(times))
-    once = ids.where((F.col("n") == 1) & (F.col(times) > 0)).select(F.col("doc_id").alias(mine), times)
-    joined = df.join(once, quoted(id_col).eqNullSafe(F.col(mine))).drop(mine)
-    shared = written(ids.where("n > 1").select(F.col("doc_id").alias(mine)), "mix-shared")
+    mine, source, size, draw, salts, salt, each, last, times, again, of, long, part, place, total, rows = fresh(
+        df, "mixed_id", "mixed_source", "mixed_size", "draw", "salts", "salt", "each", "last", "times", "again",
+        "of_source", "of_size", "of_salt", "place", "total", "rows")
+    sized = _sizes(df, id_col, text_col, source_col)
+    numbered, hot = _numbered(sized, plan)
+    rules = written(
+        numbered.where("copies > 0").groupBy("rank", "source", "size", "salt").agg(
+            F.max("each").cast("int").alias(each),
+            F.max(F.when(F.col("place") == F.col("extra"), F.col("draw"))).alias(last),
+        ).select(F.col("source").alias(of), F.col("size").alias(long), F.col("salt").alias(part), each, last), "mix-rules")
+    hot = written(hot.select(F.col("source").alias(source), F.col("size").alias(long), F.col("salts").alias(salts)), "mix-hot")
+    shared = written(
+        sized.groupBy(_draw(F.col("doc_id")).alias(last)).agg(F.count("*").alias("n")).where("n > 1").select(last),
+        "mix-shared")
+
+    here, columns = df.withColumns({size: word_count(quoted(text_col)), draw: _draw(quoted(id_col))}), df.columns
+    alone = here if shared.isEmpty() else here.join(shared, F.col(draw) == F.col(last), "left_anti")
+    salted = alone.join(
+        hot, quoted(source_col).eqNullSafe(F.col(source)) & (F.col(size) == F.col(long)), "left",
+    ).drop(source, long).withColumn(salt, _salt(quoted(id_col), F.col(salts)))
+    more = F.coalesce(F.col(draw) <= F.col(last), F.lit(False)).cast("int")
+    joined = salted.join(
+        rules, quoted(source_col).eqNullSafe(F.col(of)) & (F.col(size) == F.col(long)) & (F.col(salt) == F.col(part)),
+    ).withColumn(times, F.col(each) + more).where(F.col(times) > 0).select(*[quoted(c) for c in columns], times)
     if not shared.isEmpty():
-        source, size, place, total, rows = fresh(df, "mixed_source", "mixed_size", "place", "total", "rows")
-        some = df.join(shared, quoted(id_col).eqNullSafe(F.col(mine))).drop(mine).withColumn(
-            size, word_count(quoted(text_col)))
+        given = _copies(numbered).join(shared, F.col("draw") == F.col(last), "left_semi")
         inside = Window.partitionBy(quoted(id_col), quoted(source_col), size).orderBy(F.xxhash64(quoted(text_col)))
-        groups = given.join(shared, F.col("doc_id").eqNullSafe(F.col(mine))).groupBy(mine, "source", "size").agg(
-            F.sum("copies").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0).select(
-            mine, F.col("source").alias(source), F.col("size").alias(f"{size}2"), total, rows)
-        each = F.floor(F.col(total) / F.col(rows))
-        dealt = some.withColumn(place, F.row_number().over(inside)).join(
-            groups, quoted(id_col).eqNullSafe(F.col(mine)) & quoted(source_col).eqNullSafe(F.col(source))
-            & (F.col(size) == F.col(f"{size}2")))
-        more = (F.col(place) <= F.col(total) - each * F.col(rows)).cast("int")
-        dealt = dealt.withColumn(times, (each + more).cast("int")).where(F.col(times) > 0)
-        joined = joined.unionByName(dealt.select(*[quoted(c) for c in df.columns], times))
-    again, = fresh(joined, "again")
+        groups = given.groupBy(F.col("doc_id").alias(mine), F.col("source").alias(of), F.col("size").alias(long)).agg(
+            F.sum("copies").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0)
+        whole = F.floor(F.col(total) / F.col(rows))
+        dealt = here.join(shared, F.col(draw) == F.col(last), "left_semi").withColumn(place, F.row_number().over(inside)).join(
+            groups, quoted(id_col).eqNullSafe(F.col(mine)) & quoted(source_col).eqNullSafe(F.col(of))
+            & (F.col(size) == F.col(long)))
+        one = (F.col(place) <= F.col(total) - whole * F.col(rows)).cast("int")
+        dealt = dealt.withColumn(times, (whole + one).cast("int")).where(F.col(times) > 0)
+        joined = joined.unionByName(dealt.select(*[quoted(c) for c in columns], times))
     return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(times, again)

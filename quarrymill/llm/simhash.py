@@ -181,7 +181,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def grouped(prints: DataFrame) -> DataFrame:
-    """:func:`near_duplicates` of a table of ``doc_id, fp``."""
+    """:func:`near_duplicates` of a table of ``doc_id, fp``; its other columns stay."""
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(distinct.select("fp")))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -189,7 +189,7 @@ def grouped(prints: DataFrame) -> DataFrame:
     )
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     table = written(named.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
-    return prints.join(table, "fp").select("doc_id", "fp", "root", "component_id")
+    return prints.join(table, "fp").select(*prints.columns, "root", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -201,18 +201,30 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = SHINGLE) -> DataFrame:
     """One row of each component, the one with the smallest id; all columns stay.
 
+    The search writes ids, fingerprints and hashes of texts, no texts.  A row that stays is
+    known by its id and 128 bits of hash of its text, so texts are shuffled once, to meet these.
     Where several rows share that id and fingerprint, one of them stays.
     """
-    mine, other, own = fresh(df, "near_id", "near_fp", "own_fp")
-    marked = written(small_batches(df).withColumn(own, fingerprint(quoted(text_col), shingle)), "simhash-marked")
-    found = grouped(marked.select(quoted(id_col).alias("doc_id"), F.col(own).alias("fp")))
+    mine, *tags = fresh(df, "near_id", "tag", "tag2")
+    own = fresh(df.select("*", *[F.lit(0).alias(t) for t in tags]), "own_tag", "own_tag2")
+    text = quoted(text_col)
+    hashes = dict(zip(own, [F.xxhash64(text), F.xxhash64(F.lit(17), text)]))
+    prints = written(
+        small_batches(df).select(
+            quoted(id_col).alias("doc_id"), fingerprint(text, shingle).alias("fp"),
+            *[h.alias(t) for t, h in zip(tags, hashes.values())]),
+        "simhash-prints",
+    )
     keepers = written(
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", "root").agg(F.min("fp").alias("fp"), F.count("*").alias("rows")),
+        grouped(prints).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("doc_id", "root").agg(F.min(F.struct("fp", *tags)).alias("row"), F.count("*").alias("rows")),
         "simhash-keepers",
     )
-    sides = keepers.select(F.col("doc_id").alias(mine), F.col("fp").alias(other))
-    kept = marked.join(sides, quoted(id_col).eqNullSafe(F.col(mine)) & (F.col(own) == F.col(other)))
+    sides = keepers.select(F.col("doc_id").alias(mine), *[F.col("row")[t].alias(t) for t in tags])
+    same = quoted(id_col).eqNullSafe(F.col(mine))
+    for t, o in zip(tags, own):
+        same &= F.col(t) == F.col(o)
+    kept = df.withColumns(hashes).join(sides, same)
     if not keepers.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates([mine, own])
-    return kept.drop(mine, other, own)
+        kept = kept.dropDuplicates([mine, *own])
+    return kept.drop(mine, *tags, *own)

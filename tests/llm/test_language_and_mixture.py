@@ -189,6 +189,20 @@ def test_repeat_rows_takes_what_the_mix_says(make_docs):
     assert got.columns == df.columns and Counter(r.doc_id for r in got.collect()) == want
 
 
+def test_texts_meet_a_table_of_cells(make_docs, spark):
+    rows = [(i, f"t{i} " * (1 + i % 3), None, None if i % 5 == 0 else "ab"[i % 7 == 0]) for i in range(5000)]
+    df, plan = make_docs(rows), mixing.Plan(cell_rows=400)  # most cells are dealt into salts
+    want = {r.doc_id: r.copies for r in mixing.mix(df, plan=plan).collect() if r.copies}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32k")  # less than a table of all ids
+    try:
+        got = mixing.repeat_rows(df, plan=plan)
+        assert Counter(r.doc_id for r in got.collect()) == want and 1 in want.values() and 2 in want.values()
+        assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_mixture_stays_in_the_jvm(make_docs):
     plan = mixing.mix(make_docs([(1, "a b", "en", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

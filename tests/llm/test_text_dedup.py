@@ -117,6 +117,16 @@ def test_keep_one_keeps_columns_and_one_row_of_each(make_docs):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 4, 5, 7, 8, 9, 10])
 
 
+def test_keep_one_writes_no_texts(make_docs, monkeypatch):
+    tables = {}
+    monkeypatch.setattr(simhash, "written", lambda df, label: tables.update({label: df.columns}) or common.written(df, label))
+    rows = [(1, "a b c d"), (1, "A b c d"), (1, "A b c d"), (2, "a b c d"), (3, None), (3, ""), (None, " "), (None, "x y z"), (4, "")]
+    kept = simhash.keep_one(make_docs(rows)).collect()
+    assert tables and not any("text" in columns for columns in tables.values())
+    assert Counter(r.doc_id for r in kept) == Counter([1, 3, None])
+    assert all(r.doc_id is not None or r.text == "x y z" for r in kept)
+
+
 @pytest.mark.parametrize("n", [2, 33, 200])
 def test_components_of_chains_stars_and_cycles(spark, n):
     rnd = random.Random(n)
