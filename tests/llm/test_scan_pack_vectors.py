@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,3 +254,70 @@ def test_a_hot_group_of_near_copies_is_linked_whole(spark):
     for r in embedding_pq.links(df).select("vec_id", "n_links").collect():
         got[r.vec_id] = r.n_links
     assert want[:hot].mean() > hot / 4 and (got == want).all()
+
+
+def test_vectors_are_shuffled_once_and_tiles_are_read_where_they_lie(spark, monkeypatch):
+    """Every tile used to be shuffled to each partner, and four tables held the vectors in double precision."""
+    from pathlib import Path
+
+    rnd = np.random.default_rng(5)
+    n = 4_000
+    x = rnd.normal(size=(n, 64)).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x)}), "vec_id long, embedding array<float>")
+    size, plans, real = {}, {}, embedding_pq.written
+
+    def written(made, label):
+        plans[label] = made._jdf.queryExecution().executedPlan().toString()
+        out = real(made, label)
+        size[label] = sum(Path(f.removeprefix("file:")).stat().st_size for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(embedding_pq, "written", written)
+    got = embedding_pq.links(df, params=embedding_pq.Params(block=100))
+    assert got.count() == n and sum(size.values()) < 2 * x.nbytes, size
+    assert plans["pq-tiles"].count("Exchange") == 1 and "Exchange" not in plans["pq-links"].replace("BroadcastExchange", "")
+
+
+@pytest.mark.parametrize("kind", ["float", "double", "int"])
+def test_links_of_signed_zeros_and_other_types(spark, kind):
+    rnd = np.random.default_rng(8)
+    rows = [(i, (v * 100).round()) for i, v in enumerate(vectors(rnd, 120, 6, 12))]
+    rows += [(500, np.array([0.0, 1, 0, 0, 0, 2])), (501, np.array([-0.0, 1, -0.0, 0, 0, 2])), (502, np.array([0.0, 1, 0, 0, -0.0, 2]))]
+    rows = [(i, [int(x) if kind == "int" else float(x) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    got = embedding_pq.links(df, params=embedding_pq.Params(block=16)).collect()
+    assert Counter(map(tuple, got)) == plain_links([(r.vec_id, r.embedding) for r in df.collect()])
+    assert {r.component_id for r in got if r.vec_id >= 500} == {500}
+
+
+def test_a_tile_holds_equal_vectors_once_and_sketches_bound_the_cosine():
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(300, 20)).astype(np.float32)
+    unit = embedding_pq._whole(x).astype(np.float32)
+    index = embedding_pq.fit(unit[:200], 9, embedding_pq.Params(subspaces=4))
+    visited, codes, error = embedding_pq.assign(unit, index, 1)
+    far = np.linalg.norm(unit - index.centroids[visited[:, 0]], axis=1)
+    rows = np.concatenate([np.arange(300), rnd.integers(0, 300, 200)])
+    tile = pa.table({
+        "tile": np.full(500, 7), "h1": rows, "h2": -rows, "copies": np.full(500, 2), "vec": pa.array(list(x[rows]), pa.list_(pa.float32())),
+        "width": np.full(500, 20), "list": visited[rows, 0], "code": [codes[i].tobytes() for i in rows], "error": error[rows], "far": far[rows]})
+    packed = embedding_pq._unpacked(embedding_pq._pack(tile).to_pylist()[0], index, np.float32)
+    assert len(packed["keys"]) == 300 and (packed["keys"] >> 32 == 7).all() and packed["copies"].sum() == 1000
+    assert sorted(map(tuple, packed["raw"][:, :20])) == sorted(map(tuple, x)) and (np.diff(packed["lists"]) >= 0).all()
+    assert all(packed["radius"][k] == far[visited[:, 0] == g].max() for k, g in enumerate(packed["kinds"]))
+    cosines = packed["unit"] @ packed["unit"].T
+    assert (packed["sketch"] @ packed["sketch"].T >= cosines - 1e-6).all()
+    mask = rnd.uniform(size=(37, 53)) < 0.01
+    assert (embedding_pq._places(mask) == np.flatnonzero(mask)).all()
+
+
+def test_tiles_meet_once_and_only_where_lists_reach():
+    centroids = np.array([[1.0, 0], [0, 1], [-1, 0], [0, -1]], np.float32)
+    index = embedding_pq.Index(centroids, np.zeros((1, 1, 2), np.float32), 2, np.eye(2))
+    lists = [np.array(x, np.int32) for x in ([0], [0, 1], [2], [3], [])]
+    wide = embedding_pq.partners(lists, [np.full(len(x), 1.5) for x in lists], index, 0.95)
+    for i in range(4):
+        assert wide[i][4] == wide[4][i] == "0"
+        assert all((wide[i][j] == "1") + (wide[j][i] == "1") == (1 if i != j else 2) for j in range(4))
+    tight = embedding_pq.partners(lists, [np.full(len(x), 0.1) for x in lists], index, 0.95)
+    assert {(i, j) for i in range(5) for j in range(5) if tight[i][j] == "1"} in ({(0, 0), (1, 1), (2, 2), (3, 3), (0, 1)}, {(0, 0), (1, 1), (2, 2), (3, 3), (1, 0)})
