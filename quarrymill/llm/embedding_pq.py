@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from quarrymill.llm.common import BATCH_SETTING, components, quoted, written
 
 TILE_BYTES = 8 << 20  # of a tile's vectors
-CHUNK_BYTES = 64 << 20  # of the vectors among which a task looks for equal ones
+CHUNK_BYTES = 16 << 20  # of the vectors among which a task looks for equal ones
 DIRECTIONS = 23  # of a sketch
 
 
@@ -72,7 +72,10 @@ class Index:
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return (x @ centres.T - 0.5 * (centres * centres).sum(1)).argmax(1)
+    half, out = 0.5 * (centres * centres).sum(1), np.empty(len(x), np.int64)
+    for s in range(0, len(x), 1024):  # a sample times all lists is half a GB
+        out[s:s + 1024] = (x[s:s + 1024] @ centres.T - half).argmax(1)
+    return out
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -152,6 +155,8 @@ def _padded(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """``(lengths, vectors)`` of a column of arrays, filled up with zeros."""
     n = np.asarray(column.value_lengths()).astype(np.int32)
     flat = np.asarray(column.flatten())
+    if (n == width).all():
+        return n, flat.reshape(len(n), width)
     raw = np.zeros((len(n), width), flat.dtype)
     at = np.cumsum(n, dtype=np.int64) - n
     raw[np.repeat(np.arange(len(n)), n), np.arange(len(flat)) - np.repeat(at, n)] = flat
@@ -526,7 +531,7 @@ def _met(batches, index: Index, kind, params: Params):
     def opened(row: dict, side: str, spare: int) -> dict:
         tile = row[f"{side}_tile"]
         if tile not in held:
-            while len(held) > 3:
+            while len(held) > 8:
                 held.pop(next(t for t in held if t != spare))
             held[tile] = _unpacked({n[2:]: v for n, v in row.items() if n.startswith(side)}, index, kind)
             links.setdefault(tile, np.zeros(len(held[tile]["keys"]), np.int64))
